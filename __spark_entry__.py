@@ -197,23 +197,35 @@ def collision_summary(spark, sf_dir):
 
 def history_load(spark, sf_dir):
     path = new_folder(spark, "history")
-    loaded = history.load_history(row_keys.with_key_batch(_clean(spark, sf_dir)), path)
-    return spark.read.parquet(path).withColumn("rows_loaded", F.lit(loaded).cast("bigint"))
+    keyed = row_keys.with_key_batch(_clean(spark, sf_dir))
+    # Day folders would hold a dozen rows each at this size.
+    loaded = history.load_history(keyed, path, grain="month")
+    rows = spark.read.parquet(path).drop(history.MONTH)
+    return rows.withColumn("rows_loaded", F.lit(loaded).cast("bigint"))
 
 
 def history_from_csv(spark, sf_dir):
     csv, path = new_folder(spark, "history-csv"), new_folder(spark, "history")
     fixtures.raw_transactions(spark, sf_dir).write.option("header", True).csv(csv)
     loaded = history.process_history(
-        spark, csv, path, schema=fixtures.EXACT_TRANSACTION, tie_break=highest_first(), partitions=16
+        spark,
+        csv,
+        path,
+        schema=fixtures.EXACT_TRANSACTION,
+        tie_break=highest_first(),
+        partitions=16,
+        grain="month",
     )
-    return spark.read.parquet(path).withColumn("rows_loaded", F.lit(loaded).cast("bigint"))
+    rows = spark.read.parquet(path).drop(history.MONTH)
+    return rows.withColumn("rows_loaded", F.lit(loaded).cast("bigint"))
 
 
 def store_day(spark, sf_dir):
     path = new_folder(spark, "history")
-    history.load_history(row_keys.with_key_batch(_clean(spark, sf_dir)), path)
-    return sales.store_day(spark.read.parquet(path), oracles.STORE, oracles.DAY)
+    keyed = row_keys.with_key_batch(_clean(spark, sf_dir))
+    history.load_history(keyed, path, grain="month")
+    found = sales.store_day(spark.read.parquet(path), oracles.STORE, oracles.DAY)
+    return found.drop(history.MONTH)
 
 
 # --- sales ----------------------------------------------------------------------------
@@ -225,8 +237,8 @@ def daily_sales(spark, sf_dir):
 
 def daily_sales_saved(spark, sf_dir):
     path = new_folder(spark, "daily-sales")
-    history.save_daily_sales(_clean(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    history.save_daily_sales(_clean(spark, sf_dir), path, grain="month")
+    return spark.read.parquet(path).drop(history.MONTH)
 
 
 def leaderboard(spark, sf_dir):

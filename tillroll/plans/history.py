@@ -1,4 +1,8 @@
-"""Historical batch load into a table partitioned by day."""
+"""Historical batch load into a table partitioned by day or month.
+
+A folder should hold at least a file of full size: by day for tens of terabytes, by month
+for less. Inside a folder rows are sorted by day and store, so a lookup skips row groups.
+"""
 
 from collections.abc import Mapping, Sequence
 
@@ -13,6 +17,8 @@ from tillroll.plans.sales import daily_groups
 from tillroll.sources.csv import read_transactions_csv
 
 DAY = "transaction_date"
+MONTH = "transaction_month"
+GRAINS = {"day": DAY, "month": MONTH}
 
 # Target column -> source column of the serving table. `customer_id` is optional.
 SERVING_COLUMNS = {
@@ -48,33 +54,39 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(name).cast("string").alias(name) for name in df.columns])
 
 
-def load_history(
-    df: DataFrame,
-    path: str,
-    columns: Mapping[str, str] = SERVING_COLUMNS,
-    partitions: int | None = None,
-) -> int:
-    """Append to the history table and return the number of rows written.
+def _write_by_period(rows: DataFrame, path: str, grain: str, mode: str, parts: int | None) -> int:
+    """Write rows that have a day, one folder per period, and count them in the same pass.
 
-    `rebalance` lets Spark divide a large day between tasks and merge small ones, from the
-    sizes it measures; `partitions` sets the shuffle partitions it starts with. Rows are
-    counted on the way to the files, in the same pass.
+    `rebalance` lets Spark divide a large period between tasks and merge small ones, from
+    the sizes it measures; `parts` sets the shuffle partitions it starts with.
     """
-    rows = serving_rows(df, columns)
-    spread = rows.hint("rebalance", *([] if partitions is None else [partitions]), DAY)
-    # Within a day by store: a store's rows sit in few row groups.
-    by_store = [F.col(DAY)] + [F.col(c) for c in ("store_id", "rowkey") if c in rows.columns]
-    counted = Observation("load")
+    folder = GRAINS[grain]
+    if grain == "month":
+        rows = rows.withColumn(MONTH, F.date_format(DAY, "yyyy-MM"))
+    inside = [name for name in (DAY, "store_id", "rowkey") if name in rows.columns]
+    counted = Observation("written")
     (
-        spread.sortWithinPartitions(*by_store)
+        rows.hint("rebalance", *([] if parts is None else [parts]), folder)
+        .sortWithinPartitions(folder, *inside)
         .observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode("append")
-        .partitionBy(DAY)
+        .write.mode(mode)
+        .partitionBy(folder)
         .parquet(path)
     )
     return counted.get["rows"]
 
 
+def load_history(
+    df: DataFrame,
+    path: str,
+    columns: Mapping[str, str] = SERVING_COLUMNS,
+    partitions: int | None = None,
+    grain: str = "day",
+) -> int:
+    """Append to the history table and return the number of rows written."""
+    return _write_by_period(serving_rows(df, columns), path, grain, "append", partitions)
+
+
 def process_history(
     spark: SparkSession,
     csv_path: str,
@@ -82,13 +94,13 @@ def process_history(
     schema: T.StructType = schemas.TRANSACTION,
     tie_break: Sequence[Column] = (),
     partitions: int | None = None,
+    grain: str = "day",
 ) -> int:
     """CSV files to cleaned, keyed rows in the history table; returns the rows written."""
     cleaned = clean_transactions(read_transactions_csv(spark, csv_path, schema), tie_break)
-    return load_history(with_key_batch(cleaned), path, partitions=partitions)
+    return load_history(with_key_batch(cleaned), path, partitions=partitions, grain=grain)
 
 
-def save_daily_sales(df: DataFrame, path: str) -> None:
-    """Keep daily sales as a small table of its own, one folder per day."""
-    rows = daily_groups(df).hint("rebalance", DAY)
-    rows.write.mode("overwrite").partitionBy(DAY).parquet(path)
+def save_daily_sales(df: DataFrame, path: str, grain: str = "day") -> int:
+    """Keep daily sales as a small table of its own; returns the rows written."""
+    return _write_by_period(daily_groups(df), path, grain, "overwrite", None)

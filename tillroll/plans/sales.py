@@ -84,11 +84,14 @@ def recent_by_store(df: DataFrame, n: int, time: str = "timestamp") -> DataFrame
 def store_day(df: DataFrame, store: str, date: datetime.date | str) -> DataFrame:
     """One store on one day.
 
-    On a history table the date picks the partition and the store skips row groups,
-    because files are sorted by store.
+    On a history table the date picks the folder, and day and store skip row groups,
+    because files are sorted by them.
     """
     day = F.lit(str(date)).cast("date")
     on_day = (
         F.col("transaction_date") if "transaction_date" in df.columns else F.to_date("timestamp")
     )
-    return df.filter((F.col("store_id") == store) & (on_day == day))
+    found = df.filter((F.col("store_id") == store) & (on_day == day))
+    if "transaction_month" in df.columns:
+        found = found.filter(F.col("transaction_month") == str(date)[:7])
+    return found

@@ -3,9 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 _CONF = "spark.checkpoint.dir"
 
@@ -35,18 +33,3 @@ def staged(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     path = folder or new_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def read_if_present(
-    spark: SparkSession, path: str, schema: T.StructType, root: str | None = None
-) -> DataFrame | None:
-    """A Parquet folder, or None where it does not exist yet."""
-    reader = spark.read.schema(schema)
-    if root is not None:
-        reader = reader.option("basePath", root)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None

@@ -19,7 +19,6 @@ from tillroll import fixed, schemas
 from tillroll.functions.keys import stream_salt
 from tillroll.operators.events import REASON, annotate_events
 from tillroll.operators.row_keys import with_key_stream
-from tillroll.sources.shared import read_if_present
 
 OK = "ok"
 REJECTED = "rejected"
@@ -43,17 +42,20 @@ def log_rows(events: DataFrame, zone: str | None = None) -> DataFrame:
     )
 
 
-def _batch_folder(kind: str, epoch: int, batch_id: int) -> str:
-    return f"{kind}/epoch={epoch}/batch_id={batch_id}"
+def create_table(spark: SparkSession, path: str) -> None:
+    """Make the empty table at `path`; leaves one that exists as it is."""
+    for kind, schema, folders in (
+        ("log", schemas.LOG, ["epoch", "batch_id", "status", "salt"]),
+        ("journal", schemas.JOURNAL, ["epoch", "batch_id"]),
+        ("manifest", schemas.MANIFEST, ["version"]),
+    ):
+        empty = spark.createDataFrame([], schema)
+        empty.write.mode("ignore").partitionBy(*folders).parquet(f"{path}/{kind}")
 
 
 def _write_batch(batch: DataFrame, path: str, epoch: int, batch_id: int) -> None:
     spark = batch.sparkSession
-    entry = f"{path}/{_batch_folder('journal', epoch, batch_id)}"
-    written = schemas.JOURNAL.names[:-2]
-    if read_if_present(spark, entry, schemas.JOURNAL) is not None:
-        if not spark.read.schema(schemas.JOURNAL).parquet(entry).isEmpty():
-            return  # the batch was finished, only the checkpoint did not hear of it
+    folder = f"epoch={epoch}/batch_id={batch_id}"
     started = datetime.datetime.now(datetime.timezone.utc)
     counted = Observation(f"epoch {epoch} batch {batch_id}")
     kept = [name for name in schemas.LOG.names if name not in ("epoch", "batch_id")]
@@ -68,24 +70,37 @@ def _write_batch(batch: DataFrame, path: str, epoch: int, batch_id: int) -> None
         )
         .write.mode("overwrite")
         .partitionBy("status", "salt")
-        .parquet(f"{path}/{_batch_folder('log', epoch, batch_id)}")
+        .parquet(f"{path}/log/{folder}")
     )
     finished = datetime.datetime.now(datetime.timezone.utc)
     totals = counted.get
-    spark.range(1).select(
-        F.lit(totals["rows"]).cast("bigint").alias(written[0]),
-        F.lit(totals["rejected"]).cast("bigint").alias(written[1]),
-        F.lit(started).alias(written[2]),
-        F.lit(finished).alias(written[3]),
-    ).coalesce(1).write.mode("overwrite").parquet(entry)
+    entry = spark.range(1, numPartitions=1).select(
+        F.lit(totals["rows"]).cast("bigint").alias("rows"),
+        F.lit(totals["rejected"]).cast("bigint").alias("rejected"),
+        F.lit(started).alias("started_at"),
+        F.lit(finished).alias("finished_at"),
+    )
+    entry.write.mode("overwrite").parquet(f"{path}/journal/{folder}")
 
 
 def batch_writer(path: str, epoch: int) -> Callable[[DataFrame, int], None]:
     """The `foreachBatch` callback. It lets every error stop the query: a batch that was
-    not written must not count as done."""
+    not written must not count as done.
+
+    A batch that the journal already lists is left alone: it was finished just before a
+    stop, and only the checkpoint did not hear of it. The journal is looked at once per
+    start, since later batches cannot be in it.
+    """
+    finished: int | None = None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch, path, epoch, batch_id)
+        nonlocal finished
+        if finished is None:
+            journal = read_journal(batch.sparkSession, path)
+            last = journal.filter(F.col("epoch") == epoch).agg(F.max("batch_id")).first()[0]
+            finished = -1 if last is None else last
+        if batch_id > finished:
+            _write_batch(batch, path, epoch, batch_id)
 
     return write
 
@@ -103,6 +118,7 @@ def start_ingest(
     `trigger` takes the arguments of `DataStreamWriter.trigger`. Rows are written by the
     executors; large batches are divided between tasks, small salts share one.
     """
+    create_table(stream.sparkSession, path)
     return (
         log_rows(stream, zone)
         .writeStream.foreachBatch(batch_writer(path, epoch))
@@ -113,26 +129,23 @@ def start_ingest(
 
 
 def read_journal(spark: SparkSession, path: str) -> DataFrame:
-    journal = read_if_present(spark, f"{path}/journal", schemas.JOURNAL)
-    return spark.createDataFrame([], schemas.JOURNAL) if journal is None else journal
+    return spark.read.schema(schemas.JOURNAL).parquet(f"{path}/journal")
 
 
-def read_log(spark: SparkSession, path: str, status: str = OK) -> DataFrame:
-    """Log rows of finished batches.
+def finished_batches(spark: SparkSession, path: str) -> Column:
+    """A partition filter that holds for the batches the journal lists as finished.
 
-    Batches of an epoch finish in order, so one last number per epoch says which folders
-    to read; there are as many epochs as there were restarts from nothing.
+    Batches of an epoch finish in order, so one last number per epoch is enough; there are
+    as many epochs as there were new starts.
     """
-    log = read_if_present(spark, f"{path}/log", schemas.LOG)
-    if log is None:
-        log = spark.createDataFrame([], schemas.LOG)
-    return log.filter(finished_batches(spark, path) & (F.col("status") == status))
-
-
-def finished_batches(spark: SparkSession, path: str) -> Column:
-    """A partition filter that holds for the batches the journal lists as finished."""
     last = read_journal(spark, path).groupBy("epoch").agg(F.max("batch_id").alias("last"))
     finished = F.lit(False)
     for row in last.collect():
         finished = finished | ((F.col("epoch") == row["epoch"]) & (F.col("batch_id") <= row["last"]))
     return finished
+
+
+def read_log(spark: SparkSession, path: str, status: str = OK) -> DataFrame:
+    """Log rows of finished batches."""
+    log = spark.read.schema(schemas.LOG).parquet(f"{path}/log")
+    return log.filter(finished_batches(spark, path) & (F.col("status") == status))

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tillroll import fixed, schemas
 from tillroll.operators.ranking import top_per_key
 from tillroll.plans.history import as_text
-from tillroll.sources.shared import read_if_present
 from tillroll.streaming.ingest import read_journal, read_log
 
 _WRITE_ORDER = ("epoch", "batch_id", "seq", "event_time")
@@ -32,9 +31,7 @@ def last_write(rows: DataFrame) -> DataFrame:
 
 def _newest_manifest(spark: SparkSession, path: str) -> tuple[int | None, dict[int, int]]:
     """Newest version and, per epoch, the last batch in it."""
-    manifest = read_if_present(spark, f"{path}/manifest", schemas.MANIFEST)
-    if manifest is None:
-        return None, {}
+    manifest = spark.read.schema(schemas.MANIFEST).parquet(f"{path}/manifest")
     version = manifest.agg(F.max("version")).first()[0]
     covered = manifest.filter(F.col("version") == version).collect() if version is not None else []
     return version, {row["epoch"]: row["batch_id"] for row in covered}

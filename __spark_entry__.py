@@ -22,10 +22,10 @@ from tillroll import fixed  # noqa: E402
 from tillroll.functions import keys  # noqa: E402
 from tillroll.operators import balance, events, ranking, row_keys, standardize, validity  # noqa: E402
 from tillroll.operators.pos_mapping import map_sales_to_pos  # noqa: E402
-from tillroll.plans import history, sales  # noqa: E402
+from tillroll.plans import feed, history, sales  # noqa: E402
 from tillroll.plans.cleaning import clean_transactions  # noqa: E402
 from tillroll.sources.csv import read_sales_csv, read_transactions_csv  # noqa: E402
-from tillroll.sources.events import read_event_stream  # noqa: E402
+from tillroll.sources.events import read_event_stream, send_events  # noqa: E402
 from tillroll.sources.shared import new_folder  # noqa: E402
 from tillroll.streaming import ingest, live, metrics, view  # noqa: E402
 
@@ -81,6 +81,16 @@ def sales_to_pos_file_order(spark, sf_dir):
     return good
 
 
+def send_sales(spark, sf_dir):
+    csv, wire = new_folder(spark, "sales-csv"), new_folder(spark, "wire")
+    rows = fixtures.sales_rows(spark, sf_dir).orderBy(*fixtures.SALES_ORDER)
+    rows.drop(*fixtures.SALES_ORDER).write.option("header", True).csv(csv)
+    sent = feed.send_sales(spark, csv, limit=None, kind="files", path=wire)
+    arrived, _ = events.decode_events(spark.read.text(wire))
+    arrived = arrived.select(*fixed.EVENT_FIELDS)
+    return arrived.withColumn("rows_sent", F.lit(sent.rows).cast("bigint"))
+
+
 def sales_to_pos_capped(spark, sf_dir):
     good, _ = map_sales_to_pos(
         fixtures.sales_rows(spark, sf_dir), fixtures.SALES_ORDER, limit=5_000
@@ -264,11 +274,6 @@ def recent_by_store(spark, sf_dir):
 # --- streams --------------------------------------------------------------------------
 
 
-def _send(rows: DataFrame, folder: str) -> None:
-    """Add events to a folder that a file stream reads."""
-    events.encode_events(rows).write.mode("append").text(folder)
-
-
 def _ingested(spark: SparkSession, sf_dir: str, compacting: bool = False) -> str:
     """Two epochs of events: everything, then corrections, then a new start with others."""
     path = new_folder(spark, "ingest")
@@ -282,7 +287,7 @@ def _ingested(spark: SparkSession, sf_dir: str, compacting: bool = False) -> str
     for epoch, sent in ((1, [first, corrected]), (2, [second])):
         wire = f"{path}/wire-{epoch}"
         for part in sent:
-            _send(part, wire)
+            send_events(part, "files", path=wire)
             stream = read_event_stream(spark, "files", path=wire)
             query = ingest.start_ingest(
                 stream, path, f"{path}/checkpoint-{epoch}", epoch, ALL_AT_ONCE, zone="UTC"
@@ -333,7 +338,8 @@ def ingest_totals(spark, sf_dir):
 def live_leaderboard(spark, sf_dir):
     path = new_folder(spark, "live")
     rows = fixtures.pos_events(spark, sf_dir)
-    _send(rows.unionByName(rows.filter(F.col("event_type") == "click")), f"{path}/wire")
+    repeated = rows.unionByName(rows.filter(F.col("event_type") == "click"))
+    send_events(repeated, "files", path=f"{path}/wire")
     stream = read_event_stream(spark, "files", path=f"{path}/wire")
     live.start_live_leaderboard(
         live.live_leaderboard(stream, zone="UTC"),
@@ -357,6 +363,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_scan": csv_scan,
         "sales_to_pos": sales_to_pos,
         "sales_to_pos_file_order": sales_to_pos_file_order,
+        "send_sales": send_sales,
         "sales_to_pos_capped": sales_to_pos_capped,
         "sales_to_pos_with_bad_prices": sales_to_pos_with_bad_prices,
         "sales_rejects": sales_rejects,

@@ -19,6 +19,7 @@ def new_session(zone: str = "UTC", cores: str = "8") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tillroll")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", zone)

@@ -49,6 +49,10 @@ OPEN_HOURS = 14
 PRICE_FACTOR = 10_000
 EVENT_CAP = 1_000_000
 
+# How events are gathered on their way to the broker
+SEND_BATCH_BYTES = 32_768
+SEND_LINGER_MS = 20
+
 # Micro-batch interval of the ingest stream
 TRIGGER_INTERVAL = "3 seconds"
 

@@ -1,7 +1,8 @@
 """Money expressions."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll import fixed
 
@@ -9,13 +10,14 @@ from tillroll import fixed
 EXACT = "decimal(38,10)"
 
 
-def exact_amount(amount: Column) -> Column:
+def exact_amount(df: DataFrame, name: str) -> Column:
     """A number or its text as an exact decimal; null where it is no such number.
 
-    Doubles go through their shortest text, so the sum of a column does not depend on
-    the order in which partitions are merged.
+    Decimals stay as they are. Doubles go through their shortest text, so the sum of a
+    column does not depend on the order in which partitions are merged.
     """
-    return amount.try_cast(EXACT)
+    amount = F.col(name)
+    return amount if isinstance(df.schema[name].dataType, T.DecimalType) else amount.try_cast(EXACT)
 
 
 def to_cents(amount: Column) -> Column:

@@ -53,13 +53,16 @@ def dense_index(
     """Number rows 0, 1, 2, ... along `order_cols`; ties follow the remaining columns.
 
     One range shuffle. Arrival position is the last sort key, so even a large set of exact
-    copies is divided between tasks. The numbered rows live in `folder`, by default under
-    the shared folder, which has to outlive the result.
+    copies is divided between tasks; it is taken from sorted partitions, so that a task that
+    runs again gives every row the same position. The numbered rows live in `folder`, by
+    default under the shared folder, which has to outlive the result.
     """
     leading = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_cols]
     named = [c for c in order_cols if isinstance(c, str)]
     order = total_order(df, leading, named)
-    arrived = df.withColumn("__arrival", F.monotonically_increasing_id())
+    arrived = df.sortWithinPartitions(*order).withColumn(
+        "__arrival", F.monotonically_increasing_id()
+    )
     order = [*order, F.col("__arrival").asc()]
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (

@@ -34,7 +34,7 @@ def daily_groups(df: DataFrame) -> DataFrame:
         F.count(amount).alias("amounts"),
     )
     revenue = F.sum("revenue")
-    average = revenue / F.sum("amounts")
+    average = F.try_divide(revenue, F.sum("amounts"))
     amount_type = df.schema["total_amount"].dataType
     if isinstance(amount_type, T.DecimalType):
         # The type Spark gives to an average of this decimal.
@@ -62,7 +62,7 @@ def store_leaderboard(df: DataFrame, limit: int | None = None) -> DataFrame:
         df.groupBy("store_id")
         .agg(
             F.count(F.lit(1)).alias(fixed.RANK_COUNT),
-            F.sum(exact_amount(F.col("total_amount"))).alias(fixed.RANK_REVENUE),
+            F.sum(exact_amount(df, "total_amount")).alias(fixed.RANK_REVENUE),
         )
         .orderBy(F.col(fixed.RANK_REVENUE).desc(), "store_id")
     )

@@ -1,9 +1,13 @@
-"""Event streams, normalised to `value` (text) and `seq` (place in the source)."""
+"""Event streams in and out.
+
+Incoming rows are normalised to `value` (text) and `seq` (place in the source).
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import fixed, schemas
+from tillroll.operators.events import encode_events
 
 
 def read_event_stream(
@@ -37,3 +41,25 @@ def read_event_stream(
         rows = spark.readStream.format("text").options(**options).load()
         return rows.select("value", F.lit(None).cast(schemas.SEQ).alias("seq"))
     raise ValueError(f"unknown kind of stream: {kind}")
+
+
+def send_events(df: DataFrame, kind: str = "kafka", **options: str) -> None:
+    """Write the event fields of `df` as wire events, to where `read_event_stream` reads.
+
+    kind "kafka": pass `kafka.bootstrap.servers` and, for another topic, `topic`. Events have
+    no key, so a topic with several partitions does not keep their order. kind "files":
+    adds text files under `path`. All tasks write at once in both cases.
+    """
+    wire = encode_events(df).write
+    if kind == "kafka":
+        settings = {
+            "topic": fixed.EVENT_TOPIC,
+            "kafka.batch.size": str(fixed.SEND_BATCH_BYTES),
+            "kafka.linger.ms": str(fixed.SEND_LINGER_MS),
+            **options,
+        }
+        wire.format("kafka").options(**settings).save()
+    elif kind == "files":
+        wire.mode("append").format("text").options(**options).save()
+    else:
+        raise ValueError(f"unknown kind of stream: {kind}")

@@ -24,14 +24,11 @@ def ingest_metrics(spark: SparkSession, path: str) -> DataFrame:
     Grouped by store first, so that counting stores needs no distinct aggregate and a
     large batch is merged in the map tasks.
     """
-    by_store = (
-        read_log(spark, path)
-        .groupBy(*_BATCH, "store_id")
-        .agg(
-            F.sum(exact_amount(F.col("total_amount"))).alias("amount"),
-            F.min("event_time").alias("first_event"),
-            F.max("event_time").alias("last_event"),
-        )
+    log = read_log(spark, path)
+    by_store = log.groupBy(*_BATCH, "store_id").agg(
+        F.sum(exact_amount(log, "total_amount")).alias("amount"),
+        F.min("event_time").alias("first_event"),
+        F.max("event_time").alias("last_event"),
     )
     batches = by_store.groupBy(*_BATCH).agg(
         F.count("store_id").alias("stores"),

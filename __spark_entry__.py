@@ -46,7 +46,7 @@ def comparable(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.IntegerType):
             column = column.cast("bigint")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+            column = F.substring(column.cast("string"), 1, 19)
         elif isinstance(field.dataType, T.DateType):
             column = column.cast("string")
         elif isinstance(field.dataType, T.ArrayType):

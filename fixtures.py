@@ -77,7 +77,7 @@ def sales_rows(spark: SparkSession, sf_dir: str, bad_prices: bool = False) -> Da
         price = f"CASE WHEN l_linenumber = 6 THEN concat('EUR ', {price}) ELSE {price} END"
     return table(spark, sf_dir, "lineitem").selectExpr(
         *SALES_ORDER,
-        "date_format(l_shipdate, 'yyyy-MM-dd') AS t_dat",
+        "CAST(CAST(l_shipdate AS DATE) AS STRING) AS t_dat",
         "md5(CAST(l_orderkey AS STRING)) AS customer_id",
         "CASE WHEN l_linenumber = 7 THEN concat('NA', CAST(l_partkey AS STRING)) "
         "ELSE CAST(l_partkey AS STRING) END AS article_id",
@@ -90,7 +90,7 @@ def pos_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.concat_ws("_", "user_id", "event_id").alias("transaction_id"),
         F.format_string("STORE_%03d", F.col("user_id") % 100 + 1).alias("store_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.substring(F.col("ts").cast("string"), 1, 19).alias("timestamp"),
         F.col("value").alias("total_amount"),
         "event_id",
         "user_id",

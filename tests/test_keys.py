@@ -1,0 +1,146 @@
+"""Row keys: fixed examples, short ids, nulls, zones, balance and collisions."""
+
+import datetime
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.functions import keys
+from tillroll.operators import balance, row_keys
+
+SCHEMA = "transaction_id string, store_id string, timestamp {kind}"
+MORNING = datetime.datetime(2020, 9, 20, 8)
+
+
+def one(spark, transaction, store, time, kind="timestamp"):
+    return spark.createDataFrame([(transaction, store, time)], SCHEMA.format(kind=kind))
+
+
+def key(df):
+    return df.first()["rowkey"]
+
+
+def test_hash_examples(spark):
+    got = spark.range(1).select(F.hash(F.lit("abc")), F.hash(F.lit(None).cast("string"))).first()
+    assert tuple(got) == (1322437556, 42)
+
+
+def test_stream_salt_of_the_smallest_hash_is_positive(spark):
+    # 4_294_967_296 ids would be needed to meet every hash; the expression is checked instead.
+    lowest = F.lit(-(2**31)).cast("int")
+    assert spark.range(1).select(F.abs(lowest.cast("bigint")) % 12).first()[0] == 8
+
+
+def test_stream_salts_are_in_range(spark):
+    ids = spark.range(20_000).select(keys.stream_salt(F.col("id").cast("string")).alias("s"))
+    assert sorted(r["s"] for r in ids.distinct().collect()) == list(range(12))
+
+
+@pytest.mark.parametrize("store", ["STORE_001", "STORE_042", "", "cửa hàng"])
+def test_store_salt(spark, store):
+    expected = int(hashlib.md5(store.encode()).hexdigest()[:8], 16)
+    got = spark.range(1).select(
+        keys.store_salt(F.lit(store)), keys.store_salt(F.lit(store), 4_000_000)
+    ).first()
+    assert tuple(got) == (expected % 10, expected % 4_000_000)
+
+
+def test_stream_key(spark):
+    text = one(spark, "0123456789_77", "STORE_001", "2020-09-20 08:00:00", "string")
+    salt = abs(spark.range(1).select(F.hash(F.lit("0123456789_77"))).first()[0]) % 12
+    assert key(row_keys.with_key_stream(text)) == f"{salt}_STORE_001_1600588800_56789_77"
+    assert key(row_keys.with_key_stream(text, zone="Asia/Ho_Chi_Minh")).endswith("_1600563600_56789_77")
+    stamped = one(spark, "0123456789_77", "STORE_001", MORNING)
+    assert key(row_keys.with_key_stream(stamped)) == key(row_keys.with_key_stream(text))
+
+
+@pytest.mark.parametrize("text", ["2020-09-20", "2020-09-20T08:00:00", "2020-13-45 08:00:00", "", None])
+@pytest.mark.parametrize("zone", [None, "UTC"])
+def test_stream_key_of_bad_time_is_null(spark, text, zone):
+    rows = one(spark, "t", "s", text, "string")
+    assert key(row_keys.with_key_stream(rows, zone=zone)) is None
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_other_keys(spark, kind):
+    rows = one(spark, "abc_123456789", "STORE_001", MORNING, kind)
+    assert key(row_keys.with_key_salted(rows)) == "00_STORE_001_8399411199999_23456789"
+    assert key(row_keys.with_key_store_date(rows)) == "STORE_001_20200920_6789"
+    assert key(row_keys.with_key_batch(rows)) == "STORE_001_2020-09-20 08:00:00_23456789"
+
+
+@pytest.mark.parametrize(("micros", "text"), [(500_000, ".500000"), (1, ".000001"), (0, "")])
+def test_batch_key_prints_six_decimals(spark, micros, text):
+    rows = one(spark, "t", "s", MORNING.replace(microsecond=micros))
+    assert key(row_keys.with_key_batch(rows)) == f"s_2020-09-20 08:00:00{text}_t"
+
+
+def test_short_ids_are_taken_whole(spark):
+    rows = one(spark, "ab", "s", MORNING)
+    assert key(row_keys.with_key_store_date(rows)) == "s_20200920_ab"
+    assert key(row_keys.with_key_salted(rows)).endswith("_ab")
+
+
+@pytest.mark.parametrize("missing", [0, 1, 2])
+def test_a_null_part_makes_the_key_null(spark, missing):
+    parts = ["t", "s", MORNING]
+    parts[missing] = None
+    rows = one(spark, *parts)
+    for add in (
+        row_keys.with_key_stream,
+        row_keys.with_key_salted,
+        row_keys.with_key_store_date,
+        row_keys.with_key_batch,
+    ):
+        assert key(add(rows)) is None
+
+
+def test_salted_keys_run_from_new_to_old(spark):
+    rows = spark.createDataFrame(
+        [("t", "s", MORNING + datetime.timedelta(days=d, milliseconds=d)) for d in range(-9000, 9000, 700)],
+        SCHEMA.format(kind="timestamp"),
+    )
+    by_key = row_keys.with_key_salted(rows).orderBy("rowkey").select("timestamp").collect()
+    times = [r[0] for r in by_key]
+    assert times == sorted(times, reverse=True)
+
+
+def test_milliseconds_are_rounded_down(spark):
+    for time in (MORNING.replace(microsecond=123_999), datetime.datetime(1969, 12, 31, 23, 59, 59, 999_900)):
+        stamped, wall = one(spark, "t", "s", time), one(spark, "t", "s", time, "timestamp_ntz")
+        assert key(row_keys.with_key_salted(stamped)) == key(row_keys.with_key_salted(wall))
+
+
+def test_wall_clock_keys_do_not_depend_on_the_session_zone(spark):
+    rows = spark.createDataFrame(
+        [(f"t{h}", "s", datetime.datetime(2021, 3, 28) + datetime.timedelta(minutes=30 * h)) for h in range(48)],
+        SCHEMA.format(kind="timestamp_ntz"),
+    )
+    adders = (row_keys.with_key_salted, row_keys.with_key_store_date, row_keys.with_key_batch, row_keys.with_key_stream)
+
+    def read():
+        return [sorted(r["rowkey"] for r in add(rows).collect()) for add in adders]
+
+    in_utc = read()
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        assert read() == in_utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_balance(spark):
+    rows = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2, "s int")
+    got = [tuple(r) for r in balance.key_balance(rows, F.col("s")).collect()]
+    assert got == [(0, 6, 0.75, 1.5), (1, 2, 0.25, 0.5)]
+
+
+def test_collisions(spark):
+    rows = spark.createDataFrame(
+        [("k", "a"), ("k", "a"), ("k", "b"), ("k", "c"), ("l", "a"), ("l", "a"), ("m", "z")],
+        "rowkey string, transaction_id string",
+    )
+    assert [tuple(r) for r in balance.key_collisions(rows, "rowkey").collect()] == [("k", 4, 3, 2)]
+    assert tuple(balance.collision_summary(rows, "rowkey").first()) == (7, 3, 1, 2)
+    assert tuple(balance.collision_summary(rows.limit(0), "rowkey").first()) == (0, 0, 0, 0)

@@ -9,9 +9,6 @@ from pyspark.sql import types as T
 
 from tillroll import fixed
 
-_WALL_CLOCK_ZERO = "1970-01-01 00:00:00"
-
-
 def is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
@@ -25,18 +22,12 @@ def parse_event_time(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit(fixed.EVENT_TIME_FORMAT))
 
 
-def _since_wall_clock_zero(unit: str, moment: Column) -> Column:
-    return F.timestamp_diff(unit, F.lit(_WALL_CLOCK_ZERO).cast("timestamp_ntz"), moment)
-
-
 def epoch_seconds(df: DataFrame, name: str, zone: str | None = None) -> Column:
     """Seconds since 1970 UTC; null for text that is no event time.
 
     Text is read in `zone`, or in the session zone where none is given.
     """
     column = F.col(name)
-    if is_wall_clock(df, name):
-        return _since_wall_clock_zero("SECOND", column)
     if not is_text(df, name):
         return F.unix_timestamp(column)
     if zone is None:
@@ -45,14 +36,19 @@ def epoch_seconds(df: DataFrame, name: str, zone: str | None = None) -> Column:
     reading = column.try_cast("timestamp_ntz")
     shaped = column.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")
     in_utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), reading)
-    return F.when(shaped, _since_wall_clock_zero("SECOND", in_utc))
+    return F.when(shaped, F.unix_timestamp(in_utc))
 
 
 def epoch_millis(df: DataFrame, name: str) -> Column:
     """Milliseconds since 1970 UTC, rounded down."""
-    if is_wall_clock(df, name):
-        return _since_wall_clock_zero("MILLISECOND", F.col(name))
-    return F.unix_millis(F.col(name).cast("timestamp"))
+    moment = F.col(name)
+    if not is_wall_clock(df, name):
+        return F.unix_millis(moment.cast("timestamp"))
+    # Other functions that count milliseconds would first put the reading into the session
+    # zone, and move the hour that daylight saving skips.
+    hours = F.unix_date(F.to_date(moment)).cast("bigint") * 24 + F.hour(moment)
+    seconds = (hours * 60 + F.minute(moment)) * 60
+    return seconds * 1000 + (F.extract(F.lit("SECOND"), moment) * 1000).cast("bigint")
 
 
 def event_time(df: DataFrame, name: str, zone: str | None = None) -> Column:

@@ -34,4 +34,6 @@ def store_salt(store: Column, salts: int = fixed.STORE_SALTS) -> Column:
 
 def newest_first(millis: Column) -> Column:
     """Thirteen digits that sort later moments first, for 0 <= millis <= 9999999999999."""
-    return F.format_string("%013d", F.lit(fixed.REVERSE_MILLIS_FROM) - millis)
+    # Without the test a missing time would be printed as the word "null".
+    down = F.lit(fixed.REVERSE_MILLIS_FROM) - millis
+    return F.when(millis.isNotNull(), F.format_string("%013d", down))

@@ -37,9 +37,10 @@ def daily_groups(df: DataFrame) -> DataFrame:
     average = F.try_divide(revenue, F.sum("amounts"))
     amount_type = df.schema["total_amount"].dataType
     if isinstance(amount_type, T.DecimalType):
-        # The type Spark gives to an average of this decimal.
-        scale = min(amount_type.scale + 4, 38)
-        average = average.cast(T.DecimalType(min(amount_type.precision + 4, 38), scale))
+        # The types Spark gives to a sum and an average of this decimal.
+        precision, scale = amount_type.precision, amount_type.scale
+        average = average.cast(T.DecimalType(min(precision + 4, 38), min(scale + 4, 38)))
+        revenue = revenue.cast(T.DecimalType(min(precision + 10, 38), scale))
     return by_method.groupBy("store_id", "transaction_date").agg(
         F.sum("transactions").alias("transaction_count"),
         revenue.alias("total_revenue"),

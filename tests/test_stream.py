@@ -257,7 +257,30 @@ def test_salt_folders(spark, tmp_path):
     assert split.filter("in_key <> salt").count() == 0
     plan = log.filter("salt = 3")._jdf.queryExecution().toString()
     filters = plan.split("PartitionFilters: ")[1].split("]")[0]
-    assert "salt#" in filters and "epoch#" in filters and "status#" in filters
+    assert "salt#" in filters and "status#" in filters
+
+
+def test_reading_by_name_and_by_listing_agree(spark, tmp_path, monkeypatch):
+    source, table = tmp_path / "in", tmp_path / "table"
+    for at in range(4):
+        put(source, f"{at}.txt", some_events(60)[at::4])
+    take_in(spark, source, table, maxFilesPerTrigger="1")
+    put(tmp_path / "more", "a.txt", some_events(80)[60:])
+    take_in(spark, tmp_path / "more", table, checkpoint="ck2", epoch=2)
+    # A batch that was begun and never finished.
+    ingest.read_log(spark, str(table)).limit(5).drop("epoch", "batch_id").write.partitionBy(
+        "status", "salt"
+    ).parquet(str(table / "log" / "epoch=1" / "batch_id=9"))
+
+    def read(covered):
+        rows = ingest.read_log(spark, str(table), covered=covered)
+        return sorted((r["epoch"], r["batch_id"], r["transaction_id"]) for r in rows.collect())
+
+    cuts = ({}, {1: 1}, {1: 3, 2: 0}, {1: 3})
+    by_name = [read(cut) for cut in cuts]
+    assert [len(rows) for rows in by_name] == [80, 50, 0, 20]
+    monkeypatch.setattr(ingest, "_NAMED_FOLDERS", 0)
+    assert [read(cut) for cut in cuts] == by_name
 
 
 def test_metrics(spark, tmp_path):

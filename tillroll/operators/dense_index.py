@@ -1,7 +1,6 @@
 """Gapless row numbers over a whole table without a single-task window.
 
-Both variants write the rows once, tagged with a position that rises inside each written
-chunk. A count per chunk gives the chunk's start; the start table is tiny next to the rows.
+Both variants write the rows, tagged with a position that rises inside each written chunk. A count per chunk gives the chunk's start; the start table is tiny next to the rows.
 """
 
 from collections.abc import Sequence
@@ -53,16 +52,15 @@ def dense_index(
     """Number rows 0, 1, 2, ... along `order_cols`; ties follow the remaining columns.
 
     One range shuffle. Arrival position is the last sort key, so even a large set of exact
-    copies is divided between tasks; it is taken from sorted partitions, so that a task that
-    runs again gives every row the same position. The numbered rows live in `folder`, by
-    default under the shared folder, which has to outlive the result.
+    copies is divided between tasks. Rows are written before the shuffle as well: sampling
+    the ranges then does not compute `df` a second time, and a task that runs again finds
+    every row at the same position. The numbered rows live in `folder`, by default under
+    the shared folder, which has to outlive the result.
     """
     leading = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_cols]
     named = [c for c in order_cols if isinstance(c, str)]
     order = total_order(df, leading, named)
-    arrived = df.sortWithinPartitions(*order).withColumn(
-        "__arrival", F.monotonically_increasing_id()
-    )
+    arrived = staged(df.withColumn("__arrival", F.monotonically_increasing_id()), "arrived")
     order = [*order, F.col("__arrival").asc()]
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (

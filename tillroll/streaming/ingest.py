@@ -23,6 +23,9 @@ from tillroll.operators.row_keys import with_key_stream
 OK = "ok"
 REJECTED = "rejected"
 
+# Up to this many batches are read by name; beyond it the log folder is listed whole.
+_NAMED_FOLDERS = 2_000
+
 
 def log_rows(events: DataFrame, zone: str | None = None) -> DataFrame:
     """Wire rows as log rows: decoded, keyed, salted, with rejects marked.
@@ -132,20 +135,44 @@ def read_journal(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.JOURNAL).parquet(f"{path}/journal")
 
 
-def finished_batches(spark: SparkSession, path: str) -> Column:
-    """A partition filter that holds for the batches the journal lists as finished.
+def _up_to_last(finished: DataFrame) -> Column:
+    """A partition filter that holds for the listed batches.
 
     Batches of an epoch finish in order, so one last number per epoch is enough; there are
     as many epochs as there were new starts.
     """
-    last = read_journal(spark, path).groupBy("epoch").agg(F.max("batch_id").alias("last"))
-    finished = F.lit(False)
+    last = finished.groupBy("epoch").agg(F.max("batch_id").alias("last"))
+    kept = F.lit(False)
     for row in last.collect():
-        finished = finished | ((F.col("epoch") == row["epoch"]) & (F.col("batch_id") <= row["last"]))
-    return finished
+        kept = kept | ((F.col("epoch") == row["epoch"]) & (F.col("batch_id") <= row["last"]))
+    return kept
+
+
+def after_batches(covered: Mapping[int, int]) -> Column:
+    """True for batches that come after the covered one of their epoch."""
+    kept = F.lit(True)
+    for epoch, batch_id in covered.items():
+        kept = kept & ((F.col("epoch") != epoch) | (F.col("batch_id") > batch_id))
+    return kept
 
 
-def read_log(spark: SparkSession, path: str, status: str = OK) -> DataFrame:
-    """Log rows of finished batches."""
-    log = spark.read.schema(schemas.LOG).parquet(f"{path}/log")
-    return log.filter(finished_batches(spark, path) & (F.col("status") == status))
+def read_log(
+    spark: SparkSession, path: str, status: str = OK, covered: Mapping[int, int] | None = None
+) -> DataFrame:
+    """Log rows of finished batches, without those up to the `covered` batch of an epoch.
+
+    A moderate number of batches is read by folder name, so that the cost of listing files
+    follows the new batches and not the age of the table.
+    """
+    later = after_batches(covered or {})
+    finished = read_journal(spark, path).filter(later).select("epoch", "batch_id")
+    listed = finished.limit(_NAMED_FOLDERS + 1).collect()
+    reader = spark.read.schema(schemas.LOG).option("basePath", f"{path}/log")
+    if not listed:
+        return spark.createDataFrame([], schemas.LOG)
+    if len(listed) <= _NAMED_FOLDERS:
+        folders = [f"{path}/log/epoch={r['epoch']}/batch_id={r['batch_id']}" for r in listed]
+        log = reader.parquet(*folders)
+    else:
+        log = reader.parquet(f"{path}/log").filter(_up_to_last(finished) & later)
+    return log.filter(F.col("status") == status)

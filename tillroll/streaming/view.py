@@ -40,10 +40,7 @@ def _newest_manifest(spark: SparkSession, path: str) -> tuple[int | None, dict[i
 def _all_writes(spark: SparkSession, path: str) -> tuple[DataFrame, int | None]:
     """Rows of the newest base version and of the batches after it."""
     version, covered = _newest_manifest(spark, path)
-    log = read_log(spark, path)
-    for epoch, batch_id in covered.items():
-        log = log.filter((F.col("epoch") != epoch) | (F.col("batch_id") > batch_id))
-    writes = log.select(*schemas.BASE.names)
+    writes = read_log(spark, path, covered=covered).select(*schemas.BASE.names)
     if version is not None:
         base = spark.read.schema(schemas.BASE).parquet(f"{path}/base/version={version}")
         writes = base.unionByName(writes)

@@ -2,6 +2,7 @@
 
 import datetime
 
+import pyarrow.parquet
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +50,15 @@ def test_loads_append(spark, tmp_path):
     assert spark.read.parquet(path).count() == 17
 
 
+def test_files_are_sorted_by_day_and_store(spark, tmp_path):
+    path = tmp_path / "history"
+    history.load_history(cleaned(spark, 2_000), str(path), grain="month")
+    for file in path.rglob("*.parquet"):
+        rows = pyarrow.parquet.ParquetFile(file).read(["transaction_date", "store_id", "rowkey"])
+        keys = [tuple(row.values()) for row in rows.to_pylist()]
+        assert keys == sorted(keys)
+
+
 def test_an_empty_load_counts_zero(spark, tmp_path):
     assert history.load_history(cleaned(spark, 0), str(tmp_path / "history")) == 0
 

@@ -33,7 +33,7 @@ from tillroll.streaming import ingest, live, view  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 MEMORY = os.environ.get("BENCH_MEMORY", "12g")
 ALL_AT_ONCE = {"availableNow": True}
 
@@ -46,6 +46,8 @@ def session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", MEMORY)
         .config("spark.sql.shuffle.partitions", CPUS)
+        # Files of a few megabytes: the default of 64 would leave most cores without work.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.operators.ranking import total_order
+from tillroll.operators.ranking import orderable, total_order
 from tillroll.sources.shared import staged
 
 INDEX = "row_index"
@@ -52,15 +52,22 @@ def dense_index(
     """Number rows 0, 1, 2, ... along `order_cols`; ties follow the remaining columns.
 
     One range shuffle. Arrival position is the last sort key, so even a large set of exact
-    copies is divided between tasks. Rows are written before the shuffle as well: sampling
-    the ranges then does not compute `df` a second time, and a task that runs again finds
-    every row at the same position. The numbered rows live in `folder`, by default under
-    the shared folder, which has to outlive the result.
+    copies is divided between tasks. It is taken from partitions sorted by a content hash,
+    one radix sort: a task that runs again, also one that reads a shuffle, gives every row
+    the same position. Spark computes `df` twice, first to sample the ranges; write a costly
+    `df` to a table before. The numbered rows live in `folder`, by default under the shared
+    folder, which has to outlive the result.
     """
     leading = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_cols]
     named = [c for c in order_cols if isinstance(c, str)]
     order = total_order(df, leading, named)
-    arrived = staged(df.withColumn("__arrival", F.monotonically_increasing_id()), "arrived")
+    content = F.xxhash64(*[F.col(f"`{field.name}`") for field in orderable(df)])
+    arrived = (
+        df.withColumn("__content", content)
+        .sortWithinPartitions("__content")
+        .withColumn("__arrival", F.monotonically_increasing_id())
+        .drop("__content")
+    )
     order = [*order, F.col("__arrival").asc()]
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (

@@ -11,12 +11,16 @@ _RANK = "__rank"
 _SLICE = "__slice"
 
 
+def orderable(df: DataFrame) -> list[T.StructField]:
+    return [f for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
+
 def total_order(df: DataFrame, leading: Sequence[Column], named: Sequence[str]) -> list[Column]:
     """`leading`, then every column not in `named`, so that ties are only exact copies."""
     rest = [
         F.col(f"`{field.name}`").asc_nulls_first()
-        for field in df.schema.fields
-        if field.name not in named and not isinstance(field.dataType, (T.MapType, T.VariantType))
+        for field in orderable(df)
+        if field.name not in named
     ]
     return [*leading, *rest]
 

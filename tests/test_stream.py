@@ -225,6 +225,35 @@ def test_compaction_keeps_the_view(spark, tmp_path):
     assert base.count() == 51
 
 
+@pytest.mark.parametrize("keys", [0, 1_000_000])
+def test_the_view_does_not_depend_on_the_join(spark, tmp_path, monkeypatch, keys):
+    monkeypatch.setattr(view, "_BROADCAST_KEYS", keys)
+    source, table = tmp_path / "in", tmp_path / "table"
+    put(source, "a.txt", some_events(200))
+    take_in(spark, source, table)
+    view.compact(spark, str(table))
+    put(source, "b.txt", [wire(i, store=i % 7, time=f"2024-01-01 08:00:{i % 60:02d}", amount=77.0) for i in range(150, 250)])
+    take_in(spark, source, table)
+    # Without the hint Spark would broadcast so few keys on its own.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = current(spark, table)
+        text = view.current_view(spark, str(table))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rows) == 250 and sum(r[3] == 77.0 for r in rows) == 100
+    assert ("BroadcastHashJoin" in text) == (keys > 0)
+    base_side = text.split("LeftAnti")[1].split("BroadcastExchange")[0] if keys else ""
+    assert "Exchange" not in base_side
+
+
+def test_an_earlier_epoch_is_refused(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", some_events(5))
+    take_in(spark, tmp_path / "in", tmp_path / "table", epoch=2)
+    with pytest.raises(Exception, match="in epoch 2 already"):
+        take_in(spark, tmp_path / "in", tmp_path / "table", checkpoint="ck2", epoch=1)
+
+
 def test_a_base_without_a_manifest_is_ignored(spark, tmp_path):
     source, table = tmp_path / "in", tmp_path / "table"
     put(source, "a.txt", some_events(20))

@@ -14,9 +14,10 @@ from tillroll.sources.shared import staged
 INDEX = "row_index"
 _POSITION = "__position"
 _CHUNK_BITS = 33  # monotonically_increasing_id keeps the task number above these bits
-# A start row is a few numbers and at most one path. Two hundred thousand stay far below
-# Spark's broadcast limits; beyond that Spark chooses the join from the sizes it measures.
-_BROADCAST_CHUNKS = 200_000
+# One start row per file block or range. A hundred terabytes in blocks of 128 MB make
+# 800,000 rows, about 150 MB with their paths. Beyond the bound Spark chooses the join.
+_BROADCAST_BYTES = 256 * 1024 * 1024
+_ROW_BYTES = 64  # numbers, pointers and hash table of one row, without texts
 
 
 def _numbered(rows: DataFrame, chunk: Sequence[str], name: str) -> DataFrame:
@@ -37,7 +38,9 @@ def _numbered(rows: DataFrame, chunk: Sequence[str], name: str) -> DataFrame:
         .select(*chunk, "__shift")
     )
     starts = staged(starts, "chunk-starts")
-    if starts.count() <= _BROADCAST_CHUNKS:
+    texts = sum((F.octet_length(F.col(name).cast("string")) for name in chunk), F.lit(_ROW_BYTES))
+    size = starts.agg(F.sum(texts)).first()[0] or 0
+    if size <= _BROADCAST_BYTES:
         starts = F.broadcast(starts)
     return (
         rows.join(starts, list(chunk))

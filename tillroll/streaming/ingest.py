@@ -5,7 +5,8 @@
 
 A batch without a journal row is invisible to readers and is written anew by a retry; a
 batch with one is never touched again. An epoch is one life of a checkpoint: whoever
-starts over with a new checkpoint passes a higher epoch, since batch numbers restart.
+starts over with a new checkpoint passes a higher epoch, since batch numbers restart. One
+stream writes to a table at a time, and no stream goes back to an earlier epoch.
 """
 
 import datetime
@@ -100,7 +101,11 @@ def batch_writer(path: str, epoch: int) -> Callable[[DataFrame, int], None]:
         nonlocal finished
         if finished is None:
             journal = read_journal(batch.sparkSession, path)
-            last = journal.filter(F.col("epoch") == epoch).agg(F.max("batch_id")).first()[0]
+            newest, last = journal.agg(
+                F.max("epoch"), F.max(F.when(F.col("epoch") == epoch, F.col("batch_id")))
+            ).first()
+            if newest is not None and newest > epoch:
+                raise ValueError(f"the table is in epoch {newest} already, not in {epoch}")
             finished = -1 if last is None else last
         if batch_id > finished:
             _write_batch(batch, path, epoch, batch_id)

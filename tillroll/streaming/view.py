@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from tillroll import fixed, schemas
 from tillroll.operators.ranking import top_per_key
 from tillroll.plans.history import as_text
-from tillroll.streaming.ingest import read_journal, read_log
+from tillroll.streaming.ingest import after_batches, read_journal, read_log
 
 _WRITE_ORDER = ("epoch", "batch_id", "seq", "event_time")
 _CONTENT = fixed.EVENT_FIELDS
+# Row keys have some fifty characters: a million of them take about a hundred megabytes.
+_BROADCAST_KEYS = 1_000_000
 
 
 def last_write(rows: DataFrame) -> DataFrame:
@@ -37,20 +39,30 @@ def _newest_manifest(spark: SparkSession, path: str) -> tuple[int | None, dict[i
     return version, {row["epoch"]: row["batch_id"] for row in covered}
 
 
-def _all_writes(spark: SparkSession, path: str) -> tuple[DataFrame, int | None]:
-    """Rows of the newest base version and of the batches after it."""
+def _current(spark: SparkSession, path: str) -> tuple[DataFrame, int | None]:
+    """Current rows, and the base version they start from.
+
+    Every batch after the base is later than all of it, so a key in the log replaces the
+    base row. The base has one row per key: it is neither shuffled nor sorted as long as
+    the new keys are few enough to be broadcast.
+    """
     version, covered = _newest_manifest(spark, path)
-    writes = read_log(spark, path, covered=covered).select(*schemas.BASE.names)
-    if version is not None:
-        base = spark.read.schema(schemas.BASE).parquet(f"{path}/base/version={version}")
-        writes = base.unionByName(writes)
-    return writes, version
+    log = read_log(spark, path, covered=covered).select(*schemas.BASE.names)
+    new = last_write(log)
+    if version is None:
+        return new, None
+    base = spark.read.schema(schemas.BASE).parquet(f"{path}/base/version={version}")
+    replaced = log.select("rowkey").distinct()
+    pending = read_journal(spark, path).filter(after_batches(covered)).agg(F.sum("rows")).first()[0]
+    if (pending or 0) <= _BROADCAST_KEYS:
+        replaced = F.broadcast(replaced)
+    return base.join(replaced, "rowkey", "left_anti").unionByName(new), version
 
 
 def current_view(spark: SparkSession, path: str) -> DataFrame:
     """Row key, event fields and event time of the last write per row key."""
-    writes, _ = _all_writes(spark, path)
-    return last_write(writes).select("rowkey", *fixed.EVENT_FIELDS, "event_time", "salt")
+    rows, _ = _current(spark, path)
+    return rows.select("rowkey", *fixed.EVENT_FIELDS, "event_time", "salt")
 
 
 def serving_text(view: DataFrame) -> DataFrame:
@@ -66,10 +78,10 @@ def compact(spark: SparkSession, path: str) -> int:
         .agg(F.max("batch_id").alias("batch_id"))
         .collect()
     )
-    writes, version = _all_writes(spark, path)
+    rows, version = _current(spark, path)
     target = 0 if version is None else version + 1
     (
-        last_write(writes)
+        rows.select(*schemas.BASE.names)
         .hint("rebalance", "salt")
         .write.mode("overwrite")
         .partitionBy("salt")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tillroll.operators.row_keys import with_key_batch
 from tillroll.plans import history, sales
 from tillroll.plans.cleaning import clean_transactions
-from tests.test_cleaning import RAW
 
 DAY = datetime.datetime(2020, 1, 30)
 

@@ -1,6 +1,8 @@
 """Gapless row numbers over a whole table without a single-task window.
 
-Both variants write the rows, tagged with a position that rises inside each written chunk. A count per chunk gives the chunk's start; the start table is tiny next to the rows.
+Both variants write the rows, tagged with a position that rises inside each written chunk.
+A count per chunk gives the chunk's start. The start table, one row per range or file block,
+is the only thing that a single task sorts.
 """
 
 from collections.abc import Sequence

@@ -88,7 +88,7 @@ def compact(spark: SparkSession, path: str) -> int:
         .parquet(f"{path}/base/version={target}")
     )
     (
-        spark.createDataFrame([(r["epoch"], r["batch_id"]) for r in covered], "epoch long, batch_id long")
+        spark.createDataFrame(covered, "epoch long, batch_id long")
         .coalesce(1)
         .write.mode("overwrite")
         .parquet(f"{path}/manifest/version={target}")

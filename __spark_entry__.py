@@ -410,8 +410,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def compared(run):
         return lambda spark, sf_dir: comparable(run(spark, sf_dir))
 
-    return {name: compared(run) for name, run in plain.items()}
+    return {name: compared(run) for name, run in plain.items()} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.sql()
+    return oracles.sql() | _training_data()[1]
+
+
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, none where these are not installed."""
+    try:
+        import corpus_pipeline
+        from tillroll.llm import queries as training
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "tillroll.llm", "tillroll.llm.queries"):
+            raise
+        return {}, {}
+    found, sql = training.queries(), training.oracle_sql()
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql

@@ -20,6 +20,11 @@ KNOWN = re.compile("[\t\n\x0b\x0c\r\x20-\x7e -ɏ‐-‧€]*")
 _WORD = re.compile(f" (?=[^{_SPACE}])")
 
 
+PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+
+
 def byte_alphabet() -> dict[str, int]:
     """The character that stands for each byte in a byte-level vocabulary."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -53,7 +58,39 @@ class ByteBPE:
             and not any(t["lstrip"] or t["rstrip"] for t in parts["added_tokens"])
         )
 
+        self.ranked = self._ranked(parts["model"]["merges"]) if self.simple else None
+
+    def _ranked(self, merges: list):
+        """The same merges in the other library, which is five times as fast on short words;
+        only if every merge makes the next id, so that ids rank them. Else None."""
+        import tiktoken
+
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in merges]
+        alphabet, taken = byte_alphabet(), set(self.added)
+        made = [self.vocabulary.get("".join(pair)) for pair in pairs]
+        if made != list(range(256, 256 + len(made))):
+            return None
+        ranks = {
+            bytes(alphabet[c] for c in token): number
+            for token, number in self.vocabulary.items()
+            if token not in taken
+        }
+        return tiktoken.Encoding(
+            "ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+
     def encode(self, texts: list[str]) -> list[list[int]]:
+        """The library's ids of each text, without special tokens around it."""
+        if self.ranked is None:
+            return self._library(texts)
+        known = [self.can_cut(text) for text in texts]
+        rest = iter(self._library([t for t, fast in zip(texts, known, strict=True) if not fast]))
+        fast_ids = self.ranked.encode_ordinary
+        return [fast_ids(t) if fast else next(rest) for t, fast in zip(texts, known, strict=True)]
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        if not texts:
+            return []
         return [x.ids for x in self.library.encode_batch(texts, add_special_tokens=False)]
 
     def can_cut(self, text: str) -> bool:
@@ -94,5 +131,5 @@ def whole_tokens(path: str) -> frozenset[str]:
         if KNOWN.fullmatch(text) and PRE_TOKEN.fullmatch(text):
             texts.append(text)
             ids.append(token_id)
-    found = bpe.encode(texts)
+    found = bpe._library(texts)
     return frozenset(t for t, i, got in zip(texts, ids, found, strict=True) if got == [i])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from tillroll.sources.shared import staged
 
 from .byte_bpe import byte_bpe
-from .chunk_table import ChunkTable
-from .slices import keyed_text, list_array, map_text
+from .slices import keyed_text, list_array, slices
 
 SEQUENCE_TOKENS = 1024
 OPEN_WINDOWS = 32
@@ -28,35 +27,40 @@ _PLACES = "doc_tokens long, sequence_id long, offset long, part long, open boole
 _ROWS = 2_000
 
 
-def tokens(
-    docs: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(doc_id, ids): the library's ids of the whole text and then `end_id`.
+#: A piece to be packed: its document, ids before it, its ids, ids of the whole document.
+Piece = tuple[object, int, np.ndarray, int]
 
-    A null or empty text has `end_id` only.
-    """
+
+def text_pieces(path: str, end_id: int = 0) -> Callable[[], Callable]:
+    """Whole documents (doc_id, text) as pieces: the library's ids of the text and `end_id`."""
 
     def prepare():
         bpe = byte_bpe(path)
-        table = ChunkTable(bpe.encode)
 
-        def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            words: list[str] = []
-            ends = np.empty(part.num_rows, np.int64)
-            for i, text in enumerate(part.column("text").to_pylist()):
-                words += bpe.words(text)
-                ends[i] = len(words)
-            ids, stops = table.ids(words, ends)
-            ids = np.insert(ids, stops, end_id)
-            stops = stops + np.arange(1, len(stops) + 1)
-            columns = [part.column("doc_id"), list_array(ids, stops)]
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "ids"])
+        def pieces(batch: pa.RecordBatch) -> Iterator[Piece]:
+            for part in slices(batch, "text"):
+                found = bpe.encode(part.column("text").to_pylist())
+                for document, ids in zip(part.column("doc_id").to_pylist(), found, strict=True):
+                    ids.append(end_id)
+                    yield document, 0, np.array(ids, np.int32), len(ids)
+
+        return pieces
+
+    return prepare
+
 
-        return work
+def id_pieces() -> Callable:
+    """Pieces that have been cut before (doc_id, start, ids, doc_tokens)."""
 
-    rows = keyed_text(docs, id_col, text_col)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_text(rows, f"doc_id {kind}, ids array<int>", prepare)
+    def pieces(batch: pa.RecordBatch) -> Iterator[Piece]:
+        starts, totals = batch.column("start").to_pylist(), batch.column("doc_tokens").to_pylist()
+        for i, document in enumerate(batch.column("doc_id").to_pylist()):
+            # A copy, so that an open window doesn't hold the whole batch.
+            ids = batch.column("ids")[i].values
+            if ids is not None and len(ids):
+                yield document, starts[i], ids.to_numpy().copy(), totals[i]
+
+    return pieces
 
 
 class Windows:
@@ -101,14 +105,16 @@ class Windows:
         self.room.clear()
 
 
-def _pack_partition(pieces: DataFrame, level: int, size: int, limit: int) -> DataFrame:
-    """Every partition packs its pieces (doc_id, start, ids, doc_tokens); windows still open at
-    its end are marked. Sequence ids are (level, partition, running number)."""
+def _pack_partition(
+    rows_in: DataFrame, prepare: Callable[[], Callable], level: int, size: int, limit: int
+) -> DataFrame:
+    """Every partition packs the pieces of its rows; windows still open at its end are marked.
+    Sequence ids are (level, partition, running number)."""
 
     def run(batches):
         part = TaskContext.get().partitionId()
         first, made = (level << 58) + (part << 32), 0
-        windows, rows = Windows(size, limit), []
+        windows, rows, pieces = Windows(size, limit), [], prepare()
 
         def table() -> pa.RecordBatch:
             documents, starts, ids, totals, sequences, offsets, opened = zip(*rows, strict=True)
@@ -142,15 +148,8 @@ def _pack_partition(pieces: DataFrame, level: int, size: int, limit: int) -> Dat
         kind = None
         for batch in batches:
             kind = batch.column("doc_id").type
-            lists, totals = batch.column("ids"), batch.column("doc_tokens").to_pylist()
-            flat, bounds = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-            bounds = bounds - bounds[0]
-            starts = batch.column("start").to_pylist()
-            documents = batch.column("doc_id").to_pylist()
-            for i in range(batch.num_rows):
-                # A copy, so that an open window doesn't hold the whole batch.
-                ids = flat[bounds[i] : bounds[i + 1]].copy()
-                for window in windows.place((documents[i], starts[i], ids, totals[i])):
+            for piece in pieces(batch):
+                for window in windows.place(piece):
                     add(window, False)
                 if len(rows) >= _ROWS:
                     yield table()
@@ -159,34 +158,29 @@ def _pack_partition(pieces: DataFrame, level: int, size: int, limit: int) -> Dat
         if rows:
             yield table()
 
-    kind = pieces.schema["doc_id"].dataType.simpleString()
+    kind = rows_in.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids array<int>, {_PLACES}"
-    return pieces.select("doc_id", "start", "ids", "doc_tokens").mapInArrow(run, schema)
+    return rows_in.mapInArrow(run, schema)
 
 
 def pack(
-    tokenized: DataFrame,
+    rows: DataFrame,
+    prepare: Callable[[], Callable],
     size: int = SEQUENCE_TOKENS,
     open_windows: int = OPEN_WINDOWS,
     merge_width: int = MERGE_WIDTH,
 ) -> DataFrame:
-    """One row per piece of (doc_id, ids) rows: doc_id, start, length, ids, doc_tokens,
-    sequence_id, offset.
+    """One row per piece of the documents in `rows`: doc_id, start, length, ids, doc_tokens,
+    sequence_id, offset. `prepare` gives, in each task, the function that makes pieces of rows.
 
     Each partition packs what it reads, with at most `open_windows` unfinished windows of
     `size` tokens. Its leftovers, at most that many, meet those of `merge_width` other
     partitions, and so on until one task has them all; there one window at a time is
     filled, so that the whole corpus has at most one sequence that is not full. Every id lies
-    in exactly one piece. Rows without ids (null or empty) have no piece; repeated rows are
-    packed each; no shuffle moves more than leftovers. No rows in, no rows out.
+    in exactly one piece. Rows without ids have no piece; repeated rows are packed each; no
+    shuffle moves more than leftovers. No rows in, no rows out.
     """
-    pieces = tokenized.filter(F.size("ids") > 0).select(
-        "doc_id",
-        F.lit(0).cast("long").alias("start"),
-        "ids",
-        F.size("ids").cast("long").alias("doc_tokens"),
-    )
-    packed = staged(_pack_partition(pieces, 0, size, open_windows), "packed")
+    packed = staged(_pack_partition(rows, prepare, 0, size, open_windows), "packed")
     done, level = [packed.filter(~F.col("open"))], 0
     parts = packed.agg(F.coalesce(F.max("part"), F.lit(0))).first()[0] + 1
     while True:
@@ -195,7 +189,8 @@ def pack(
         parts = -(-parts // merge_width)
         left = packed.filter("open").repartition(parts, F.floor(F.col("part") / merge_width))
         left = left.sortWithinPartitions("part", "sequence_id", "offset")
-        merged = _pack_partition(left, level, size, 1 if last else open_windows)
+        left = left.select("doc_id", "start", "ids", "doc_tokens")
+        merged = _pack_partition(left, id_pieces, level, size, 1 if last else open_windows)
         packed = staged(merged, "leftovers")
         if last:
             done.append(packed)
@@ -214,9 +209,17 @@ def ids_crc32(ids: pd.Series) -> pd.Series:
     return ids.map(lambda x: zlib.crc32(np.asarray(x, "<u4").tobytes()))
 
 
+def pack_text(
+    docs: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """`pack` for documents; a null or empty text has `end_id` only. Other columns are not
+    read."""
+    return pack(keyed_text(docs, id_col, text_col), text_pieces(path, end_id))
+
+
 def packed_documents(docs: DataFrame, path: str) -> DataFrame:
     """The registered query: every piece with a checksum in place of its ids."""
-    pieces, checksum = pack(tokens(docs, path)), F.pandas_udf(ids_crc32, "long")
+    pieces, checksum = pack_text(docs, path), F.pandas_udf(ids_crc32, "long")
     return pieces.select(
         "doc_id", "start", "length", checksum("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset",

@@ -10,12 +10,12 @@ from functools import lru_cache
 # Latin scripts and common signs, where all Unicode versions agree on classes.
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _DIGIT = "0-9²³¹¼-¾"
-_SPACE = "\t\n\x0b\x0c\r\x20 "
+_SPACE = "\t\n\x0b\x0c\r\x20\u00a0"
 PRE_TOKEN = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^{_SPACE}{_LETTER}{_DIGIT}]+"
     f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
-KNOWN = re.compile("[\t\n\x0b\x0c\r\x20-\x7e -ɏ‐-‧€]*")
+KNOWN = re.compile("[\t\n\x0b\x0c\r\x20-\x7e\u00a0-ɏ‐-‧€]*")
 #: Pre-tokens begin at a space before a visible character, whatever stands around.
 _WORD = re.compile(f" (?=[^{_SPACE}])")
 

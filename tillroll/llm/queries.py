@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sentence_pieces, token_counts
+from . import packing, pii, sentence_pieces, token_counts
 from .shipping import ship_package
 
 #: A vocabulary file's name -> its path; the files are never part of the library.
@@ -29,6 +29,10 @@ def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.round_trip(docs, vocabulary(PIECE_MODEL))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(_read(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_read(spark, sf_dir, "documents"), vocabulary(BYTE_MODEL))
 
@@ -40,6 +44,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentence_pieces": op1_sentence_pieces,
+        "op2_pii": op2_pii,
         "op4_packing": op4_packing,
         "op10_token_counts": op10_token_counts,
     }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Chunks kept from slice to slice; beyond it a task starts its table anew.
-TABLE_ROWS = 1_000_000
+TABLE_ROWS = 400_000
 TABLE_CHARS = 12_000_000
 
 

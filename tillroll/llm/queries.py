@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pii, sentence_pieces, token_counts
+from . import language, main_text, packing, pii, sentence_pieces, token_counts
 from .shipping import ship_package
 
 #: A vocabulary file's name -> its path; the files are never part of the library.
@@ -37,6 +37,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_read(spark, sf_dir, "documents"), vocabulary(BYTE_MODEL))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_main_text(_read(spark, sf_dir, "pages"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_languages(_read(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_limit(_read(spark, sf_dir, "documents"), vocabulary(BYTE_MODEL))
 
@@ -46,6 +54,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sentence_pieces": op1_sentence_pieces,
         "op2_pii": op2_pii,
         "op4_packing": op4_packing,
+        "op6_main_text": op6_main_text,
+        "op7_language": op7_language,
         "op10_token_counts": op10_token_counts,
     }
 

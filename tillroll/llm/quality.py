@@ -31,6 +31,7 @@ CUTOFF = 42.0
 FLOOR = (0.5, 0.12, 0.5, 1.0, 1.0)
 #: Groups with fewer rows than this share one estimate.
 MIN_GROUP = 50
+SALTS = 16
 #: The central 75 % of five normal statistics vary that much less than all rows do.
 CONSISTENCY = 1.41
 
@@ -138,9 +139,17 @@ _X = [f"_x{i}" for i in range(_SIZE)]
 _PAIRS = [(j, i) for i, j in combinations_with_replacement(range(_SIZE), 2)]
 
 
+def _beside(rows: DataFrame, small: DataFrame) -> DataFrame:
+    """`rows` with what `small` has for their group, null if nothing. Large groups are dealt
+    out by a salt, so that a join by shuffling doesn't bring one to a single task."""
+    salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    copies = small.withColumn("_salt", F.explode(salt))
+    return rows.join(copies, ["_group", "_salt"], "left")
+
+
 def _distances(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """`rows` with the squared Mahalanobis distance `_d` to their group's estimate."""
-    out, z = rows.join(estimates, "_group", "left"), []
+    out, z = _beside(rows, estimates), []
     for i, x in enumerate(_X):
         rest = F.col(x) - F.col(f"_m{i}")
         for k in range(i):
@@ -148,13 +157,13 @@ def _distances(rows: DataFrame, estimates: DataFrame) -> DataFrame:
         z.append(f"_z{i}")
         out = out.withColumn(z[i], rest / F.col(f"_l{i}{i}"))
     squared = sum((F.col(name) * F.col(name) for name in z[1:]), F.col(z[0]) * F.col(z[0]))
-    return out.withColumn("_d", squared).drop(*z, *(c for c in estimates.columns if c != "_group"))
+    return out.withColumn("_d", squared).drop(*z, *(c for c in estimates.columns if c not in ("_group", "_salt")))
 
 
 def _central(rows: DataFrame) -> DataFrame:
     """The rows of each group with the smallest `_d`, a share of SUPPORT or more by ties."""
     bound = rows.groupBy("_group").agg(F.percentile_approx("_d", SUPPORT, 10_000).alias("_bound"))
-    return rows.join(bound, "_group").filter(F.col("_d") <= F.col("_bound"))
+    return _beside(rows, bound).filter(F.col("_d") <= F.col("_bound"))
 
 
 def _estimates(subset: DataFrame) -> DataFrame:
@@ -198,16 +207,17 @@ def outliers(
     name = F.to_json(F.struct(F.col(lang_col).alias("l"), F.col(source_col).alias("s")))
     named = measured.withColumn(f"{prefix}base_failed", failed).withColumn("_name", name)
     named = named.withColumns(dict(zip(_X, _vector(prefix), strict=True)))
+    named = named.withColumn("_salt", F.pmod(F.xxhash64(*_X), F.lit(SALTS)).cast("int"))
     passing = named.filter(~F.col(f"{prefix}base_failed"))
     groups = passing.groupBy("_name").agg(F.count(F.lit(1)).alias("_rows"))
     large = F.when(F.col("_rows") >= MIN_GROUP, F.col("_name")).otherwise("small")
     groups = staged(groups.select("_name", large.alias("_group")), "groups")
 
-    rows = passing.select("_name", *_X).join(groups, "_name").drop("_name")
+    rows = passing.select("_name", "_salt", *_X).join(groups, "_name").drop("_name")
     middle = rows.groupBy("_group").agg(
         *(F.percentile_approx(x, 0.5, 1_000).alias(f"_m{i}") for i, x in enumerate(_X))
     )
-    spread = rows.join(middle, "_group").groupBy("_group").agg(
+    spread = _beside(rows, middle).groupBy("_group").agg(
         *(F.first(f"_m{i}").alias(f"_m{i}") for i in range(_SIZE)),
         *(
             F.percentile_approx(F.abs(F.col(x) - F.col(f"_m{i}")), 0.5, 1_000).alias(f"_s{i}")
@@ -229,7 +239,7 @@ def outliers(
     judged = _distances(named.join(groups, "_name", "left"), estimates)
     near = F.coalesce(F.col("_d") <= CUTOFF, F.lit(True))
     judged = judged.withColumn(f"{prefix}kept", ~F.col(f"{prefix}base_failed") & near)
-    return judged.drop("_name", "_group", "_d", *_X)
+    return judged.drop("_name", "_group", "_salt", "_d", *_X)
 
 
 def assess_quality(docs: DataFrame) -> DataFrame:

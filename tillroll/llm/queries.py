@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, main_text, packing, pii, quality, sentence_pieces, token_counts
+from . import language, main_text, packing, pii, quality, sentence_pieces, token_counts, vectors
 from .shipping import ship_package
 
 #: A vocabulary file's name -> its path; the files are never part of the library.
@@ -49,6 +49,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess_quality(_read(spark, sf_dir, "documents"))
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_limit(_read(spark, sf_dir, "documents"), vocabulary(BYTE_MODEL))
 
@@ -61,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_main_text": op6_main_text,
         "op7_language": op7_language,
         "op8_quality": op8_quality,
+        "op9_vectors": op9_vectors,
         "op10_token_counts": op10_token_counts,
     }
 

@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, main_text, packing, pii, quality, sentence_pieces, token_counts, vectors
+from . import (
+    language,
+    main_text,
+    packing,
+    pii,
+    quality,
+    sentence_pieces,
+    shingle_join,
+    token_counts,
+    vectors,
+)
 from .shipping import ship_package
 
 #: A vocabulary file's name -> its path; the files are never part of the library.
@@ -37,6 +47,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_read(spark, sf_dir, "documents"), vocabulary(BYTE_MODEL))
 
 
+def op5_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.link_shingles(_read(spark, sf_dir, "documents"))
+
+
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract_main_text(_read(spark, sf_dir, "pages"))
 
@@ -62,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sentence_pieces": op1_sentence_pieces,
         "op2_pii": op2_pii,
         "op4_packing": op4_packing,
+        "op5_shingle_join": op5_shingle_join,
         "op6_main_text": op6_main_text,
         "op7_language": op7_language,
         "op8_quality": op8_quality,

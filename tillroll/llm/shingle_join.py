@@ -10,7 +10,10 @@ missing from dy, so that one more, in an order that all share, always has one in
 
 The first pivot is the empty set, whose differences are the sets themselves: ordinary pivots
 have distance one from nearly all documents of a corpus and would divide nothing. The common order
-there takes rare shingles first, by a counting sketch of all documents.
+there takes rare shingles first, by a counting sketch of all documents. Its regions are cut into
+rings of size, with documents at a border in both, and into groups that the triangle inequality
+leaves together: the universe has 64 parts, and sets are at least as far apart as their counts
+in the parts differ.
 """
 
 from __future__ import annotations
@@ -31,12 +34,17 @@ from .slices import list_array, map_text, slices
 
 WORDS, NUMERATOR, DENOMINATOR = 3, 90, 100
 #: Counters of the sketch: four bytes each, all that is ever broadcast.
-SKETCH_BITS = 19
+SKETCH_BITS = 20
 _SKETCH_BLOCK = 1 << 14
 _SLOTS = 32
 #: Members of a region that one task compares with each other; larger ones get a pivot.
 REGION_ROWS = 400
+#: Parts of the universe whose counts bound how far two sets are apart.
+PARTS = 64
+#: Width of the rings around the empty set, as a logarithm of the size.
+RING = 0.35
 _TABLE_ROWS = 400_000
+_COLUMNS = 4096
 
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -149,8 +157,9 @@ def shingle_sketch(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, words: int, num: int, den: int, sketch: np.ndarray) -> DataFrame:
-    """(doc_id, text_hash, node, size, prefix): a digest of each set, and of its elements,
-    rarest first, as many as must include one that a linked set has too."""
+    """(doc_id, text_hash, node, size, prefix, counts): a digest of each set, of its elements,
+    rarest first, as many as must include one that a linked set has too, and how many are
+    in each part of the universe, up to 255."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def prepare():
@@ -158,11 +167,13 @@ def _prefixes(docs: DataFrame, words: int, num: int, den: int, sketch: np.ndarra
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             sets = shingle_sets(part.column("text").to_pylist(), words, table)
-            nodes, fronts = [], []
+            nodes, fronts, parts = [], [], []
             for one in sets:
                 nodes.append(xxhash.xxh3_128_digest(one.tobytes()) if len(one) else None)
                 order = np.argsort(rarity[_cell(one)], kind="stable")
-                fronts.append(one[order[: len(one) + (num * len(one)) // -den + 1]])
+                fronts.append(one[order[: len(one) + (-num * len(one)) // den + 1]])
+                inside = np.bincount((one >> 12) & (PARTS - 1), minlength=PARTS)
+                parts.append(np.minimum(inside, 255).astype(np.uint8).tobytes())
             fronts = [x if len(one) else one for x, one in zip(fronts, sets, strict=True)]
             ends = np.cumsum([len(x) for x in fronts])
             return pa.RecordBatch.from_arrays(
@@ -172,8 +183,9 @@ def _prefixes(docs: DataFrame, words: int, num: int, den: int, sketch: np.ndarra
                     pa.array(nodes, pa.binary()),
                     pa.array([len(x) for x in sets], pa.int64()),
                     list_array(np.concatenate(fronts).astype(np.int64), ends),
+                    pa.array(parts, pa.binary()),
                 ],
-                ["doc_id", "text_hash", "node", "size", "prefix"],
+                ["doc_id", "text_hash", "node", "size", "prefix", "counts"],
             )
 
         return work
@@ -181,7 +193,62 @@ def _prefixes(docs: DataFrame, words: int, num: int, den: int, sketch: np.ndarra
     rows = docs.withColumn("text_hash", F.xxhash64("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_hash long, node binary, size long, prefix array<long>"
-    return map_text(rows, schema, prepare)
+    return map_text(rows, schema + ", counts binary", prepare)
+
+
+def _groups(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(num, pivot) for members of a region that may have a link in it; members follow each
+    other. Those whose counts are near enough, directly or through others, share a pivot."""
+
+    def grouped(held: list[tuple]) -> Iterator[tuple]:
+        sizes = np.array([x[1] for x in held])
+        counts = np.array([np.frombuffer(x[2], np.uint8) for x in held], np.int16)
+        root = list(range(len(held)))
+
+        def top(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        for i in range(len(held) - 1):
+            apart = np.abs(counts[i + 1 :] - counts[i]).sum(axis=1, dtype=np.int64)
+            may = (den + num) * apart <= (den - num) * (sizes[i + 1 :] + sizes[i])
+            for j in (np.flatnonzero(may) + i + 1).tolist():
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+        for i, member in enumerate(held):
+            if top(i) != i:
+                yield member[0], held[top(i)][0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        out: set[tuple] = set()
+
+        def emit() -> pa.RecordBatch:
+            ends = list(zip(*out, strict=True)) if out else [(), ()]
+            out.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()) for x in ends], ["num", "pivot"]
+            )
+
+        region = None
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("region", "num", "size", "counts")]
+            for here, *member in zip(*columns, strict=True):
+                if here != region:
+                    if len(held) > 1:
+                        out.update(grouped(held))
+                    held.clear()
+                    region = here
+                held.append(member)
+            if len(out) > 20_000:
+                yield emit()
+        if len(held) > 1:
+            out.update(grouped(held))
+        yield emit()
+
+    return rows.mapInArrow(run, "num long, pivot long")
 
 
 def _whole_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -217,18 +284,26 @@ def _near(apart: Column, both: Column, num: int, den: int) -> Column:
     return (den + num) * apart <= (den - num) * both
 
 
-def _subregions(tested: DataFrame, key: list[str], num: int, den: int) -> DataFrame:
-    """Members (node, size, near, apart) of the regions of their difference to the pivot. Regions
-    without two members, or with members that are all linked to the pivot, are dropped."""
-    enough = F.floor(F.col("size") * (den - num) / num) + 1
-    spread = tested.withColumn("at", F.explode(F.slice(F.array_sort("apart"), 1, enough.cast("int"))))
-    region = F.unhex(F.md5(F.concat(*(F.col(k).cast("binary") for k in key), F.hex("at").cast("binary"))))
-    spread = spread.select(region.alias("region"), "node", "size", "near", "apart")
-    some = spread.groupBy("region").agg(
+def _unsettled(places: DataFrame) -> DataFrame:
+    """(region, members) of the regions that have two members or more, not all of them linked
+    to the pivot."""
+    found = places.groupBy("region").agg(
         F.count(F.lit(1)).alias("members"), F.bool_and("near").alias("done")
     )
-    some = some.filter((F.col("members") > 1) & ~F.col("done")).drop("done")
-    return spread.join(some, "region")
+    return found.filter((F.col("members") > 1) & ~F.col("done")).drop("done")
+
+
+def _subregions(tested: DataFrame, num: int, den: int) -> DataFrame:
+    """Members (num, size, near, apart) of the regions of their difference to the pivot."""
+    enough = F.floor(F.col("size") * (den - num) / num) + 1
+    front = F.slice(F.array_sort("apart"), 1, enough.cast("int"))
+    spread = tested.select(F.col("region").alias("whole"), "num", "near", F.explode(front).alias("at"))
+    spread = spread.withColumn(
+        "region", F.unhex(F.md5(F.concat_ws("/", F.hex("whole"), F.hex("at"))))
+    )
+    left = spread.drop("near", "at").join(_unsettled(spread), "region")
+    members = tested.select(F.col("region").alias("whole"), "num", "size", "near", "apart")
+    return left.join(members, ["whole", "num"]).drop("whole")
 
 
 def _compared(rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -236,12 +311,19 @@ def _compared(rows: DataFrame, num: int, den: int) -> DataFrame:
     follow each other. Those linked to the region's pivot are connected already."""
 
     def edges(nodes: list, sizes: np.ndarray, near: np.ndarray, lists: list) -> Iterator[tuple]:
-        flat = np.concatenate(lists)
-        _, item = np.unique(flat, return_inverse=True)
         length = np.array([len(x) for x in lists])
-        table = np.zeros((len(nodes), int(item.max()) + 1), np.float32)
-        table[np.repeat(np.arange(len(nodes)), length), item] = 1
-        apart = length[:, None] + length[None, :] - 2 * (table @ table.T)
+        owner = np.repeat(np.arange(len(nodes)), length)
+        _, item, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+        # Items of one member are in no intersection; the others go by blocks of columns.
+        shared = times[item] > 1
+        owner, item = owner[shared], (np.cumsum(times > 1) - 1)[item[shared]]
+        both = np.zeros((len(nodes), len(nodes)), np.float32)
+        for first in range(0, int((times > 1).sum()), _COLUMNS):
+            here = (item >= first) & (item < first + _COLUMNS)
+            table = np.zeros((len(nodes), _COLUMNS), np.float32)
+            table[owner[here], item[here] - first] = 1
+            both += table @ table.T
+        apart = length[:, None] + length[None, :] - 2 * both
         close = (den + num) * apart <= (den - num) * (sizes[:, None] + sizes[None, :])
         close &= ~(near[:, None] & near[None, :])
         root = list(range(len(nodes)))
@@ -270,11 +352,11 @@ def _compared(rows: DataFrame, num: int, den: int) -> DataFrame:
         def emit() -> pa.RecordBatch:
             ends = list(zip(*out, strict=True)) if out else [(), ()]
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in ends], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], ["a", "b"])
 
         region = None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("region", "node", "size", "near")]
+            columns = [batch.column(c).to_pylist() for c in ("region", "num", "size", "near")]
             for i, (here, node, size, near) in enumerate(zip(*columns, strict=True)):
                 if here != region:
                     close()
@@ -285,7 +367,7 @@ def _compared(rows: DataFrame, num: int, den: int) -> DataFrame:
         close()
         yield emit()
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def link_shingles(
@@ -308,65 +390,81 @@ def link_shingles(
     texts = _text_rows(docs, id_col, text_col)
     rows = staged(_prefixes(texts, words, num, den, shingle_sketch(texts, words)), "shingles")
     classes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min(F.struct("doc_id", "text_hash", "size", "prefix")).alias("least")
+        F.min(F.struct("doc_id", "text_hash", "size", "prefix", "counts")).alias("least")
     )
-    classes = staged(classes.select("node", "least.*"), "classes")
-
-    # Level 0: the regions of rare shingles; the pivot of each is its first member.
-    places = classes.select("node", F.explode("prefix").alias("at"))
-    regions = places.groupBy("at").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("pivot"))
-    pairs = places.join(regions.filter(F.col("members") > 1), "at")
-    pairs = pairs.filter(F.col("node") != F.col("pivot")).select("node", "pivot").distinct()
+    # Numbers of a written table: short names for digests that stay what they are.
+    classes = classes.select(F.monotonically_increasing_id().alias("num"), "node", "least.*")
+    classes = staged(classes, "classes")
+
+    # Level 0: the regions of rare shingles, in rings of size.
+    ring = lambda size: F.floor(F.log(size) / RING).cast("int")
+    rings = F.sequence(ring(F.col("size")), ring(F.col("size") * den / num * (1 + 1e-9)))
+    places = classes.select("num", F.explode("prefix").alias("at"), rings.alias("rings"))
+    places = places.select("num", "at", F.explode("rings").alias("ring"))
+    places = places.select("num", F.xxhash64("at", "ring").alias("region"))
+    regions = places.groupBy("region").agg(
+        F.count(F.lit(1)).alias("members"), F.min("num").alias("pivot")
+    )
+    places = places.join(regions.filter(F.col("members") > 1), "region")
+    few = places.filter(F.col("members") <= region_rows).select("region", "num")
+    few = few.join(classes.select("num", "size", "counts"), "num")
+    few = few.repartition("region").sortWithinPartitions("region", "num")
+    many = places.filter(F.col("members") > region_rows).select("num", "pivot")
+    pairs = _groups(few, num, den).union(many.filter(F.col("num") != F.col("pivot"))).distinct()
     pairs = staged(pairs, "pairs")
-    needed = pairs.select("node").union(pairs.select("pivot")).distinct()
-    needed = classes.join(needed, "node", "left_semi").select("doc_id", "text_hash")
+    needed = pairs.select("num").union(pairs.select("pivot")).distinct()
+    needed = staged(classes.join(needed, "num", "left_semi").select("num", "node", "doc_id", "text_hash"), "needed")
     chosen = texts.withColumn("text_hash", F.xxhash64("text")).alias("t").join(
         needed.alias("n"),
         (F.col("t.text_hash") == F.col("n.text_hash")) & F.col("t.doc_id").eqNullSafe(F.col("n.doc_id")),
         "left_semi",
     )
-    sets = staged(_whole_sets(chosen, words), "sets")
-    centre = sets.select(F.col("node").alias("pivot"), F.col("size").alias("width"), F.col("items").alias("own"))
+    sets = _whole_sets(chosen, words).join(needed.select("num", "node"), "node").drop("node")
+    sets = staged(sets, "sets")
+    centre = sets.select(F.col("num").alias("pivot"), F.col("size").alias("width"), F.col("items").alias("own"))
     apart = _difference("items", "own")
-    tested = pairs.join(sets, "node").join(centre, "pivot")
-    tested = tested.select("pivot", "node", "size", "width", apart.alias("apart"))
+    tested = pairs.join(sets, "num").join(centre, "pivot")
+    tested = tested.select("pivot", "num", "size", "width", apart.alias("apart"))
     near = _near(F.size("apart"), F.col("size") + F.col("width"), num, den)
-    tested = staged(tested.select("pivot", "node", "size", near.alias("near"), "apart"), "tested")
-    found = [tested.filter("near").select(F.col("node").alias("a"), F.col("pivot").alias("b"))]
-
-    members = staged(_subregions(tested, ["pivot"], num, den), "regions")
-    while True:
-        few = members.filter(F.col("members") <= region_rows).drop("members")
-        runs = few.repartition("region").sortWithinPartitions("region", "node")
+    tested = tested.select("pivot", "num", "size", near.alias("near"), "apart")
+    region = F.unhex(F.md5(F.hex("pivot")))
+    tested = staged(tested.withColumn("region", region), "tested")
+    found = [tested.filter("near").select(F.col("num").alias("a"), F.col("pivot").alias("b"))]
+
+    def settled(members: DataFrame) -> DataFrame:
+        """Compare the members of small regions; the large regions are left."""
+        few = members.filter(F.col("members") <= region_rows)
+        runs = few.repartition("region").sortWithinPartitions("region", "num")
         found.append(staged(_compared(runs, num, den), "edges"))
-        many = members.filter(F.col("members") > region_rows)
-        if many.isEmpty():
-            break
+        return members.filter(F.col("members") > region_rows)
+
+    many = settled(tested.join(_unsettled(tested), "region"))
+    while not many.isEmpty():
+        many = settled(staged(_subregions(many, num, den), "regions"))
         # The member nearest to the last pivot is the next one.
-        picked = F.min(F.struct(F.size("apart").alias("n"), "node", "size", "apart")).alias("p")
-        centre = many.groupBy("region").agg(picked)
-        tested = many.join(centre, "region").filter(F.col("node") != F.col("p.node"))
-        tested = tested.withColumn("own", F.col("p.apart"))
-        tested = tested.select(
+        picked = F.min(F.struct(F.size("apart").alias("n"), "num", "size", "apart")).alias("p")
+        tested = many.join(many.groupBy("region").agg(picked), "region")
+        tested = tested.filter(F.col("num") != F.col("p.num")).select(
             "region",
-            "node",
+            "num",
             "size",
-            F.col("p.node").alias("pivot"),
+            F.col("p.num").alias("pivot"),
             F.col("p.size").alias("width"),
-            _difference("apart", "own").alias("apart"),
+            "apart",
+            F.col("p.apart").alias("own"),
         )
+        tested = tested.withColumn("apart", _difference("apart", "own")).drop("own")
         near = _near(F.size("apart"), F.col("size") + F.col("width"), num, den)
-        tested = staged(tested.withColumn("near", near), "tested")
-        found.append(tested.filter("near").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-        members = staged(_subregions(tested, ["region", "pivot"], num, den), "regions")
+        many = staged(tested.withColumn("near", near), "tested")
+        found.append(many.filter("near").select(F.col("num").alias("a"), F.col("pivot").alias("b")))
 
     edges = found[0]
     for more in found[1:]:
         edges = edges.union(more)
     roots = components(edges.distinct())
-    roots = roots.select(F.col("id").alias("node"), "root")
-    named = classes.select("node", "doc_id").join(roots, "node", "left")
-    named = named.withColumn("root", F.coalesce("root", "node"))
+    roots = roots.select(F.col("id").alias("num"), "root")
+    named = classes.select("num", "node", "doc_id").join(roots, "num", "left")
+    named = named.withColumn("root", F.coalesce("root", "num"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     known = named.join(smallest, "root").select("node", "component_id")
     out = rows.select("doc_id", "size", "node").join(known, "node", "left")

@@ -12,7 +12,7 @@ The first pivot is the empty set, whose differences are the sets themselves: ord
 have distance one from nearly all documents of a corpus and would divide nothing. The common order
 there takes rare shingles first, by a counting sketch of all documents. Its regions are cut into
 rings of size, with documents at a border in both, and into groups that the triangle inequality
-leaves together: the universe has 64 parts, and sets are at least as far apart as their counts
+leaves together: the universe has 32 parts, and sets are at least as far apart as their counts
 in the parts differ.
 """
 
@@ -34,15 +34,15 @@ from .slices import list_array, map_text, slices
 
 WORDS, NUMERATOR, DENOMINATOR = 3, 90, 100
 #: Counters of the sketch: four bytes each, all that is ever broadcast.
-SKETCH_BITS = 20
-_SKETCH_BLOCK = 1 << 14
+SKETCH_BITS = 22
+_SKETCH_BLOCK = 1 << 16
 _SLOTS = 32
 #: Members of a region that one task compares with each other; larger ones get a pivot.
 REGION_ROWS = 400
 #: Parts of the universe whose counts bound how far two sets are apart.
-PARTS = 64
+PARTS = 32
 #: Width of the rings around the empty set, as a logarithm of the size.
-RING = 0.35
+RING = 0.25
 _TABLE_ROWS = 400_000
 _COLUMNS = 4096
 
@@ -97,8 +97,9 @@ def _text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
 
 
-def _added_up(rows: DataFrame) -> DataFrame:
-    """Sums of the counters of rows that follow each other and have the same block and slot."""
+def _added_up(rows: DataFrame, kind: str) -> DataFrame:
+    """Sums of the counters of rows that follow each other and have the same block and slot.
+    `kind`: numbers as they come; sums are of four bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, total = None, None
@@ -113,7 +114,7 @@ def _added_up(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 here = batch.column("block")[row].as_py(), batch.column("slot")[row].as_py()
-                counts = np.frombuffer(batch.column("counts")[row].as_py(), "<u4")
+                counts = np.frombuffer(batch.column("counts")[row].as_py(), kind)
                 if here != key:
                     if key is not None:
                         yield emit()
@@ -127,17 +128,19 @@ def _added_up(rows: DataFrame) -> DataFrame:
 
 def shingle_sketch(docs: DataFrame, words: int) -> np.ndarray:
     """How many documents have a shingle, added up over all shingles of a cell, for the whole
-    corpus. Every task sends one array of fixed size; they are added up in two steps."""
+    corpus. Every task sends one array of fixed size, a byte for each cell: beyond 255 in one
+    task a cell is frequent however many there are. They are added up in two steps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, total = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64)
+        table, total = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int32)
         slot = TaskContext.get().partitionId() % _SLOTS
         for batch in batches:
             for part in slices(batch, "text"):
                 for one in shingle_sets(part.column("text").to_pylist(), words, table):
                     np.add.at(total, _cell(one), 1)
         for block in range(len(total) // _SKETCH_BLOCK):
-            counts = total[block * _SKETCH_BLOCK : (block + 1) * _SKETCH_BLOCK].astype("<u4")
+            counts = total[block * _SKETCH_BLOCK : (block + 1) * _SKETCH_BLOCK]
+            counts = np.minimum(counts, 255).astype(np.uint8)
             arrays = [
                 pa.array([block], pa.int32()),
                 pa.array([slot], pa.int32()),
@@ -147,8 +150,8 @@ def shingle_sketch(docs: DataFrame, words: int) -> np.ndarray:
 
     made = docs.select("text").mapInArrow(run, "block int, slot int, counts binary")
     once = made.repartition("block", "slot").sortWithinPartitions("block", "slot")
-    once = _added_up(once).withColumn("slot", F.lit(0).cast("int"))
-    twice = _added_up(once.repartition("block").sortWithinPartitions("block"))
+    once = _added_up(once, "u1").withColumn("slot", F.lit(0).cast("int"))
+    twice = _added_up(once.repartition("block").sortWithinPartitions("block"), "<u4")
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
     for row in twice.collect():
         at = row["block"] * _SKETCH_BLOCK
@@ -399,13 +402,20 @@ def link_shingles(
     # Level 0: the regions of rare shingles, in rings of size.
     ring = lambda size: F.floor(F.log(size) / RING).cast("int")
     rings = F.sequence(ring(F.col("size")), ring(F.col("size") * den / num * (1 + 1e-9)))
-    places = classes.select("num", F.explode("prefix").alias("at"), rings.alias("rings"))
-    places = places.select("num", "at", F.explode("rings").alias("ring"))
-    places = places.select("num", F.xxhash64("at", "ring").alias("region"))
+    wide = F.col("size").cast("int").alias("size")
+    places = classes.select("num", wide, F.explode("prefix").alias("at"), rings.alias("rings"))
+    places = places.select("num", "size", "at", F.explode("rings").alias("ring"))
+    places = places.select("num", "size", F.xxhash64("at", "ring").alias("region"))
     regions = places.groupBy("region").agg(
-        F.count(F.lit(1)).alias("members"), F.min("num").alias("pivot")
+        F.count(F.lit(1)).alias("members"),
+        F.min("num").alias("pivot"),
+        F.min("size").alias("low"),
+        F.max("size").alias("high"),
     )
-    places = places.join(regions.filter(F.col("members") > 1), "region")
+    # Two members must have sizes that a link allows.
+    fit = (F.col("members") > 2) | (F.col("low") * den >= F.col("high") * num)
+    regions = regions.filter((F.col("members") > 1) & fit).drop("low", "high")
+    places = places.drop("size").join(regions, "region")
     few = places.filter(F.col("members") <= region_rows).select("region", "num")
     few = few.join(classes.select("num", "size", "counts"), "num")
     few = few.repartition("region").sortWithinPartitions("region", "num")

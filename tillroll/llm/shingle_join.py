@@ -12,7 +12,7 @@ The first pivot is the empty set, whose differences are the sets themselves: ord
 have distance one from nearly all documents of a corpus and would divide nothing. The common order
 there takes rare shingles first, by a counting sketch of all documents. Its regions are cut into
 rings of size, with documents at a border in both, and into groups that the triangle inequality
-leaves together: the universe has 32 parts, and sets are at least as far apart as their counts
+leaves together: the universe has 64 parts, and sets are at least as far apart as their counts
 in the parts differ.
 """
 
@@ -40,9 +40,9 @@ _SLOTS = 32
 #: Members of a region that one task compares with each other; larger ones get a pivot.
 REGION_ROWS = 400
 #: Parts of the universe whose counts bound how far two sets are apart.
-PARTS = 32
+PARTS = 64
 #: Width of the rings around the empty set, as a logarithm of the size.
-RING = 0.25
+RING = 0.35
 _TABLE_ROWS = 400_000
 _COLUMNS = 4096
 
@@ -162,7 +162,7 @@ def shingle_sketch(docs: DataFrame, words: int) -> np.ndarray:
 def _prefixes(docs: DataFrame, words: int, num: int, den: int, sketch: np.ndarray) -> DataFrame:
     """(doc_id, text_hash, node, size, prefix, counts): a digest of each set, of its elements,
     rarest first, as many as must include one that a linked set has too, and how many are
-    in each part of the universe, up to 255."""
+    in each part of the universe, up to 65,535."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def prepare():
@@ -176,7 +176,7 @@ def _prefixes(docs: DataFrame, words: int, num: int, den: int, sketch: np.ndarra
                 order = np.argsort(rarity[_cell(one)], kind="stable")
                 fronts.append(one[order[: len(one) + (-num * len(one)) // den + 1]])
                 inside = np.bincount((one >> 12) & (PARTS - 1), minlength=PARTS)
-                parts.append(np.minimum(inside, 255).astype(np.uint8).tobytes())
+                parts.append(np.minimum(inside, 65535).astype("<u2").tobytes())
             fronts = [x if len(one) else one for x, one in zip(fronts, sets, strict=True)]
             ends = np.cumsum([len(x) for x in fronts])
             return pa.RecordBatch.from_arrays(
@@ -205,7 +205,7 @@ def _groups(rows: DataFrame, num: int, den: int) -> DataFrame:
 
     def grouped(held: list[tuple]) -> Iterator[tuple]:
         sizes = np.array([x[1] for x in held])
-        counts = np.array([np.frombuffer(x[2], np.uint8) for x in held], np.int16)
+        counts = np.array([np.frombuffer(x[2], "<u2") for x in held], np.int32)
         root = list(range(len(held)))
 
         def top(i: int) -> int:

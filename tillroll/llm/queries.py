@@ -12,6 +12,7 @@ from . import (
     packing,
     pii,
     quality,
+    repeats,
     sentence_pieces,
     shingle_join,
     token_counts,
@@ -43,6 +44,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(_read(spark, sf_dir, "documents"))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_digest(_read(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_read(spark, sf_dir, "documents"), vocabulary(BYTE_MODEL))
 
@@ -75,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentence_pieces": op1_sentence_pieces,
         "op2_pii": op2_pii,
+        "op3_repeats": op3_repeats,
         "op4_packing": op4_packing,
         "op5_shingle_join": op5_shingle_join,
         "op6_main_text": op6_main_text,

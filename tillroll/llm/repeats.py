@@ -158,7 +158,10 @@ class IndexFamily:
 def _windows(rows: DataFrame, length: int) -> DataFrame:
     """Hashes of the windows of each stretch, by their offset to the anchor, in parts."""
 
-    schema = "gram long, part int, doc long, size int, anchor int, low int, hashes array<long>, open boolean"
+    schema = (
+        "gram long, part int, doc long, size int, anchor int, low int, hashes array<long>,"
+        " open boolean, kinds long"
+    )
 
     def prepare():
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -178,13 +181,15 @@ def _windows(rows: DataFrame, length: int) -> DataFrame:
                             at = x["anchor"] - offset
                             hashes.append(xxhash.xxh3_64_intdigest(data[at : at + length]))
                         ends.append(len(hashes))
-                        made.append((x["gram"], piece, doc, size, x["anchor"], lo, x["open"]))
-            columns = list(zip(*made, strict=True)) if made else [()] * 7
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
+                        made.append(
+                            (x["gram"], piece, doc, size, x["anchor"], lo, x["open"], x["kinds"])
+                        )
+            columns = list(zip(*made, strict=True)) if made else [()] * 8
+            kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 3, pa.bool_(), pa.int64()]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             lists = list_array(np.array(hashes, np.uint64).view(np.int64), np.array(ends, np.int64))
             arrays.insert(6, lists)
-            names = ["gram", "part", "doc", "size", "anchor", "low", "hashes", "open"]
+            names = ["gram", "part", "doc", "size", "anchor", "low", "hashes", "open", "kinds"]
             return pa.RecordBatch.from_arrays(arrays, names)
 
         return work
@@ -312,16 +317,22 @@ def _spans(texts: DataFrame, length: int, batches: int) -> DataFrame:
         "gram", "kinds", "x.*", (F.col("places") < 2).alias("open")
     )
     holders = unlike.groupBy("doc", "size").agg(
-        F.collect_list(F.struct("gram", "anchor", "first", "count", "open")).alias("stretches")
+        F.collect_list(F.struct("gram", "anchor", "first", "count", "open", "kinds")).alias("stretches")
     )
     # Copies of a text give the same rows; places are told apart, so they do not count twice.
     holding = texts.select("doc", "size", "text").join(holders, ["doc", "size"])
-    rows = _windows(holding, length).join(grams.select("gram", "kinds"), "gram")
-    rows = staged(rows, "windows")
+    rows = _windows(holding, length)
+    crowded = not grams.filter(F.col("kinds") > GROUP_ROWS).isEmpty()
+    # Windows are the widest table; only if they are read twice are they written.
+    rows = staged(rows, "windows") if crowded else rows
     few = rows.filter(F.col("kinds") <= GROUP_ROWS).repartition("gram", "part")
     spans.append(_repeated_windows(few.sortWithinPartitions("gram", "part"), length))
-    spans.append(_frequent_windows(rows.filter(F.col("kinds") > GROUP_ROWS), length))
-    return spans[0].unionByName(spans[1]).unionByName(spans[2])
+    if crowded:
+        spans.append(_frequent_windows(rows.filter(F.col("kinds") > GROUP_ROWS), length))
+    out = spans[0]
+    for more in spans[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def remove_repeats(

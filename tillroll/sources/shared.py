@@ -6,6 +6,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+#: Folders of local sessions that name none, by application.
+_LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,9 +20,11 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_CONF} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tillroll-")
-    spark.conf.set(_CONF, folder)
-    return folder
+    # The setting is fixed once a session runs, so the folder is remembered here.
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="tillroll-")
+    return _LOCAL[application]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -33,3 +37,14 @@ def staged(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     path = folder or new_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that `staged` wrote, once no result reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        context = spark.sparkContext
+        path_of = context._jvm.org.apache.hadoop.fs.Path
+        for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
+            path = path_of(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

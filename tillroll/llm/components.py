@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.sources.shared import staged
+from tillroll.sources.shared import discard, staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,5 +39,6 @@ def components(edges: DataFrame) -> DataFrame:
         ).first()
         if mark[0] == 0 or mark == before:
             return state.select(F.col("a").alias("id"), F.col("b").alias("root"))
-        before = mark
-        state = staged(_small_star(_large_star(state)), "edges")
+        before, old = mark, state
+        state = staged(_small_star(_large_star(old)), "edges")
+        discard(old)

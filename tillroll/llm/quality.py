@@ -187,27 +187,31 @@ def _estimates(subset: DataFrame) -> DataFrame:
     return found.drop(*(f"_c{i}{j}" for i, j in _PAIRS))
 
 
-def outliers(
-    measured: DataFrame, lang_col: str = "lang", source_col: str = "source", prefix: str = ""
-) -> DataFrame:
-    """`measured` (see `statistics`; a table, for it is read several times) with `base_failed`
-    and `kept`, both under `prefix`.
-
-    Minimum covariance determinant per language and source: from the rows nearest to the
-    group's medians, concentration steps take the mean and covariance of the central rows and
-    the rows nearest to that estimate, which never raises the determinant. Rows beyond CUTOFF
-    are rejected. Groups are any values, null included; groups under MIN_GROUP rows share an
-    estimate. Rows that fail the base rules are not estimated from. All steps are grouped sums
-    with partial aggregation, so that a group with a third of all rows is no heavier
-    than others; estimates are one row per group. Repeated rows count each.
-    """
+def _named(measured: DataFrame, lang_col: str, source_col: str, prefix: str) -> DataFrame:
+    """`measured` with the base verdict, the name of its group, and the transformed statistics."""
     failed = (F.col(f"{prefix}n_words") < MIN_WORDS) | (
         100 * F.col(f"{prefix}n_repeat_words") > MAX_REPEATED_PERCENT * F.col(f"{prefix}n_words")
     )
     name = F.to_json(F.struct(F.col(lang_col).alias("l"), F.col(source_col).alias("s")))
     named = measured.withColumn(f"{prefix}base_failed", failed).withColumn("_name", name)
     named = named.withColumns(dict(zip(_X, _vector(prefix), strict=True)))
-    named = named.withColumn("_salt", F.pmod(F.xxhash64(*_X), F.lit(SALTS)).cast("int"))
+    return named.withColumn("_salt", F.pmod(F.xxhash64(*_X), F.lit(SALTS)).cast("int"))
+
+
+def fit_outliers(
+    measured: DataFrame, lang_col: str = "lang", source_col: str = "source", prefix: str = ""
+) -> tuple[DataFrame, DataFrame]:
+    """The group of each language and source, and the estimate of each group, as small tables.
+
+    `measured` (see `statistics`) is a table, for it is read several times. Minimum covariance
+    determinant: from the rows nearest to the group's medians, concentration steps take the mean
+    and covariance of the central rows and the rows nearest to that estimate, which never
+    raises the determinant. Groups are any values, null included; groups under MIN_GROUP rows
+    share an estimate. Rows that fail the base rules are not estimated from. All steps are
+    grouped sums with partial aggregation, so that a group with a third of all rows is no
+    heavier than others; estimates are one row per group. Repeated rows count each.
+    """
+    named = _named(measured, lang_col, source_col, prefix)
     passing = named.filter(~F.col(f"{prefix}base_failed"))
     groups = passing.groupBy("_name").agg(F.count(F.lit(1)).alias("_rows"))
     large = F.when(F.col("_rows") >= MIN_GROUP, F.col("_name")).otherwise("small")
@@ -236,6 +240,20 @@ def outliers(
     estimates = staged(start, "estimates")
     for _ in range(STEPS):
         estimates = staged(_estimates(_central(_distances(rows, estimates))), "estimates")
+    return groups, estimates
+
+
+def judge_outliers(
+    measured: DataFrame,
+    groups: DataFrame,
+    estimates: DataFrame,
+    lang_col: str = "lang",
+    source_col: str = "source",
+    prefix: str = "",
+) -> DataFrame:
+    """`measured` with `base_failed` and `kept`, both under `prefix`: rows that fail the base
+    rules or lie beyond CUTOFF are rejected. Rows of a group without estimate stay."""
+    named = _named(measured, lang_col, source_col, prefix)
     judged = _distances(named.join(groups, "_name", "left"), estimates)
     near = F.coalesce(F.col("_d") <= CUTOFF, F.lit(True))
     judged = judged.withColumn(f"{prefix}kept", ~F.col(f"{prefix}base_failed") & near)
@@ -245,7 +263,8 @@ def outliers(
 def assess_quality(docs: DataFrame) -> DataFrame:
     """The registered query: counts of every whole text and the verdict on it."""
     measured = statistics(docs.select("doc_id", "lang", "source", "text")).drop("text")
-    judged = outliers(staged(measured, "statistics"))
+    measured = staged(measured, "statistics")
+    judged = judge_outliers(measured, *fit_outliers(measured))
     return judged.select("doc_id", *BASE, "base_failed", "kept")
 
 
@@ -253,7 +272,9 @@ _MARK = "_quality_"
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """`docs` without the rows that the rules reject, all columns as they are."""
-    measured = staged(statistics(docs, prefix=_MARK), "statistics")
-    judged = outliers(measured, prefix=_MARK).filter(F.col(f"{_MARK}kept"))
-    return judged.select(*docs.columns)
+    """`docs` without the rows that the rules reject, all columns as they are. The statistics
+    are computed again for the verdict, which costs less than writing all texts beside them."""
+    brief = statistics(docs.select("lang", "source", "text"), prefix=_MARK).drop("text")
+    fitted = fit_outliers(staged(brief, "statistics"), prefix=_MARK)
+    judged = judge_outliers(statistics(docs, prefix=_MARK), *fitted, prefix=_MARK)
+    return judged.filter(F.col(f"{_MARK}kept")).select(*docs.columns)

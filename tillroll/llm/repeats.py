@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.sources.shared import new_folder, staged
+from tillroll.sources.shared import discard, new_folder, staged
 
 from .slices import list_array, map_text, slices
 
@@ -145,14 +145,16 @@ class IndexFamily:
         # A suffix that its own text repeats is shown by its copies.
         found.append(new.filter(F.col("copies") > 1))
         size = 1
-        while self.levels and self.levels[-1][0] == size:
-            same = self.levels.pop()[1]
-            new, size = _sorted_level(same.unionByName(new)), 2 * size
-        self.levels.append((size, new))
         shown = found[0]
         for more in found[1:]:
             shown = shown.unionByName(more)
-        return staged(shown.distinct(), "found")
+        shown = staged(shown.distinct(), "found")
+        while self.levels and self.levels[-1][0] == size:
+            same, small = self.levels.pop()[1], new
+            new, size = _sorted_level(same.unionByName(small)), 2 * size
+            discard(same, small)
+        self.levels.append((size, new))
+        return shown
 
 
 def _windows(rows: DataFrame, length: int) -> DataFrame:
@@ -284,18 +286,22 @@ def _frequent_windows(rows: DataFrame, length: int) -> DataFrame:
     return found.select("doc", "size", first.alias("low"), (first + length).cast("int").alias("high"))
 
 
-def _spans(texts: DataFrame, length: int, batches: int) -> DataFrame:
-    """(doc, size, low, high): intervals that hold all bytes to be removed."""
+def _spans(texts: DataFrame, length: int, batches: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(doc, size, low, high): intervals that hold all bytes to be removed. And the written
+    tables that they are read from."""
     path = new_folder(texts.sparkSession, "suffixes")
     batch = F.pmod(F.xxhash64("doc"), F.lit(batches))
     _suffix_rows(texts, length).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
     kept = texts.sparkSession.read.schema(_ENTRY + ", batch int").parquet(path)
-    index, shown = IndexFamily(), None
+    index, parts = IndexFamily(), []
     for number in range(batches):
         rows = kept.filter((F.col("batch") == number) & F.col("gram").isNotNull()).drop("batch")
-        more = index.insert(rows)
-        shown = more if shown is None else shown.unionByName(more)
+        parts.append(index.insert(rows))
+    shown = parts[0]
+    for more in parts[1:]:
+        shown = shown.unionByName(more)
     found = staged(shown.distinct(), "candidates")
+    discard(*parts, *(level for _, level in index.levels))
 
     # Stretches whose whole text stands twice need no more; one of each is left to compare.
     classes = found.groupBy("gram", "content").agg(
@@ -332,7 +338,7 @@ def _spans(texts: DataFrame, length: int, batches: int) -> DataFrame:
     out = spans[0]
     for more in spans[1:]:
         out = out.unionByName(more)
-    return out
+    return out, [kept, found, classes, *([rows] if crowded else [])]
 
 
 def remove_repeats(
@@ -356,7 +362,9 @@ def remove_repeats(
     row = F.struct(F.lit(0).alias("_"), *(F.col(c) for c in carry))
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), row.alias("row"))
     texts = texts.withColumns({"doc": F.xxhash64("text"), "size": F.octet_length("text")})
-    spans = staged(_spans(texts, length, batches), "spans")
+    spans, read = _spans(texts, length, batches)
+    spans = staged(spans, "spans")
+    discard(*read)
     spans = spans.groupBy("doc", "size").agg(F.collect_set(F.struct("low", "high")).alias("found"))
     copies = texts.filter(F.col("size") >= length).groupBy("doc", "size").agg(F.count(F.lit(1)).alias("n"))
     copies = copies.filter(F.col("n") > 1).drop("n").withColumn("copied", F.lit(True))

@@ -24,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.sources.shared import staged
+from tillroll.sources.shared import discard, staged
 
 from .components import components
 from .slices import list_array, map_text, slices
@@ -42,7 +42,7 @@ REGION_ROWS = 400
 #: Parts of the universe whose counts bound how far two sets are apart.
 PARTS = 64
 #: Width of the rings around the empty set, as a logarithm of the size.
-RING = 0.35
+RING = 0.7
 _TABLE_ROWS = 400_000
 _COLUMNS = 4096
 
@@ -406,22 +406,27 @@ def link_shingles(
     places = classes.select("num", wide, F.explode("prefix").alias("at"), rings.alias("rings"))
     places = places.select("num", "size", "at", F.explode("rings").alias("ring"))
     places = places.select("num", "size", F.xxhash64("at", "ring").alias("region"))
-    regions = places.groupBy("region").agg(
-        F.count(F.lit(1)).alias("members"),
-        F.min("num").alias("pivot"),
-        F.min("size").alias("low"),
-        F.max("size").alias("high"),
+    # One shuffle: a grouped count and a join back would be two, for places that are nearly
+    # all alone in their region.
+    region = Window.partitionBy("region")
+    places = places.select(
+        "region",
+        "num",
+        F.count(F.lit(1)).over(region).alias("members"),
+        F.min("num").over(region).alias("pivot"),
+        F.min("size").over(region).alias("low"),
+        F.max("size").over(region).alias("high"),
     )
     # Two members must have sizes that a link allows.
     fit = (F.col("members") > 2) | (F.col("low") * den >= F.col("high") * num)
-    regions = regions.filter((F.col("members") > 1) & fit).drop("low", "high")
-    places = places.drop("size").join(regions, "region")
+    places = staged(places.filter((F.col("members") > 1) & fit).drop("low", "high"), "places")
     few = places.filter(F.col("members") <= region_rows).select("region", "num")
     few = few.join(classes.select("num", "size", "counts"), "num")
     few = few.repartition("region").sortWithinPartitions("region", "num")
     many = places.filter(F.col("members") > region_rows).select("num", "pivot")
     pairs = _groups(few, num, den).union(many.filter(F.col("num") != F.col("pivot"))).distinct()
     pairs = staged(pairs, "pairs")
+    discard(places)
     needed = pairs.select("num").union(pairs.select("pivot")).distinct()
     needed = staged(classes.join(needed, "num", "left_semi").select("num", "node", "doc_id", "text_hash"), "needed")
     chosen = texts.withColumn("text_hash", F.xxhash64("text")).alias("t").join(
@@ -439,6 +444,7 @@ def link_shingles(
     tested = tested.select("pivot", "num", "size", near.alias("near"), "apart")
     region = F.unhex(F.md5(F.hex("pivot")))
     tested = staged(tested.withColumn("region", region), "tested")
+    written = [tested]
     found = [tested.filter("near").select(F.col("num").alias("a"), F.col("pivot").alias("b"))]
 
     def settled(members: DataFrame) -> DataFrame:
@@ -446,11 +452,13 @@ def link_shingles(
         few = members.filter(F.col("members") <= region_rows)
         runs = few.repartition("region").sortWithinPartitions("region", "num")
         found.append(staged(_compared(runs, num, den), "edges"))
+        written.append(found[-1])
         return members.filter(F.col("members") > region_rows)
 
     many = settled(tested.join(_unsettled(tested), "region"))
     while not many.isEmpty():
-        many = settled(staged(_subregions(many, num, den), "regions"))
+        members = staged(_subregions(many, num, den), "regions")
+        many = settled(members)
         # The member nearest to the last pivot is the next one.
         picked = F.min(F.struct(F.size("apart").alias("n"), "num", "size", "apart")).alias("p")
         tested = many.join(many.groupBy("region").agg(picked), "region")
@@ -466,12 +474,14 @@ def link_shingles(
         tested = tested.withColumn("apart", _difference("apart", "own")).drop("own")
         near = _near(F.size("apart"), F.col("size") + F.col("width"), num, den)
         many = staged(tested.withColumn("near", near), "tested")
+        written += [members, many]
         found.append(many.filter("near").select(F.col("num").alias("a"), F.col("pivot").alias("b")))
 
     edges = found[0]
     for more in found[1:]:
         edges = edges.union(more)
     roots = components(edges.distinct())
+    discard(pairs, needed, sets, *written)
     roots = roots.select(F.col("id").alias("num"), "root")
     named = classes.select("num", "node", "doc_id").join(roots, "num", "left")
     named = named.withColumn("root", F.coalesce("root", "num"))

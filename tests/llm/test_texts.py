@@ -1,0 +1,153 @@
+"""Personal data, pages, languages and quality against plain versions."""
+
+from __future__ import annotations
+
+import collections
+import random
+import re
+
+from tests.conftest import SMALL
+from tillroll.llm import language, main_text, pii, quality
+
+
+def plain(text):
+    found = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        found.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m.group().split(".")):
+            found.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m.group())
+        if 14 <= len(digits) <= 19 and pii.luhn(digits):
+            found.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= len(re.sub("[^0-9]", "", m.group())) <= 15:
+            found.append(("phone", *m.span()))
+    return found
+
+
+def test_plain_spans():
+    dice = random.Random(1)
+    for letters in ("a1.@-", "0123456789 -.", "+0123456789 ().-a", "ab@.é+1 %"):
+        for _ in range(3_000):
+            text = "".join(dice.choice(letters) for _ in range(dice.randint(0, 40)))
+            assert pii.plain_spans(text) == plain(text), text
+
+
+def test_disguises():
+    for text, want in (
+        ("write john (at) example (dot) com", [("email", 6, 33, False)]),
+        ("john at example dot com", [("email", 0, 23, False)]),
+        ("j\u043ehn@ex\u0430mple.com", [("email", 0, 16, False)]),
+        ("\uff14111 1111 1111 1111", [("card", 0, 19, False)]),
+        ("call plus one four one five five five five two six seven one", [("phone", 5, 60, False)]),
+        ("192 dot 168 dot 1 dot 20", [("ip", 0, 24, False)]),
+        ("meet at one and two", []),
+    ):
+        assert pii.all_spans(text) == want, text
+
+
+def test_pii_rows(odd):
+    rows = pii.pii_digest(odd).collect()
+    assert len(rows) == odd.count() and all(row["spans"] == "" for row in rows)
+    clean = pii.redact(odd.withColumn("text", odd.source)).filter("text IS NOT NULL")
+    assert clean.count() == 1 and clean.columns == odd.columns
+    assert pii.find_pii(odd.limit(0)).count() == 0
+
+
+PAGE = (
+    "<html><head><title>t</title><script>x('</p>')</script></head><body><nav><a href=/>Home</a></nav>"
+    '<div class="cookie-notice">We use cookies on this site, as every other site does today.</div>'
+    "<article><h1>A &amp; B</h1><p>First   paragraph of the text, with\nwords in it.<br><p>Second one "
+    "is here, long enough to be read.</article><div id=comments><p>A reader's comment that is long "
+    "enough to look like text.</p></div><footer>&copy; somebody</footer>"
+)
+
+
+def test_main_text():
+    want = (
+        "A & B\n\nFirst paragraph of the text, with words in it.\n\n"
+        "Second one is here, long enough to be read."
+    )
+    assert main_text.main_text(PAGE) == want
+    for broken in ("", "<", '<a href="' * 300, "<!--" * 50, "<div>" * 500, "<p>a</p>" * 500):
+        assert main_text.main_text(broken) == ""
+
+
+def test_cut_is_minimal():
+    dice = random.Random(2)
+    for _ in range(200):
+        n = dice.randint(1, 7)
+        lean = [dice.uniform(-3, 3) for _ in range(n)]
+        edges = [(i, j, dice.uniform(0, 2)) for i in range(n) for j in range(i) if dice.random() < 0.6]
+
+        def cost(kept, lean=lean, edges=edges):
+            wrong = sum(abs(x) for x, k in zip(lean, kept, strict=True) if (x > 0) != k)
+            return wrong + sum(w for i, j, w in edges if kept[i] != kept[j])
+
+        best = min(cost([bool(m >> i & 1) for i in range(n)]) for m in range(1 << n))
+        assert abs(cost(main_text.source_side(lean, edges)) - best) < 1e-6
+
+
+def test_pages(llm):
+    rows = [(1, None, None), (2, "u", PAGE), (2, "u", PAGE), (None, "v", "")]
+    pages = llm.createDataFrame(rows, "page_id long, url string, html string")
+    got = main_text.extract_main_text(pages)
+    assert got.count() == 4 and got.filter("n_chars > 0").count() == 2
+    assert main_text.extract_main_text(pages.limit(0)).count() == 0
+
+
+def test_automaton():
+    words = ["abcbc", "bcd", "xabc", "abcd"]
+    known = language.SuffixAutomaton(words)
+    parts = {(" " + w)[i:j] for w in words for i in range(7) for j in range(i + 1, 7)}
+    dice = random.Random(3)
+    for _ in range(2_000):
+        word = "".join(dice.choice("abcdx") for _ in range(dice.randint(1, 8)))
+        text, count = " " + word, 0
+        while text:
+            size = max([1, *(n for n in range(1, len(text) + 1) if text[:n] in parts)])
+            text, count = text[size:], count + 1
+        assert known.phrases(word) == count, word
+
+
+def test_languages(llm, odd):
+    docs = llm.read.parquet(f"{SMALL}/documents.parquet")
+    found = language.identify_languages(docs)
+    held = found.filter("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(row["lang"] == row["lang_pred"] for row in held) >= 0.97 * len(held)
+    rows = language.predict_language(odd, {"en": "to be or not", "de": "sein oder"}).collect()
+    assert len(rows) == odd.count() and all(0 <= row["score"] <= 1 for row in rows)
+    assert sum(row["lang_pred"] == "und" for row in rows) == 3
+    assert {r["lang_pred"] for r in language.predict_language(odd, {}).collect()} == {"und"}
+
+
+def counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = collections.Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    inside = set()
+    for i in range(len(words) - 7):
+        if windows[tuple(words[i : i + 8])] > 1:
+            inside.update(range(i, i + 8))
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    repeats = len(lines) - len(set(lines))
+    return len(words), sum(map(len, words)), symbols, repeats, len(inside)
+
+
+def test_statistics(llm, odd):
+    given = llm.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    docs = given.unionByName(odd.selectExpr("doc_id + 1000000 AS doc_id", "text"))
+    for row in quality.statistics(docs).collect():
+        assert tuple(row[c] for c in quality.BASE) == counts(row["text"] or ""), row["doc_id"]
+
+
+def test_quality(llm, odd):
+    docs = llm.read.parquet(f"{SMALL}/documents.parquet")
+    labels = llm.read.parquet(f"{SMALL}/labels.parquet")
+    judged = quality.assess_quality(docs).join(labels, "doc_id").filter("NOT base_failed")
+    assert judged.filter("quality = 1 AND NOT kept").count() == 0
+    assert judged.filter("quality = 0 AND kept").count() <= 3
+    assert quality.keep_good(odd).columns == odd.columns
+    assert quality.keep_good(odd.limit(0)).count() == 0

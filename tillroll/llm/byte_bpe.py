@@ -33,18 +33,15 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class ByteBPE:
-    """The library's tokenizer, with a cut into words that it provably respects.
+    """The library's tokenizer, loaded when it is needed, with a cut into words that it
+    provably respects.
 
     `simple` tells whether the file says what the cut relies on: byte-level pre-tokens by
     the pattern above, no normalizer, no prefix space, added tokens taken as they stand.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path, self.loaded = path, None
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         cut = parts["pre_tokenizer"] or {}
@@ -91,7 +88,13 @@ class ByteBPE:
     def _library(self, texts: list[str]) -> list[list[int]]:
         if not texts:
             return []
-        return [x.ids for x in self.library.encode_batch(texts, add_special_tokens=False)]
+        if self.loaded is None:
+            from tokenizers import Tokenizer
+
+            self.loaded = Tokenizer.from_file(self.path)
+            self.loaded.no_truncation()
+            self.loaded.no_padding()
+        return [x.ids for x in self.loaded.encode_batch(texts, add_special_tokens=False)]
 
     def can_cut(self, text: str) -> bool:
         """False for texts with an added token, or with a character that Unicode versions

@@ -38,13 +38,13 @@ SKETCH_BITS = 22
 _SKETCH_BLOCK = 1 << 16
 _SLOTS = 32
 #: Members of a region that one task compares with each other; larger ones get a pivot.
-REGION_ROWS = 400
+REGION_ROWS = 2_000
 #: Parts of the universe whose counts bound how far two sets are apart.
 PARTS = 64
 #: Width of the rings around the empty set, as a logarithm of the size.
 RING = 0.7
-_TABLE_ROWS = 400_000
-_COLUMNS = 4096
+_TABLE_ROWS = 150_000
+_COLUMNS = 1024
 
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -326,9 +326,6 @@ def _compared(rows: DataFrame, num: int, den: int) -> DataFrame:
             table = np.zeros((len(nodes), _COLUMNS), np.float32)
             table[owner[here], item[here] - first] = 1
             both += table @ table.T
-        apart = length[:, None] + length[None, :] - 2 * both
-        close = (den + num) * apart <= (den - num) * (sizes[:, None] + sizes[None, :])
-        close &= ~(near[:, None] & near[None, :])
         root = list(range(len(nodes)))
 
         def top(i: int) -> int:
@@ -337,10 +334,14 @@ def _compared(rows: DataFrame, num: int, den: int) -> DataFrame:
                 i = root[i]
             return i
 
-        for i, j in np.argwhere(np.triu(close, 1)).tolist():
-            if top(i) != top(j):
-                root[top(i)] = top(j)
-                yield nodes[i], nodes[j]
+        for i in range(len(nodes) - 1):
+            apart = length[i] + length[i + 1 :] - 2 * both[i, i + 1 :]
+            close = (den + num) * apart <= (den - num) * (sizes[i] + sizes[i + 1 :])
+            close &= ~(near[i] & near[i + 1 :])
+            for j in (np.flatnonzero(close) + i + 1).tolist():
+                if top(i) != top(j):
+                    root[top(i)] = top(j)
+                    yield nodes[i], nodes[j]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []

@@ -245,6 +245,12 @@ def daily_sales(spark, sf_dir):
     return sales.daily_sales(_clean(spark, sf_dir))
 
 
+def daily_sales_double(spark, sf_dir):
+    """On the default type of a CSV file's amounts, dealt out at random."""
+    rows = _clean(spark, sf_dir).withColumn("total_amount", F.col("total_amount").cast("double"))
+    return sales.daily_sales(rows.repartition(7))
+
+
 def daily_sales_saved(spark, sf_dir):
     path = new_folder(spark, "daily-sales")
     history.save_daily_sales(_clean(spark, sf_dir), path, grain="month")
@@ -315,7 +321,7 @@ def stream_leaderboard(spark, sf_dir):
 
 def stream_rejects(spark, sf_dir):
     path = new_folder(spark, "ingest")
-    wire = fixtures.faulty_wire(spark, sf_dir).select("value").filter("value IS NOT NULL")
+    wire = fixtures.faulty_wire(spark, sf_dir).select("value")
     wire.write.text(f"{path}/wire")
     stream = read_event_stream(spark, "files", path=f"{path}/wire")
     ingest.start_ingest(
@@ -339,8 +345,9 @@ def live_leaderboard(spark, sf_dir):
     path = new_folder(spark, "live")
     rows = fixtures.pos_events(spark, sf_dir)
     repeated = rows.unionByName(rows.filter(F.col("event_type") == "click"))
-    send_events(repeated, "files", path=f"{path}/wire")
-    stream = read_event_stream(spark, "files", path=f"{path}/wire")
+    # Eight files, one in a batch, so that late events come after the watermark has moved.
+    send_events(repeated.repartition(8), "files", path=f"{path}/wire")
+    stream = read_event_stream(spark, "files", path=f"{path}/wire", maxFilesPerTrigger="1")
     live.start_live_leaderboard(
         live.live_leaderboard(stream, zone="UTC"),
         f"{path}/ranking",
@@ -392,6 +399,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "history_from_csv": history_from_csv,
         "store_day": store_day,
         "daily_sales": daily_sales,
+        "daily_sales_double": daily_sales_double,
         "daily_sales_saved": daily_sales_saved,
         "leaderboard": leaderboard,
         "leaderboard_text": leaderboard_text,

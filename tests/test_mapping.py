@@ -170,3 +170,10 @@ def test_csv_without_a_required_column(spark, tmp_path):
     file.write_text("transaction_id,store_id\n1,s\n")
     with pytest.raises(ValueError, match="timestamp, total_amount, payment_method"):
         read_transactions_csv(spark, str(file))
+
+
+def test_quoted_sales_cells(spark, folder):
+    with open(f"{folder}/sales.csv", "w", newline="") as file:
+        file.write('t_dat,customer_id,article_id,price\n2020-01-01,"ab ""q"" cd","x\ny",1.5\n')
+    rows = read_sales_csv(spark, folder, multiLine=True).collect()
+    assert [(r["customer_id"], r["article_id"]) for r in rows] == [('ab "q" cd', "x\ny")]

@@ -15,11 +15,13 @@ def duck():
     return connect(SMALL)
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+def test_queries_without_sql_are_those_of_training_data():
+    rest = set(QUERIES) - set(ORACLES)
+    assert set(ORACLES) <= set(QUERIES)
+    assert all(name == "pipeline" or name.startswith("op") for name in rest)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ORACLES)
 def test_query(spark, duck, name):
     assert spark_rows(QUERIES[name](spark, SMALL)) == sql_rows(duck, ORACLES[name])
 

@@ -95,7 +95,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job("send", send, "sales files to the event stream")
     sub.add_argument("csv")
-    sub.add_argument("--limit", type=int, default=fixed.EVENT_CAP)
+    sub.add_argument("--limit", type=int, help="rows of the input to send; all by default")
     sub.add_argument("--kind", default="kafka", choices=["kafka", "files"])
     sub.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
 

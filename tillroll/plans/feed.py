@@ -6,7 +6,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll import fixed
 from tillroll.operators.pos_mapping import map_sales_to_pos
 from tillroll.sources.csv import read_sales_csv
 from tillroll.sources.events import send_events
@@ -28,14 +27,14 @@ class Sent:
 def send_sales(
     spark: SparkSession,
     csv_path: str,
-    limit: int | None = fixed.EVENT_CAP,
+    limit: int | None = None,
     kind: str = "kafka",
     **options: str,
 ) -> Sent:
     """Map sales files in file order and send the events; rows are counted while they go.
 
-    The cap counts rows of the input. It applies to the row numbers, so all of the input
-    is numbered first.
+    All rows are sent unless `limit` says otherwise. It counts rows of the input and applies
+    to the row numbers, so all of the input is numbered first.
     """
     started = time.perf_counter()
     events, rejects = map_sales_to_pos(read_sales_csv(spark, csv_path, indexed=True), limit=limit)

@@ -28,6 +28,11 @@ def daily_groups(df: DataFrame) -> DataFrame:
     directly would switch to sorting once a task meets more than a few groups.
     """
     amount = F.col("total_amount")
+    amount_type = df.schema["total_amount"].dataType
+    inexact = isinstance(amount_type, (T.DoubleType, T.FloatType))
+    if inexact:
+        # Summed exactly, so that totals do not depend on the order of merging.
+        amount = exact_amount(df, "total_amount")
     by_method = df.groupBy("store_id", "transaction_date", "payment_method").agg(
         F.count("transaction_id").alias("transactions"),
         F.sum(amount).alias("revenue"),
@@ -35,7 +40,8 @@ def daily_groups(df: DataFrame) -> DataFrame:
     )
     revenue = F.sum("revenue")
     average = F.try_divide(revenue, F.sum("amounts"))
-    amount_type = df.schema["total_amount"].dataType
+    if inexact:
+        revenue, average = revenue.cast("double"), average.cast("double")
     if isinstance(amount_type, T.DecimalType):
         # The types Spark gives to a sum and an average of this decimal.
         precision, scale = amount_type.precision, amount_type.scale

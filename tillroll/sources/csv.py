@@ -41,6 +41,10 @@ def read_transactions_csv(
 def read_sales_csv(
     spark: SparkSession, path: str, indexed: bool = False, folder: str | None = None, **options: str
 ) -> DataFrame:
-    """The four sales columns as text; with `indexed` also `row_index` in file order."""
+    """The four sales columns as text; with `indexed` also `row_index` in file order.
+
+    A quote inside a quoted cell is doubled. Cells with line breaks need `multiLine=True`.
+    """
+    options = {"escape": '"'} | options
     rows = _read_text(spark, path, schemas.SALES.names, **options).select(*schemas.SALES.names)
     return file_order_index(rows, folder=folder) if indexed else rows

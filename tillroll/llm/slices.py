@@ -1,7 +1,7 @@
 """Bounded work units inside Arrow tasks.
 
 Spark hands Python record batches of up to ten thousand rows. The operators cut them into
-slices of a few megabytes of text, so that what a task holds does not depend on how long the
+slices of a megabyte of text, so that what a task holds does not depend on how long the
 documents are; a single document is never cut.
 """
 
@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -43,6 +43,8 @@ def map_text(
             for part in slices(batch, column):
                 made = work(part)
                 yield from made if isinstance(made, list) else [made]
+            # Workers live on between tasks; what they no longer use goes back.
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -39,6 +39,8 @@ _SKETCH_BLOCK = 1 << 16
 _SLOTS = 32
 #: Members of a region that one task compares with each other; larger ones get a pivot.
 REGION_ROWS = 2_000
+#: Elements of their differences that such a task may hold.
+REGION_ITEMS = 1_000_000
 #: Parts of the universe whose counts bound how far two sets are apart.
 PARTS = 64
 #: Width of the rings around the empty set, as a logarithm of the size.
@@ -288,10 +290,12 @@ def _near(apart: Column, both: Column, num: int, den: int) -> Column:
 
 
 def _unsettled(places: DataFrame) -> DataFrame:
-    """(region, members) of the regions that have two members or more, not all of them linked
-    to the pivot."""
+    """(region, members, items) of the regions that have two members or more, not all of them
+    linked to the pivot; `items` are the elements of their differences, `weight` together."""
     found = places.groupBy("region").agg(
-        F.count(F.lit(1)).alias("members"), F.bool_and("near").alias("done")
+        F.count(F.lit(1)).alias("members"),
+        F.sum("weight").alias("items"),
+        F.bool_and("near").alias("done"),
     )
     return found.filter((F.col("members") > 1) & ~F.col("done")).drop("done")
 
@@ -300,11 +304,14 @@ def _subregions(tested: DataFrame, num: int, den: int) -> DataFrame:
     """Members (num, size, near, apart) of the regions of their difference to the pivot."""
     enough = F.floor(F.col("size") * (den - num) / num) + 1
     front = F.slice(F.array_sort("apart"), 1, enough.cast("int"))
-    spread = tested.select(F.col("region").alias("whole"), "num", "near", F.explode(front).alias("at"))
+    weight = F.size("apart").alias("weight")
+    spread = tested.select(
+        F.col("region").alias("whole"), "num", "near", weight, F.explode(front).alias("at")
+    )
     spread = spread.withColumn(
         "region", F.unhex(F.md5(F.concat_ws("/", F.hex("whole"), F.hex("at"))))
     )
-    left = spread.drop("near", "at").join(_unsettled(spread), "region")
+    left = spread.drop("near", "at", "weight").join(_unsettled(spread), "region")
     members = tested.select(F.col("region").alias("whole"), "num", "size", "near", "apart")
     return left.join(members, ["whole", "num"]).drop("whole")
 
@@ -450,13 +457,17 @@ def link_shingles(
 
     def settled(members: DataFrame) -> DataFrame:
         """Compare the members of small regions; the large regions are left."""
-        few = members.filter(F.col("members") <= region_rows)
+        small = (F.col("members") <= region_rows) & (F.col("items") <= REGION_ITEMS)
+        # Two can always be compared, so that division comes to an end.
+        small = small | (F.col("members") == 2)
+        few = members.filter(small)
         runs = few.repartition("region").sortWithinPartitions("region", "num")
         found.append(staged(_compared(runs, num, den), "edges"))
         written.append(found[-1])
-        return members.filter(F.col("members") > region_rows)
+        return members.filter(~small)
 
-    many = settled(tested.join(_unsettled(tested), "region"))
+    weighed = tested.withColumn("weight", F.size("apart"))
+    many = settled(tested.join(_unsettled(weighed), "region"))
     while not many.isEmpty():
         members = staged(_subregions(many, num, den), "regions")
         many = settled(members)

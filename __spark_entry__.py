@@ -352,6 +352,7 @@ def live_leaderboard(spark, sf_dir):
         live.live_leaderboard(stream, zone="UTC"),
         f"{path}/ranking",
         f"{path}/checkpoint",
+        1,
         ALL_AT_ONCE,
     ).awaitTermination()
     return live.newest_ranking(spark, f"{path}/ranking")

@@ -86,7 +86,7 @@ def jobs(spark: SparkSession) -> dict[str, Callable[[], None]]:
     def rank_live() -> None:
         ranking = live.live_leaderboard(read_event_stream(spark, "files", path=wire))
         live.start_live_leaderboard(
-            ranking, new_folder(spark, "ranking"), new_folder(spark, "checkpoint"), ALL_AT_ONCE
+            ranking, new_folder(spark, "ranking"), new_folder(spark, "checkpoint"), 1, ALL_AT_ONCE
         ).awaitTermination()
 
     def all_keys() -> DataFrame:

@@ -20,7 +20,14 @@ def test_send_ingest_rank_report_compact(spark, tmp_path, capsys):
     assert "version 0" in capsys.readouterr().out
     main(["report", str(table)])
     assert "250" in capsys.readouterr().out
-    main(["follow", str(tmp_path / "live"), "--checkpoint", str(tmp_path / "ck2"), *stream])
+    text = "SELECT store_id, count(*) AS sales FROM transactions GROUP BY store_id ORDER BY store_id"
+    main(["sql", str(table), text, "--rows", "3"])
+    printed = capsys.readouterr().out
+    assert "STORE_001" in printed and "97 more rows" in printed
+    main(["sql", str(table), text, "--out", str(tmp_path / "out")])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 100
+    live = ["follow", str(tmp_path / "live"), "--epoch", "1", "--checkpoint", str(tmp_path / "ck2")]
+    main([*live, *stream])
     assert any((tmp_path / "live").iterdir())
 
 

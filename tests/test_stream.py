@@ -354,7 +354,7 @@ def test_live_ranking_counts_repeats_once(spark, tmp_path, spread):
         read_event_stream(spark, "files", path=str(source), maxFilesPerTrigger="1"), spread=spread
     )
     live.start_live_leaderboard(
-        ranking, str(tmp_path / "ranking"), str(tmp_path / "ck"), ALL_AT_ONCE
+        ranking, str(tmp_path / "ranking"), str(tmp_path / "ck"), 1, ALL_AT_ONCE
     ).awaitTermination()
     take_in(spark, source, tmp_path / "table")
     want = sales.store_leaderboard(view.current_view(spark, str(tmp_path / "table"))).collect()
@@ -363,6 +363,29 @@ def test_live_ranking_counts_repeats_once(spark, tmp_path, spread):
     assert refreshes >= 3
 
 
+def test_a_new_checkpoint_gives_the_new_ranking(spark, tmp_path):
+    path, lines = str(tmp_path / "ranking"), some_events(60)
+    # The first life has more refreshes, so its highest number is the higher one.
+    for epoch, files in ((1, [lines[:20], lines[20:40], lines[40:]]), (2, [lines[:10]])):
+        source = tmp_path / f"in{epoch}"
+        for number, part in enumerate(files):
+            put(source, f"{number}.txt", part)
+        stream = read_event_stream(spark, "files", path=str(source), maxFilesPerTrigger="1")
+        live.start_live_leaderboard(
+            live.live_leaderboard(stream), path, str(tmp_path / f"ck{epoch}"), epoch, ALL_AT_ONCE
+        ).awaitTermination()
+    take_in(spark, tmp_path / "in2", tmp_path / "table")
+    want = sales.store_leaderboard(view.current_view(spark, str(tmp_path / "table"))).collect()
+    newest = live.newest_ranking(spark, path)
+    assert newest.collect() == want
+    assert {x.rpartition("/")[0].split("/")[-2] for x in newest.inputFiles()} == {"epoch=2"}
+    # A refresh that was begun only does not hide the last finished one.
+    (tmp_path / "ranking" / "epoch=3" / "refresh=0" / "_temporary").mkdir(parents=True)
+    assert live.newest_ranking(spark, path).collect() == want
+    with pytest.raises(ValueError):
+        live.newest_ranking(spark, str(tmp_path / "none"))
+
+
 def test_sources_that_do_not_exist(spark, tmp_path):
     with pytest.raises(ValueError):
         read_event_stream(spark, "pigeons")

@@ -4,6 +4,7 @@
     spark-submit ... tillroll/__main__.py ingest /tables/pos --epoch 1 --checkpoint /checkpoints/pos \\
         --option kafka.bootstrap.servers=host:9092
     spark-submit ... tillroll/__main__.py leaderboard /tables/pos
+    spark-submit ... tillroll/__main__.py sql /tables/pos "SELECT * FROM transactions"
 """
 
 import argparse
@@ -12,7 +13,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from tillroll import fixed  # noqa: E402
 from tillroll.plans import feed, history, sales  # noqa: E402
@@ -56,18 +58,36 @@ def start(spark: SparkSession, args: argparse.Namespace) -> None:
 def follow(spark: SparkSession, args: argparse.Namespace) -> None:
     ranking = live.live_leaderboard(_stream(spark, args), args.watermark)
     live.start_live_leaderboard(
-        ranking, args.table, args.checkpoint, _trigger(args)
+        ranking, args.table, args.checkpoint, args.epoch, _trigger(args)
     ).awaitTermination()
 
 
+def _print(rows: DataFrame, limit: int) -> None:
+    """The first lines, and how many rows are left out."""
+    rows.show(limit, truncate=False)
+    more = rows.count() - limit
+    if more > 0:
+        print(f"{more:,} more rows, see --rows")
+
+
 def leaderboard(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = view.serving_text(view.current_view(spark, args.table))
-    sales.store_leaderboard_sql(rows).show(args.rows, truncate=False)
+    _print(sales.store_leaderboard_sql(rows), args.rows)
+
+
+def query(spark: SparkSession, args: argparse.Namespace) -> None:
+    view.current_view(spark, args.table).createOrReplaceTempView("transactions")
+    rows = spark.sql(args.text)
+    if args.out:
+        rows.write.parquet(args.out)
+    else:
+        _print(rows, args.rows)
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     metrics.ingest_totals(spark, args.table).show(args.rows, truncate=False)
-    metrics.ingest_metrics(spark, args.table).show(args.rows, truncate=False)
+    batches = metrics.ingest_metrics(spark, args.table)
+    _print(batches.orderBy(F.desc("epoch"), F.desc("batch_id")), args.rows)
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -111,6 +131,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job("follow", follow, "store ranking that refreshes with the stream")
     stream_arguments(sub)
+    sub.add_argument("--epoch", type=int, required=True)
     sub.add_argument("--watermark", default="1 hour")
 
     for name, run, help in (
@@ -121,6 +142,12 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("table")
         sub.add_argument("--rows", type=int, default=100, help="lines to print")
 
+    sub = job("sql", query, "any SQL on the current rows, the view `transactions`")
+    sub.add_argument("table")
+    sub.add_argument("text")
+    sub.add_argument("--rows", type=int, default=100, help="lines to print")
+    sub.add_argument("--out", help="folder for all rows, as Parquet, instead of printing")
+
     job("compact", compact, "fold the log into a new base").add_argument("table")
     return top
 

@@ -44,12 +44,17 @@ def start_live_leaderboard(
     ranking: DataFrame,
     path: str,
     checkpoint: str,
+    epoch: int,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Write every refresh of the ranking to its own folder `<path>/refresh=N`."""
+    """Write every refresh of the ranking to its own folder `<path>/epoch=E/refresh=N`.
+
+    Refreshes are numbered from 0 by each checkpoint: a new one needs a new, higher `epoch`.
+    """
 
     def write(refresh: DataFrame, number: int) -> None:
-        refresh.coalesce(1).write.mode("overwrite").parquet(f"{path}/refresh={number}")
+        target = f"{path}/epoch={epoch}/refresh={number}"
+        refresh.coalesce(1).write.mode("overwrite").parquet(target)
 
     return (
         ranking.writeStream.outputMode("complete")
@@ -60,12 +65,23 @@ def start_live_leaderboard(
     )
 
 
+def _matching(spark: SparkSession, pattern: str) -> list[str]:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or ()]
+
+
+def _newest_first(folders: list[str]) -> list[str]:
+    return sorted(folders, key=lambda x: int(x.rpartition("=")[2]), reverse=True)
+
+
 def newest_ranking(spark: SparkSession, path: str) -> DataFrame:
-    """The latest refresh, in rank order."""
-    refreshes = spark.read.parquet(path)
-    newest = refreshes.agg(F.max("refresh")).first()[0]
-    return (
-        refreshes.filter(F.col("refresh") == newest)
-        .drop("refresh")
-        .orderBy(F.col(fixed.RANK_REVENUE).desc(), "store_id")
-    )
+    """The latest finished refresh of the highest epoch that has one, in rank order. Folders
+    are listed by name; only that of the refresh is opened."""
+    for epoch in _newest_first(_matching(spark, f"{path}/epoch=*")):
+        for refresh in _newest_first(_matching(spark, f"{epoch}/refresh=*")):
+            if _matching(spark, f"{refresh}/*.parquet"):
+                ranking = spark.read.parquet(refresh)
+                return ranking.orderBy(F.col(fixed.RANK_REVENUE).desc(), "store_id")
+    raise ValueError(f"no finished refresh in {path}")

@@ -110,6 +110,28 @@ def test_repeats(llm, monkeypatch, rows):
         assert got[i]["n_removed"] == got[i]["n_bytes"] - len(kept)
 
 
+def test_passages_of_51_words(llm):
+    dice = random.Random(8)
+    word = lambda n: "".join(dice.choice("abcdefghijkl") for _ in range(n))
+    short, wide, few = ([word(n) for _ in range(k)] for n, k in ((1, 51), (4, 51), (9, 30)))
+    solid = word(450)
+    texts = [
+        " ".join([word(7) for _ in range(20)] + passage + [word(7) for _ in range(20)])
+        for passage in (short, wide, few, [solid])
+        for _ in range(2)
+    ]
+    docs = llm.createDataFrame(list(enumerate(texts)), "n_chars int, text string").repartition(3)
+    left = {r["n_chars"]: r["text"] for r in corpus_pipeline.repeats.without_repeats(
+        docs, length=corpus_pipeline.PASSAGE_BYTES, words=corpus_pipeline.PASSAGE_WORDS).collect()}
+    staged = corpus_pipeline.repeated_passages(llm, docs, SMALL)
+    assert sorted(r["text"] for r in staged.collect()) == sorted(left.values())
+    for i, passage in enumerate((short, wide, few, [solid])):
+        for n in (2 * i, 2 * i + 1):
+            gone = len(texts[n].split()) - len(left[n].split())
+            assert gone >= len(passage) - 1 if passage is not few else left[n] == texts[n], (i, n)
+            assert all(x in left[n].split() for x in texts[n].split()[:19])
+
+
 def test_odd_repeats(odd):
     assert repeats.remove_repeats(odd).count() == odd.count()
     left = repeats.without_repeats(odd)

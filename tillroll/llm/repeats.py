@@ -1,9 +1,10 @@
 """Removal of long passages that stand elsewhere, by a logarithmic family of suffix arrays.
 
 A suffix is indexed where a passage of `length` bytes can be recognised: at its anchor, the gram
-of GRAM bytes with the smallest hash in it, the last of equals. Equal passages have the
+of `gram_of` bytes with the smallest hash in it, the last of equals. Equal passages have the
 anchor at the same offset, so every window of `length` bytes belongs to one suffix and
-only windows at suffixes with equal grams can be equal. That keeps one suffix in about 140.
+only windows at suffixes with equal grams can be equal. That keeps one suffix in about 140 for
+400 bytes, and one in 36 for 101.
 
 New batches get a suffix array, in the order of the grams' hashes, which is scanned against all
 levels for grams that occur again; equal-sized levels merge. What is found are
@@ -28,7 +29,6 @@ from tillroll.sources.shared import discard, new_folder, staged
 from .slices import list_array, map_text, slices
 
 LENGTH = 400
-GRAM = 128
 #: Batches that a table is taken in by; batch sizes double as levels merge.
 BATCHES = 4
 #: Rows of one gram that a task compares; those of more frequent grams are dealt out by window.
@@ -39,6 +39,11 @@ _BLOCK = 1 << 19
 _SEED = 3
 
 
+def gram_of(length: int) -> int:
+    """Bytes of the grams for passages of `length` bytes: 128 for 400, 32 for 101."""
+    return length * 8 // 25
+
+
 @lru_cache(maxsize=1)
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Random numbers for bytes, and powers of an odd number with their inverses."""
@@ -54,14 +59,15 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _anchored(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Stretches of windows with one anchor: its hash, its place, the first window, how many."""
     values, powers, inverses = _tables()
+    gram = gram_of(length)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(values[data] * powers[: len(data)], dtype=np.uint64, out=total[1:])
-    h = (total[GRAM:] - total[:-GRAM]) * inverses[: len(data) - GRAM + 1]
+    h = (total[gram:] - total[:-gram]) * inverses[: len(data) - gram + 1]
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
     mask = np.uint64((1 << _PLACE_BITS) - 1)
     least = (h & ~mask) | (mask - np.arange(len(h), dtype=np.uint64))
-    grams, windows, size = length - GRAM + 1, len(data) - length + 1, 1
+    grams, windows, size = length - gram + 1, len(data) - length + 1, 1
     while size * 2 <= grams:
         least = np.minimum(least[:-size], least[size:])
         size *= 2
@@ -348,6 +354,7 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: tuple[str, ...] = (),
+    words: int = 0,
 ) -> DataFrame:
     """(doc_id, spans, kept): the maximal runs of bytes, as (low, high), that windows of
     `length` bytes cover which start anywhere else too, and the other bytes; with the columns
@@ -356,7 +363,10 @@ def remove_repeats(
     Judged on the input: all places of a passage go, also within one document, also in exact
     copies. One row per row of `docs`, repeated rows included, which are copies of each other;
     other columns are not read. Null texts are empty; texts shorter than `length` stay whole.
-    No rows in, no rows out. `length` must exceed GRAM.
+    No rows in, no rows out. `length` is 4 to 800.
+
+    `words`: runs of fewer words stay, unless they have LENGTH bytes. A run holds every passage
+    that its windows make up, so none of `words` words and `length` bytes is missed.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     row = F.struct(F.lit(0).alias("_"), *(F.col(c) for c in carry))
@@ -389,6 +399,13 @@ def remove_repeats(
                         merged[-1][1] = max(merged[-1][1], high)
                     else:
                         merged.append([low, high])
+                if words:
+                    merged = [
+                        [low, high]
+                        for low, high in merged
+                        if high - low >= LENGTH
+                        or len(data[low:high].decode("utf-8", "ignore").split()) >= words
+                    ]
                 runs.append([{"low": low, "high": high} for low, high in merged])
                 edges = [0, *(x for run in merged for x in run), len(data)]
                 rest.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
@@ -404,9 +421,11 @@ def remove_repeats(
     return found if carry else found.drop("row")
 
 
-def without_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def without_repeats(
+    docs: DataFrame, text_col: str = "text", length: int = LENGTH, words: int = 0
+) -> DataFrame:
     """`docs` with the kept bytes as text; what a cut leaves of a character goes with it. Null
-    texts stay null, all other columns stay as they are."""
+    texts stay null, all other columns stay as they are. `length` and `words` as above."""
 
     @F.pandas_udf("string")
     def readable(kept: pd.Series) -> pd.Series:
@@ -414,7 +433,9 @@ def without_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     others = tuple(c for c in docs.columns if c != text_col)
     marked = docs.withColumn("_null", F.col(text_col).isNull()).withColumn("_id", F.lit(0))
-    found = remove_repeats(marked, id_col="_id", text_col=text_col, carry=(*others, "_null"))
+    found = remove_repeats(
+        marked, length, id_col="_id", text_col=text_col, carry=(*others, "_null"), words=words
+    )
     text = F.when(~F.col("row._null"), readable("kept"))
     found = found.select(*(F.col("row")[c].alias(c) for c in others), text.alias(text_col))
     return found.select(*docs.columns)

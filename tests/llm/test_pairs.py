@@ -110,6 +110,18 @@ def test_repeats(llm, monkeypatch, rows):
         assert got[i]["n_removed"] == got[i]["n_bytes"] - len(kept)
 
 
+def test_copies_are_compared_once(llm, monkeypatch):
+    seen, windows = [], repeats._windows
+    monkeypatch.setattr(repeats, "_windows", lambda rows, n: seen.append(rows.count()) or windows(rows, n))
+    dice = random.Random(9)
+    p = "".join(dice.choice("abcdé ") for _ in range(900))
+    texts = [p] * 60 + [p[:500] + "w" + p[501:]]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = without([t.encode() for t in texts], 400)
+    got = {r["doc_id"]: bytes(r["kept"]) for r in repeats.remove_repeats(docs).collect()}
+    assert got == dict(enumerate(want)) and seen == [2]
+
+
 def test_passages_of_51_words(llm):
     dice = random.Random(8)
     word = lambda n: "".join(dice.choice("abcdefghijkl") for _ in range(n))

@@ -331,8 +331,10 @@ def _spans(texts: DataFrame, length: int, batches: int) -> tuple[DataFrame, list
     holders = unlike.groupBy("doc", "size").agg(
         F.collect_list(F.struct("gram", "anchor", "first", "count", "open", "kinds")).alias("stretches")
     )
-    # Copies of a text give the same rows; places are told apart, so they do not count twice.
-    holding = texts.select("doc", "size", "text").join(holders, ["doc", "size"])
+    # Copies of a text give the same rows and places, so one of them stands for all; map tasks
+    # drop theirs before texts are moved.
+    once = texts.filter(F.col("size") >= length).select("doc", "size", "text")
+    holding = once.dropDuplicates(["doc", "size"]).join(holders, ["doc", "size"])
     rows = _windows(holding, length)
     crowded = not grams.filter(F.col("kinds") > GROUP_ROWS).isEmpty()
     # Windows are the widest table; only if they are read twice are they written.

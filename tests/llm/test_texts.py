@@ -48,6 +48,25 @@ def test_disguises():
         assert pii.all_spans(text) == want, text
 
 
+def test_all_disguises_are_searched():
+    text = "call plus four 1 five 5 five 5 two 6 seven 1 today"
+    assert pii.all_spans(text) == [("phone", 5, 44, False)]
+    assert pii.all_spans(text + " \u2019")[:1] == pii.all_spans(text)
+    assert pii.all_spans("+1 4L5 555 0123 9") == [("phone", 0, 17, False)]
+    dice = random.Random(2)
+    parts = [
+        "one", "SEVEN", "ſix", "dot", "Dot", "at", "AT", "@", "plus", "(", ")", "[", "<", ".", ",", "-", " ",
+        " ", " ", "  ", "\t", "1", "22", "55555", "O", "L", "i", "|", "a", "ı", "é", "ª", "\xa0", "com",
+    ]
+    changed = 0
+    for _ in range(60_000):
+        text = "".join(dice.choice(parts) for _ in range(dice.randint(1, 12)))
+        if pii.normalised(text)[0] != text:
+            changed += 1
+            assert pii.disguised(text), text
+    assert changed > 1_000
+
+
 def test_pii_rows(odd):
     rows = pii.pii_digest(odd).collect()
     assert len(rows) == odd.count() and all(row["spans"] == "" for row in rows)

@@ -123,11 +123,8 @@ class _Fold(dict):
 
 _FOLD = _Fold()
 _WORDS = "|".join(_DIGIT_WORDS)
-_FOREIGN = re.compile(f"[^\x00-ɏ]|[{_INVISIBLE}\u00a0ªº²³¹]")
-_BRACKET = re.compile(r"(?i)[\[({<]\s{0,3}(?:at|@|dot|\.)\s{0,3}[\])}>]")
-_BARE_DOT = re.compile(r"(?i)\bdot\b")
-_LETTER_IN_NUMBER = re.compile(r"[0-9][OolI|](?=[0-9])")
-_SPELLED = re.compile(rf"(?i)\b(?:{_WORDS})[\s,-]{{1,3}}(?:{_WORDS})[\s,-]{{1,3}}(?:{_WORDS})\b")
+_CHANGED = "".join(c for c in map(chr, range(0x250)) if _FOLD[ord(c)] != ord(c))
+_FOREIGN = re.compile(f"[^\x00-ɏ]|[{_INVISIBLE}{_CHANGED}]")
 _REWRITE = re.compile(
     rf"(?P<hidden>[{_INVISIBLE}])"
     r"|(?P<at>\s{0,3}[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]\s{0,3})"
@@ -140,18 +137,21 @@ _REWRITE = re.compile(
     r"|(?P<letter>(?<=[0-9])[OolI|](?=[0-9]))",
     re.I,
 )
+#: What each alternative of _REWRITE begins with or holds, under the same flag: an opened bracket
+#: (at, dot, bare_at), a dot between spaces (bare_at, bare_dot), two parts of a spelled number, a
+#: letter in a number. Invisible characters are foreign.
+_GATE = re.compile(
+    r"[\[({<]\s{0,3}(?:at|@|dot|\.)|\sdot\s"
+    rf"|\b(?:{_WORDS})[\s,-]{{1,3}}(?:{_WORDS}|dot|[0-9])"
+    r"|[0-9][OolI|][0-9]",
+    re.I,
+)
 _SPOKEN = re.compile(rf"(?i){_WORDS}|dot|plus|[0-9]")
 
 
 def disguised(text: str) -> bool:
     """Whether anything in the text could be a disguise; cheap, and true too often only."""
-    return bool(
-        _FOREIGN.search(text)
-        or _BRACKET.search(text)
-        or _BARE_DOT.search(text)
-        or _LETTER_IN_NUMBER.search(text)
-        or _SPELLED.search(text)
-    )
+    return bool(_FOREIGN.search(text) or _GATE.search(text))
 
 
 def normalised(text: str) -> tuple[str, np.ndarray, np.ndarray]:

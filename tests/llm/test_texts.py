@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import random
 import re
+import time
 
 from tests.conftest import SMALL
 from tillroll.llm import language, main_text, pii, quality
@@ -94,6 +95,23 @@ def test_main_text():
         assert main_text.main_text(broken) == ""
 
 
+def test_long_tags():
+    value = "x" * 5_000 + " a > b <i>zz</i> "
+    many = " ".join(f"a{i}='{i} > <b>'" for i in range(100))
+    for page in (
+        f'<p data-x="{value}">Body</p>', f"<p data-x='{value}'>Body</p>", f"<p {many}>Body</p>",
+        "<p title=don't>Body</p>", '<p title="un>Body</p>',
+        "<p title=don't>Body</p>" + "<!-- " + "x" * 5_000 + " isn't -->",
+    ):
+        assert [block.text for block in main_text.blocks(page)] == ["Body"], page[:40]
+    hidden = f'<div data-x="{value}" class="sidebar">Body</div>'
+    assert [block.element.boiler for block in main_text.blocks(hidden)] == [True]
+    for unit in ('<a " ="', "<a b='\" ", "<a =\"' =' ", "<a ='\" =\" "):
+        began = time.process_time()
+        main_text.blocks(unit * 40_000 + "<x <")
+        assert time.process_time() - began < 10, unit
+
+
 def test_cut_is_minimal():
     dice = random.Random(2)
     for _ in range(200):

@@ -44,12 +44,16 @@ _BOILER_WORDS = frozenset(
 _CONTENT_WORDS = frozenset("article content entry main post story text".split())
 
 _RAW = "|".join(_SKIPPED)
-#: Linear: what a tag may hold is bounded, or ends at the next angle bracket.
+_QUOTED = r"""\s*+(?:"[^"]*+"|'[^']*+')"""
+#: Quotes open a value behind = only, and only if they are closed in the rest of the page; values
+#: have any length. A tag ends at its >, or at the next angle bracket if it has a quoted value.
+#: Linear: what is read through a value is a tag, and without one a tag holds no angle bracket.
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     rf"|<(?P<raw>{_RAW})\b[^<>]*+>.*?(?:</(?P=raw)[^<>]*+(?:>|\Z)|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*+)"
-    r"""(?P<attrs>(?:[^<>"']++|"[^"]{0,4096}+"|'[^']{0,4096}+'){0,64}+[^<>]*+)>"""
+    rf"""(?P<attrs>(?:[^<>"'=]++|["']|=(?!{_QUOTED}))*+"""
+    rf"""(?:(?=>)|={_QUOTED}(?:[^<>"'=]++|={_QUOTED}|["'=])*+))(?:>|(?=<)|\Z)"""
     r"|<[!?][^>]*+(?:>|\Z)|</?[a-z][^>]*+\Z",
     re.I | re.S,
 )

@@ -160,6 +160,16 @@ def test_languages(llm, odd):
     assert {r["lang_pred"] for r in language.predict_language(odd, {}).collect()} == {"und"}
 
 
+def test_small_samples_gain_nothing(llm):
+    docs = llm.read.parquet(f"{SMALL}/documents.parquet").filter("lang = 'en'")
+    sample = language.training_sample(docs.select("doc_id", "text", "lang"))
+    noise = {"a0": "", "a1": "12 34", "a2": "ok", "a3": "sphinx of black quartz judge my vow"}
+    found = language.predict_language(docs.limit(30), noise | sample).collect()
+    assert len(found) == 30 and {row["lang_pred"] for row in found} == {"en"}
+    only = language.predict_language(docs.limit(3), {"a0": "", "a1": "12 34"}).collect()
+    assert {(row["lang_pred"], row["score"]) for row in only} == {("und", 0.0)}
+
+
 def counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import re
 
 import numpy as np
@@ -108,13 +107,15 @@ def training_sample(
 
 
 class PhraseTable:
-    """Phrases of distinct words in every language."""
+    """Phrases of distinct words in every language whose sample has a letter.
+
+    All phrases cost the same: if one cost the log of its sample's size, a small sample would
+    gain by being small."""
 
     def __init__(self, sample: dict[str, str], limit: int = TABLE_ROWS):
-        self.languages, self.limit = list(sample), limit
-        self.automata = [SuffixAutomaton(words_of(text)) for text in sample.values()]
-        # A larger sample has longer matches; each phrase tells the log of the sample's size.
-        self.weight = np.array([math.log(max(2, x.states)) for x in self.automata])
+        words = {lang: found for lang, text in sample.items() if (found := words_of(text))}
+        self.languages, self.limit = list(words), limit
+        self.automata = [SuffixAutomaton(found) for found in words.values()]
         self._reset()
 
     def _reset(self) -> None:
@@ -122,7 +123,7 @@ class PhraseTable:
         self.counts: list[np.ndarray] = [np.zeros((0, len(self.automata)), np.float32)]
 
     def costs(self, documents: list[list[str]]) -> np.ndarray:
-        """Weighted phrases of each document in each language."""
+        """Phrases of each document in each language."""
         if len(self.row) > self.limit:
             self._reset()
         flat = [word for words in documents for word in words]
@@ -137,17 +138,17 @@ class PhraseTable:
         np.cumsum(self.counts[0][rows], axis=0, dtype=np.float64, out=total[1:])
         ends = np.cumsum([len(words) for words in documents], dtype=np.int64)
         starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-        return (total[ends] - total[starts]) * self.weight
+        return total[ends] - total[starts]
 
 
 def predict_language(
     docs: DataFrame, sample: dict[str, str], id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, lang_pred, score): the language whose sample needs the fewest phrases for the
-    whole text, each weighted by the log of the sample's size; ties go to the first name.
+    whole text; ties go to the first name. Languages whose sample has no letter are left out.
 
     `score`: by what share it needs less than the next language, 1 if there is no other.
-    A null text, one without a letter, and every text if `sample` is empty: `und`, 0. One
+    A null text, one without a letter, and every text if no sample has a letter: `und`, 0. One
     row per row of `docs`, repeated rows included; other columns are not read.
     """
 

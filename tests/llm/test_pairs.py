@@ -71,6 +71,28 @@ def test_odd_texts_join(odd):
     assert shingle_join.first_of_each(odd).columns == odd.columns
 
 
+def test_one_of_each(llm):
+    dice = random.Random(7)
+    word = lambda: "".join(dice.choice("abcdefgh") for _ in range(4))
+    a, b, c, d = ([word() for _ in range(80)] for _ in range(4))
+    near = " ".join([*a[:-1], "zzz"])
+    a, b, c, d = map(" ".join, (a, b, c, d))
+    rows = [
+        (5, a, 1), (None, a, 2), (3, near, 3), (9, a, 4), (3, near, 3),
+        (None, b, 5), (None, b, 5), (None, c, 6), (8, c, 7), (8, c, 7), (8, d, 8),
+        (1, "", 9), (1, "", 9), (None, None, 10), (2, " ", 11),
+    ]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, n_chars int").repartition(4)
+    found = shingle_join.link_shingles(docs, 5, 80, 100).collect()
+    want = [3] * 5 + [None] * 2 + [8] * 4 + [1, 1, None, 2]
+    key = lambda x: (x is None, x or 0)
+    assert sorted((r["component_id"] for r in found), key=key) == sorted(want, key=key)
+    left = sorted(tuple(r) for r in shingle_join.first_of_each(docs).collect() if r["doc_id"])
+    assert left == sorted([(1, "", 9), (1, "", 9), (2, " ", 11), (3, near, 3), (8, c, 7), (8, d, 8)])
+    nameless = shingle_join.first_of_each(docs).filter("doc_id IS NULL").collect()
+    assert sorted(r["n_chars"] for r in nameless) == [5, 10]
+
+
 def test_components(llm):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     found = components(llm.createDataFrame(edges, "a long, b long")).collect()

@@ -398,10 +398,27 @@ def link_shingles(
     without words have no shingles and link with nothing. A row without an id is in the
     component of its links, named null if none of them has an id. No rows in, none out.
     """
-    texts = _text_rows(docs, id_col, text_col)
+    rows, named = _linked(_text_rows(docs, id_col, text_col), words, num, den, region_rows)
+    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    known = named.join(smallest, "root").select("node", "component_id")
+    out = rows.select("doc_id", "size", "node").join(known, "node", "left")
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
+
+
+def _linked(
+    texts: DataFrame, words: int, num: int, den: int, region_rows: int = REGION_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, node, size, ...) of each row, and (num, node, unnamed, doc_id, text_hash,
+    root) of each class of equal sets: its first row, and the class that names its component."""
     rows = staged(_prefixes(texts, words, num, den, shingle_sketch(texts, words)), "shingles")
     classes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min(F.struct("doc_id", "text_hash", "size", "prefix", "counts")).alias("least")
+        F.min(
+            F.struct(
+                F.col("doc_id").isNull().alias("unnamed"),
+                *("doc_id", "text_hash", "size", "prefix", "counts"),
+            )
+        ).alias("least")
     )
     # Numbers of a written table: short names for digests that stay what they are.
     classes = classes.select(F.monotonically_increasing_id().alias("num"), "node", "least.*")
@@ -495,20 +512,32 @@ def link_shingles(
     roots = components(edges.distinct())
     discard(pairs, needed, sets, *written)
     roots = roots.select(F.col("id").alias("num"), "root")
-    named = classes.select("num", "node", "doc_id").join(roots, "num", "left")
-    named = named.withColumn("root", F.coalesce("root", "num"))
-    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    known = named.join(smallest, "root").select("node", "component_id")
-    out = rows.select("doc_id", "size", "node").join(known, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
+    named = classes.select("num", "node", "unnamed", "doc_id", "text_hash").join(roots, "num", "left")
+    return rows, named.withColumn("root", F.coalesce("root", "num"))
 
 
 def first_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """`docs` with one document of each component, that with the smallest id, all columns as
-    they are. Rows without an id stay only if no row of their component has one."""
-    linked = link_shingles(docs, words, num, den).filter(
-        F.col("doc_id") != F.coalesce(F.col("component_id"), F.col("doc_id"))
-    )
-    gone = linked.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """`docs` with one row of each component, all columns as they are: of the rows with the
+    smallest id one, of a component without ids one. Rows whose texts are null or have no words
+    link with nothing and stay."""
+    texts = _text_rows(docs, "doc_id", "text")
+    _, named = _linked(texts, words, num, den)
+    # Nulls last; the hash tells texts of one id apart.
+    first = F.min(F.struct("unnamed", "doc_id", "text_hash")).alias("first")
+    first = named.groupBy("root").agg(first).select("first.*")
+    # An id and a text can stand in several rows, so they are made one before the join, in
+    # map tasks first.
+    key = ["_unnamed", "_id", "_hash"]
+    first = first.select(*_row_key("text_hash", key))
+    worded = F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
+    hashed = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    once = docs.filter(worded).withColumn("text_hash", hashed)
+    once = once.select(*docs.columns, *_row_key("text_hash", key)).dropDuplicates(key)
+    kept = once.join(first, key, "left_semi").select(*docs.columns)
+    return kept.unionByName(docs.filter(~worded))
+
+
+def _row_key(hashed: str, names: list[str]) -> list[Column]:
+    """The id without nulls, so that one shuffle serves both a grouping and a join."""
+    columns = F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col(hashed)
+    return [c.alias(name) for c, name in zip(columns, names, strict=True)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
@@ -207,3 +208,86 @@ def test_pipeline(llm, odd):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(llm, odd.limit(0), SMALL).count() == 0, name
         assert stage(llm, odd, SMALL).count() <= 1_000, name
+
+
+def one_of_each(rows):
+    """Rows in groups, one of which stays with the smallest id: ([rows], ids that may)."""
+    sets = [shingles(r["text"], 5) for r in rows]
+    near = lambda a, b: bool(sets[a]) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    groups = {}
+    for i, top in named_components(range(len(rows)), near).items():
+        groups.setdefault(top, []).append(rows[i])
+    return list(groups.values())
+
+
+def plain_passages(text, others):
+    """`text` without runs of 51 words or 400 bytes that windows of 101 bytes cover."""
+    out, at = b"", 0
+    for gone, run in itertools.groupby(range(len(text)), key=lambda i: others[i]):
+        run = list(run)
+        piece = text[run[0] : run[-1] + 1]
+        if not gone or len(piece) < 400 and len(piece.decode("utf-8", "ignore").split()) < 51:
+            out += piece
+    return out.decode("utf-8", "ignore")
+
+
+def test_stages_against_plain_versions(llm, tmp_path):
+    given = llm.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [r.asDict() for r in given.filter("n_chars > 900").orderBy("doc_id").limit(60).collect()]
+    passage = " ".join(rows[0]["text"].split()[10:61])
+    tenth = " ".join(rows[1]["text"].split()[5:15])
+    for i, more in ((2, passage), (3, passage), (4, tenth), (5, tenth)):
+        rows[i]["text"] += f" then{i} {more} {i}later"
+    rows += [rows[6], rows[6], rows[7] | {"doc_id": None}, rows[8] | {"doc_id": None}]
+    rows[8] = rows[8] | {"doc_id": None}
+    rows.append(rows[9] | {"doc_id": None, "text": rows[9]["text"] + " one two more"})
+    docs = llm.createDataFrame(rows, given.schema).repartition(4)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs, stages = llm.read.parquet(f"{tmp_path}/documents.parquet"), dict(corpus_pipeline.STAGES)
+    key = lambda r: (str(r["doc_id"]), r["text"] or "")
+
+    def after(name, docs):
+        docs = corpus_pipeline.staged(stages[name](llm, docs, str(tmp_path)), "stage")
+        return docs, sorted((r.asDict() for r in docs.collect()), key=key)
+
+    judged = corpus_pipeline.quality.assess_quality(docs).filter("kept").collect()
+    docs, good = after("quality rules", docs)
+    assert [str(r["doc_id"]) for r in good] == sorted(str(r["doc_id"]) for r in judged)
+    assert sum(r["doc_id"] is None for r in good) > 1
+
+    docs, left = after("near duplicates", docs)
+    groups = one_of_each(good)
+    assert len(left) == len(groups) < len(good)
+    for group in groups:
+        ids = [r["doc_id"] for r in group if r["doc_id"] is not None]
+        stays = [r for r in group if r in left]
+        assert {r["doc_id"] for r in stays} == {min(ids) if ids else None}
+
+    texts = [(r["text"] or "").encode() for r in left]
+    marks = [bytearray(len(x)) for x in texts]
+    starts = {}
+    for n, text in enumerate(texts):
+        for at in range(len(text) - 100):
+            starts.setdefault(text[at : at + 101], []).append((n, at))
+    for places in starts.values():
+        for n, at in places if len(places) > 1 else ():
+            marks[n][at : at + 101] = b"\1" * 101
+    want = {key(r)[0]: plain_passages(x, m) for r, x, m in zip(left, texts, marks, strict=True)}
+    docs, cut = after("repeated passages", docs)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in cut if r["doc_id"] is not None) == sorted(
+        (i, x) for i, x in want.items() if i != "None"
+    )
+    assert any(passage in r["text"] for r in left) and not any(passage in r["text"] for r in cut)
+    assert sum(tenth in r["text"] for r in cut) == sum(tenth in r["text"] for r in left)
+
+    docs, clean = after("personal data", docs)
+    redacted = sorted((str(r["doc_id"]), corpus_pipeline.pii.redacted(r["text"])) for r in cut)
+    assert sorted(map(key, clean)) == redacted
+    assert all(r["n_chars"] == len(r["text"]) for r in clean)
+
+    pieces = stages["packing"](llm, docs, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in pieces} == {r["doc_id"] for r in clean}
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    whole = lambda rows: sorted((str(r["doc_id"]), r["doc_tokens"]) for r in rows if r["start"] == 0)
+    ran = corpus_pipeline.run(llm, str(tmp_path))
+    assert set(columns) <= set(ran.columns) and whole(ran.collect()) == whole(pieces)

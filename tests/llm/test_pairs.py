@@ -65,6 +65,20 @@ def test_shingle_join(copies, words, num, region):
     }
 
 
+def test_regions_are_counted_in_map_tasks(copies, monkeypatch):
+    """No stage brings all members of a region to one task to count them."""
+    plans, staged = {}, shingle_join.staged
+
+    def recorded(df, purpose, *more):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, purpose, *more)
+
+    monkeypatch.setattr(shingle_join, "staged", recorded)
+    shingle_join.link_shingles(copies, 3, 90, 100).count()
+    assert "places" in plans and not [name for name, plan in plans.items() if "Window" in plan]
+    assert "partial_count" in plans["shared"]
+
+
 def test_odd_texts_join(odd):
     rows = shingle_join.link_shingles(odd).collect()
     assert len(rows) == odd.count()

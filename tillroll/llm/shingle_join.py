@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.sources.shared import discard, staged
@@ -431,20 +431,20 @@ def _linked(
     places = classes.select("num", wide, F.explode("prefix").alias("at"), rings.alias("rings"))
     places = places.select("num", "size", "at", F.explode("rings").alias("ring"))
     places = places.select("num", "size", F.xxhash64("at", "ring").alias("region"))
-    # One shuffle: a grouped count and a join back would be two, for places that are nearly
-    # all alone in their region.
-    region = Window.partitionBy("region")
-    places = places.select(
-        "region",
-        "num",
-        F.count(F.lit(1)).over(region).alias("members"),
-        F.min("num").over(region).alias("pivot"),
-        F.min("size").over(region).alias("low"),
-        F.max("size").over(region).alias("high"),
+    # Counted in map tasks first, so that no task gets all members of a region. Nearly all
+    # places are alone in theirs: the table to join back is small.
+    shared = places.groupBy("region").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.min("num").alias("pivot"),
+        F.min("size").alias("low"),
+        F.max("size").alias("high"),
     )
     # Two members must have sizes that a link allows.
     fit = (F.col("members") > 2) | (F.col("low") * den >= F.col("high") * num)
-    places = staged(places.filter((F.col("members") > 1) & fit).drop("low", "high"), "places")
+    # Written, so that its size is known and large regions are split in the join.
+    shared = staged(shared.filter((F.col("members") > 1) & fit).drop("low", "high"), "shared")
+    places = staged(places.select("region", "num").join(shared, "region"), "places")
+    discard(shared)
     few = places.filter(F.col("members") <= region_rows).select("region", "num")
     few = few.join(classes.select("num", "size", "counts"), "num")
     few = few.repartition("region").sortWithinPartitions("region", "num")

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, over whole tables with production parameters."""
+"""Registered queries of the numbered operators, over whole tables with production parameters."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    infill,
     language,
+    lines,
     main_text,
     packing,
     pii,
@@ -17,6 +19,7 @@ from . import (
     shingle_join,
     token_counts,
     vectors,
+    whitening,
 )
 from .shipping import ship_package
 
@@ -76,6 +79,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_limit(_read(spark, sf_dir, "documents"), vocabulary(BYTE_MODEL))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.lines_digest(_read(spark, sf_dir, "documents"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_digest(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentence_pieces": op1_sentence_pieces,
@@ -88,8 +103,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_vectors": op9_vectors,
         "op10_token_counts": op10_token_counts,
+        "op11_whitening": op11_whitening,
+        "op12_lines": op12_lines,
+        "op13_infill": op13_infill,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_lines": lines.LINES_SQL, "op13_infill": infill.INFILL_SQL}

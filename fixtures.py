@@ -55,6 +55,20 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def colliding(cleaned: DataFrame) -> DataFrame:
+    """Cleaned rows and, again, all of them at the start of their day with ids that end alike: the
+    sales of a store on one day get the same salted key and the same batch key."""
+    again = cleaned.withColumn("transaction_id", F.concat("transaction_id", F.lit("_resent_")))
+    day = F.date_trunc("day", "timestamp").cast(cleaned.schema["timestamp"].dataType)
+    return cleaned.unionByName(again.withColumn("timestamp", day))
+
+
+def quoted_sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales rows whose customers have a quote, a comma and a line break in their name."""
+    name = "concat(substring(customer_id, 1, 3), '\"', decode(X'0A', 'UTF-8'), ',', customer_id)"
+    return sales_rows(spark, sf_dir).withColumn("customer_id", F.expr(name))
+
+
 def odd_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`lineitem` with unusual store codes and every payment spelling."""
     return table(spark, sf_dir, "lineitem").selectExpr(

@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
-TABLES = ("lineitem", "events")
+TABLES = ("lineitem", "events", "documents", "embeddings", "pages")
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

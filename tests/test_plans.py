@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 import fixtures
+import oracles
 from tillroll.operators import events
 from tillroll.operators.row_keys import (
     with_key_batch,
@@ -71,11 +72,69 @@ def test_json_is_parsed_once(spark):
         assert plan(df).count("from_json") == 1
 
 
-BATCH = [name for name in registered.queries() if "stream" not in name and "live" not in name and "ingest" not in name]
+BATCH = [name for name in oracles.sql() if "stream" not in name and "live" not in name and "ingest" not in name]
 
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(registered.queries()[name](spark, SMALL))
-    for operator in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    for operator in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in text
+
+
+def test_row_numbers_have_no_window_over_all_blocks(spark, tmp_path, monkeypatch):
+    """Also with many ranges of chunks: windows are per range, and numbers stay gapless."""
+    from pyspark.sql import DataFrame
+
+    from tillroll.operators import dense_index
+    from tillroll.sources.csv import read_sales_csv
+
+    monkeypatch.setattr(dense_index, "_RANGE_CHUNKS", 3)
+    rows = spark.range(1_000).selectExpr(
+        "'d' AS t_dat", "CAST(id AS STRING) AS customer_id", "'1' AS article_id", "'2' AS price"
+    )
+    rows.repartitionByRange(20, F.col("customer_id").cast("int")).sortWithinPartitions(
+        F.col("customer_id").cast("int")
+    ).write.option("header", True).csv(str(tmp_path / "csv"))
+    written = []
+    stage = dense_index.staged
+
+    def watched(df: DataFrame, *names):
+        written.append(plan(df))
+        return stage(df, *names)
+
+    monkeypatch.setattr(dense_index, "staged", watched)
+    found = read_sales_csv(spark, str(tmp_path / "csv"), indexed=True)
+    assert found.filter("customer_id <> row_index").count() == 0 and found.count() == 1_000
+    windows = [text for text in written if "Window" in text]
+    assert windows and all("windowspecdefinition(__range" in text for text in windows)
+    assert not any("SinglePartition" in text for text in windows)
+
+
+def test_ranges_follow_the_size_of_the_input(spark, stored, monkeypatch):
+    from tillroll.operators import dense_index
+
+    least = dense_index._range_count(stored)
+    monkeypatch.setattr(dense_index, "_RANGE_BYTES", 1_000)
+    assert dense_index._range_count(stored) > 10 * least
+    assert dense_index._range_count(stored.crossJoin(stored).crossJoin(stored)) == dense_index._MOST_RANGES
+
+
+def test_a_capped_send_reads_the_first_files(spark, tmp_path):
+    from tillroll.plans import feed
+    from tillroll.sources.csv import first_sales_files, read_sales_csv
+
+    folder = tmp_path / "sales csv"
+    folder.mkdir()
+    for number in range(40):
+        lines = [f"2020-01-01,c{number}_{i},{i},0.5" for i in range(100)]
+        (folder / f"part-{number:02d}.csv").write_text("t_dat,customer_id,article_id,price\n" + "\n".join(lines) + "\n")
+    for limit, files in ((1, 1), (100, 1), (101, 2), (390, 4), (401, 8), (4_000, 40), (9_000, 40)):
+        taken = first_sales_files(spark, str(folder), limit)
+        assert len(taken) == files and taken[0].endswith("part-00.csv")
+    sent = feed.send_sales(spark, str(folder), limit=250, kind="files", path=str(tmp_path / "wire"))
+    assert sent.rows == 250
+    good, _ = events.decode_events(spark.read.text(str(tmp_path / "wire")))
+    told = {r["transaction_id"] for r in good.collect()}
+    assert told == {f"c{i // 100}_{i % 100}_{i}" for i in range(250)}
+    assert len(read_sales_csv(spark, first_sales_files(spark, str(folder), 250)).inputFiles()) == 4

@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as registered
+import oracles
 from tests.compare import connect, spark_rows, sql_rows
 from tests.conftest import SMALL
 
 QUERIES = registered.queries()
-ORACLES = registered.oracle_sql()
+#: Queries of training data have tests of their own.
+ORACLES = oracles.sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +19,7 @@ def duck():
 
 def test_queries_without_sql_are_those_of_training_data():
     rest = set(QUERIES) - set(ORACLES)
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) and ORACLES.items() <= registered.oracle_sql().items()
     assert all(name == "pipeline" or name.startswith("op") for name in rest)
 
 

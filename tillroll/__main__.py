@@ -15,11 +15,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.streaming import StreamingQuery  # noqa: E402
 
 from tillroll import fixed  # noqa: E402
 from tillroll.plans import feed, history, sales  # noqa: E402
+from tillroll.plans.cleaning import clean_transactions  # noqa: E402
+from tillroll.sources.csv import read_transactions_csv  # noqa: E402
 from tillroll.sources.events import read_event_stream  # noqa: E402
-from tillroll.streaming import ingest, live, metrics, view  # noqa: E402
+from tillroll.streaming import enriched, ingest, live, metrics, progress, ranking, view  # noqa: E402
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -37,40 +40,80 @@ def _stream(spark: SparkSession, args: argparse.Namespace):
 
 
 def send(spark: SparkSession, args: argparse.Namespace) -> None:
-    sent = feed.send_sales(spark, args.csv, args.limit, args.kind, **_options(args.option))
+    with progress.watching(spark, "send"):
+        sent = feed.send_sales(
+            spark, args.csv, args.limit, args.kind, _options(args.reading), **_options(args.option)
+        )
     print(f"sent {sent.rows:,} rows in {sent.seconds} s, {sent.rows_per_second} rows/s")
     print(f"not mapped: {sent.rejects.count():,} rows")
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = history.process_history(
-        spark, args.csv, args.table, partitions=args.partitions, grain=args.grain
-    )
+    with progress.watching(spark, "load"):
+        rows = history.process_history(
+            spark, args.csv, args.table, partitions=args.partitions, grain=args.grain
+        )
     print(f"loaded {rows:,} rows")
 
 
+def _run(spark: SparkSession, query: StreamingQuery) -> None:
+    listener = progress.BatchProgress()
+    with progress.listening(spark, listener):
+        query.awaitTermination()
+        listener.ended.wait(10)
+
+
 def start(spark: SparkSession, args: argparse.Namespace) -> None:
-    ingest.start_ingest(
-        _stream(spark, args), args.table, args.checkpoint, args.epoch, _trigger(args)
-    ).awaitTermination()
+    query = ingest.start_ingest(
+        _stream(spark, args), args.table, args.checkpoint, args.epoch, _trigger(args), args.zone, args.ranked
+    )
+    _run(spark, query)
 
 
 def follow(spark: SparkSession, args: argparse.Namespace) -> None:
-    ranking = live.live_leaderboard(_stream(spark, args), args.watermark)
-    live.start_live_leaderboard(
-        ranking, args.table, args.checkpoint, args.epoch, _trigger(args)
-    ).awaitTermination()
+    board = live.live_leaderboard(_stream(spark, args), args.watermark, zone=args.zone)
+    _run(
+        spark,
+        live.start_live_leaderboard(board, args.table, args.checkpoint, args.epoch, _trigger(args)),
+    )
+
+
+def enrich(spark: SparkSession, args: argparse.Namespace) -> None:
+    query = enriched.start_enriched(
+        _stream(spark, args), args.table, args.checkpoint, _trigger(args), args.zone
+    )
+    _run(spark, query)
+
+
+def daily(spark: SparkSession, args: argparse.Namespace) -> None:
+    """From the cleaned transactions of a CSV folder; with --changed only the periods in there."""
+    cleaned = clean_transactions(read_transactions_csv(spark, args.csv))
+    if args.changed:
+        changed = clean_transactions(read_transactions_csv(spark, args.changed))
+        rows = history.refresh_daily_sales(cleaned, changed, args.table, args.grain)
+    else:
+        rows = history.save_daily_sales(cleaned, args.table, args.grain)
+    print(f"{rows:,} store-days written")
+
+
+def recent(spark: SparkSession, args: argparse.Namespace) -> None:
+    rows = view.current_view(spark, args.table)
+    _print(sales.recent_by_store(rows, args.latest, "event_time"), args.rows)
 
 
 def _print(rows: DataFrame, limit: int) -> None:
-    """The first lines, and how many rows are left out."""
-    rows.show(limit, truncate=False)
-    more = rows.count() - limit
-    if more > 0:
-        print(f"{more:,} more rows, see --rows")
+    """The first lines, and whether rows are left out: one row more is asked for, not all."""
+    first = rows.limit(limit + 1).collect()
+    shown = rows.sparkSession.createDataFrame(first[:limit], rows.schema)
+    shown.show(limit, truncate=False)
+    if len(first) > limit:
+        print(f"only the first {limit:,} rows, see --rows")
 
 
 def leaderboard(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.exact:
+        _print(ranking.exact_ranking(spark, args.table), args.rows)
+        return
     rows = view.serving_text(view.current_view(spark, args.table))
     _print(sales.store_leaderboard_sql(rows), args.rows)
 
@@ -91,7 +134,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    print(f"version {view.compact(spark, args.table)}")
+    print(f"version {view.compact(spark, args.table, args.grain)}")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -109,6 +152,7 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--kind", default="kafka", choices=["kafka", "files"])
         sub.add_argument("--starting", default="earliest")
         sub.add_argument("--allow-data-loss", action="store_true")
+        sub.add_argument("--zone", help="of the event times; the session's zone by default")
         sub.add_argument("--interval", default=fixed.TRIGGER_INTERVAL)
         sub.add_argument("--once", action="store_true", help="take what is there and stop")
         sub.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
@@ -119,6 +163,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--kind", default="kafka", choices=["kafka", "files"])
     sub.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
 
+    sub.add_argument("--reading", action="append", default=[], metavar="NAME=VALUE", help="CSV options")
+
     sub = job("load", load, "transaction files to the history table")
     sub.add_argument("csv")
     sub.add_argument("table")
@@ -129,6 +175,22 @@ def parser() -> argparse.ArgumentParser:
     stream_arguments(sub)
     sub.add_argument("--epoch", type=int, required=True)
 
+    sub.add_argument("--ranked", action="store_true", help="keep the exact store ranking")
+
+    sub = job("enrich", enrich, "event stream to cleaned rows by day")
+    stream_arguments(sub)
+
+    sub = job("daily", daily, "transaction files to the daily sales table")
+    sub.add_argument("csv")
+    sub.add_argument("table")
+    sub.add_argument("--changed", help="only the periods of these files, which are among the others")
+    sub.add_argument("--grain", default="day", choices=list(history.GRAINS))
+
+    sub = job("recent", recent, "latest rows of every store")
+    sub.add_argument("table")
+    sub.add_argument("--latest", type=int, default=5, help="rows of a store")
+    sub.add_argument("--rows", type=int, default=100, help="lines to print")
+
     sub = job("follow", follow, "store ranking that refreshes with the stream")
     stream_arguments(sub)
     sub.add_argument("--epoch", type=int, required=True)
@@ -141,6 +203,8 @@ def parser() -> argparse.ArgumentParser:
         sub = job(name, run, help)
         sub.add_argument("table")
         sub.add_argument("--rows", type=int, default=100, help="lines to print")
+        if run is leaderboard:
+            sub.add_argument("--exact", action="store_true", help="as kept by ingest --ranked")
 
     sub = job("sql", query, "any SQL on the current rows, the view `transactions`")
     sub.add_argument("table")
@@ -148,7 +212,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--rows", type=int, default=100, help="lines to print")
     sub.add_argument("--out", help="folder for all rows, as Parquet, instead of printing")
 
-    job("compact", compact, "fold the log into a new base").add_argument("table")
+    sub = job("compact", compact, "merge the log into the base")
+    sub.add_argument("table")
+    sub.add_argument("--grain", default="day", choices=list(view.GRAINS))
     return top
 
 

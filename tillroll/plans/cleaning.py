@@ -10,6 +10,16 @@ from tillroll.operators.standardize import enrich, standardize_formats, validate
 from tillroll.operators.validity import remove_invalid_records
 
 
+def clean_rows(df: DataFrame, pattern: str = fixed.STORE_PATTERN_LITERAL) -> DataFrame:
+    """The stages that look at one row: standard formats, review flags, enrichment. For batches and
+    streams; without a payment column its part is left out."""
+    return (
+        df.transform(standardize_formats, pattern)
+        .transform(validate_business_rules)
+        .transform(enrich)
+    )
+
+
 def clean_transactions(
     df: DataFrame,
     tie_break: Sequence[Column] = (),
@@ -24,7 +34,5 @@ def clean_transactions(
     return (
         df.transform(remove_invalid_records)
         .transform(deduplicate_latest, tie_break=tie_break)
-        .transform(standardize_formats, pattern)
-        .transform(validate_business_rules)
-        .transform(enrich)
+        .transform(clean_rows, pattern)
     )

@@ -54,15 +54,20 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(name).cast("string").alias(name) for name in df.columns])
 
 
-def _write_by_period(rows: DataFrame, path: str, grain: str, mode: str, parts: int | None) -> int:
+def _period(grain: str) -> Column:
+    return F.date_format(DAY, "yyyy-MM") if grain == "month" else F.col(DAY)
+
+
+def _write_by_period(
+    rows: DataFrame, path: str, grain: str, mode: str, parts: int | None, **options: str
+) -> int:
     """Write rows that have a day, one folder per period, and count them in the same pass.
 
     `rebalance` lets Spark divide a large period between tasks and merge small ones, from
     the sizes it measures; `parts` sets the shuffle partitions it starts with.
     """
     folder = GRAINS[grain]
-    if grain == "month":
-        rows = rows.withColumn(MONTH, F.date_format(DAY, "yyyy-MM"))
+    rows = rows.withColumn(folder, _period(grain))
     inside = [name for name in (DAY, "store_id", "rowkey") if name in rows.columns]
     counted = Observation("written")
     (
@@ -70,6 +75,7 @@ def _write_by_period(rows: DataFrame, path: str, grain: str, mode: str, parts: i
         .sortWithinPartitions(folder, *inside)
         .observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.mode(mode)
+        .options(**options)
         .partitionBy(folder)
         .parquet(path)
     )
@@ -104,3 +110,18 @@ def process_history(
 def save_daily_sales(df: DataFrame, path: str, grain: str = "day") -> int:
     """Keep daily sales as a small table of its own; returns the rows written."""
     return _write_by_period(daily_groups(df), path, grain, "overwrite", None)
+
+
+def refresh_daily_sales(df: DataFrame, changed: DataFrame, path: str, grain: str = "day") -> int:
+    """Compute the daily sales of the periods that `changed` rows are in, from all their rows in
+    `df`; returns the rows written. All other periods keep their files.
+
+    The periods are collected, a value per folder; on a history table they prune its folders.
+    Spark replaces the folders of the periods it writes, and each only when the job is done.
+    """
+    periods = [row[0] for row in changed.select(_period(grain)).distinct().collect()]
+    period = F.col(MONTH) if grain == "month" and MONTH in df.columns else _period(grain)
+    rows = df.filter(period.isin(periods) if periods else F.lit(False)).drop(MONTH)
+    return _write_by_period(
+        daily_groups(rows), path, grain, "overwrite", None, partitionOverwriteMode="dynamic"
+    )

@@ -47,11 +47,15 @@ LOG = T.StructType(
     ]
 )
 
-# One row per finished micro-batch.
+# One row per finished micro-batch, with the figures of its good rows.
 JOURNAL = T.StructType(
     [
         T.StructField("rows", T.LongType()),
         T.StructField("rejected", T.LongType()),
+        T.StructField("stores", T.LongType()),
+        T.StructField("amount", T.DecimalType(38, 10)),
+        T.StructField("first_event", T.TimestampType()),
+        T.StructField("last_event", T.TimestampType()),
         T.StructField("started_at", T.TimestampType()),
         T.StructField("finished_at", T.TimestampType()),
         T.StructField("epoch", T.LongType()),
@@ -59,7 +63,7 @@ JOURNAL = T.StructType(
     ]
 )
 
-# Current rows folded by a compaction.
+# Current rows folded by a compaction. `period` and `salt` are directories.
 BASE = T.StructType(
     [
         *EVENT.fields,
@@ -68,10 +72,20 @@ BASE = T.StructType(
         T.StructField("seq", SEQ),
         T.StructField("epoch", T.LongType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("period", T.StringType()),
         T.StructField("salt", T.IntegerType()),
     ]
 )
 
+# The base version that holds each period and salt.
+PARTS = T.StructType(
+    [
+        T.StructField("period", T.StringType()),
+        T.StructField("salt", T.IntegerType()),
+        T.StructField("held_by", T.LongType()),
+    ]
+)
+
 # For each epoch, the last batch that a base version contains.
 MANIFEST = T.StructType(
     [
@@ -80,3 +94,12 @@ MANIFEST = T.StructType(
         T.StructField("version", T.LongType()),
     ]
 )
+
+# The store ranking after a batch.
+RANKING = T.StructType(
+    [
+        T.StructField("store_id", T.StringType()),
+        T.StructField(fixed.RANK_COUNT, T.LongType()),
+        T.StructField(fixed.RANK_REVENUE, T.DecimalType(38, 10)),
+    ]
+)

@@ -1,7 +1,9 @@
 """The folder where jobs keep intermediate tables."""
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,12 +41,30 @@ def staged(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a glob pattern; none where its folder does not exist."""
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(pattern)
+    system = path.getFileSystem(context._jsc.hadoopConfiguration())
+    found = system.globStatus(path)
+    if not found:
+        return []
+    # As one text "{a,b}": a call for each of thousands of paths would take seconds.
+    text = context._jvm.org.apache.commons.lang3.ArrayUtils.toString(hadoop.FileUtil.stat2Paths(found))
+    root = system.makeQualified(hadoop.Path(pattern.partition("*")[0].rpartition("/")[0])).toString()
+    return re.split(f",(?={re.escape(root)})", text[1:-1])
+
+
+def remove(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Remove folders with all that is in them."""
+    context = spark.sparkContext
+    for folder in folders:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove tables that `staged` wrote, once no result reads them any more."""
     for table in tables:
-        spark = table.sparkSession
-        context = spark.sparkContext
-        path_of = context._jvm.org.apache.hadoop.fs.Path
-        for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
-            path = path_of(folder)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        remove(table.sparkSession, {name.rpartition("/")[0] for name in table.inputFiles()})

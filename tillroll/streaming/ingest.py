@@ -1,9 +1,8 @@
 """Stream ingest into a log of immutable micro-batches.
 
 <path>/log/epoch=E/batch_id=N/status=ok|rejected/salt=S/   rows of one micro-batch
-<path>/journal/epoch=E/batch_id=N/                         one row, written when it is whole
 
-A batch without a journal row is invisible to readers and is written anew by a retry; a
+A batch without a journal entry is invisible to readers and is written anew by a retry; a
 batch with one is never touched again. An epoch is one life of a checkpoint: whoever
 starts over with a new checkpoint passes a higher epoch, since batch numbers restart. One
 stream writes to a table at a time, and no stream goes back to an earlier epoch.
@@ -12,20 +11,17 @@ stream writes to a table at a time, and no stream goes back to an earlier epoch.
 import datetime
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll import fixed, schemas
+from tillroll.functions.amounts import EXACT
 from tillroll.functions.keys import stream_salt
 from tillroll.operators.events import REASON, annotate_events
 from tillroll.operators.row_keys import with_key_stream
-
-OK = "ok"
-REJECTED = "rejected"
-
-# Up to this many batches are read by name; beyond it the log folder is listed whole.
-_NAMED_FOLDERS = 2_000
+from tillroll.streaming import journal, ranking
+from tillroll.streaming.log import OK, REJECTED, read_batches, read_log  # noqa: F401
 
 
 def log_rows(events: DataFrame, zone: str | None = None) -> DataFrame:
@@ -57,58 +53,77 @@ def create_table(spark: SparkSession, path: str) -> None:
         empty.write.mode("ignore").partitionBy(*folders).parquet(f"{path}/{kind}")
 
 
-def _write_batch(batch: DataFrame, path: str, epoch: int, batch_id: int) -> None:
+def _write_batch(
+    batch: DataFrame, path: str, epoch: int, batch_id: int, state: journal.State | None = None
+) -> None:
+    """Write one batch, then its entry. Figures are observed while rows are written; only the
+    stores are counted after it, on that one column. With `state`, what was finished before,
+    the store ranking goes on with this batch."""
     spark = batch.sparkSession
-    folder = f"epoch={epoch}/batch_id={batch_id}"
+    folder = f"{path}/log/{journal.folder_of((epoch, batch_id))}"
     started = datetime.datetime.now(datetime.timezone.utc)
     counted = Observation(f"epoch {epoch} batch {batch_id}")
     kept = [name for name in schemas.LOG.names if name not in ("epoch", "batch_id")]
+    good = F.col("status") == OK
     (
         batch.withColumn("ingested_at", F.lit(started))
         .select(*kept)
         .hint("rebalance", "status", "salt")
         .observe(
             counted,
-            F.count_if(F.col("status") == OK).alias("rows"),
+            F.count_if(good).alias("rows"),
             F.count_if(F.col("status") == REJECTED).alias("rejected"),
+            F.sum(F.when(good, F.col("total_amount").try_cast(EXACT))).alias("amount"),
+            F.min(F.when(good, F.unix_micros("event_time"))).alias("first_event"),
+            F.max(F.when(good, F.unix_micros("event_time"))).alias("last_event"),
         )
         .write.mode("overwrite")
         .partitionBy("status", "salt")
-        .parquet(f"{path}/log/{folder}")
+        .parquet(folder)
     )
+    figures = counted.get
+    for name in ("first_event", "last_event"):
+        figures[name] = _moment(figures[name])
+    stores = 0
+    if figures["rows"]:
+        stores = read_batches(spark, path, [(epoch, batch_id)]).select("store_id").distinct().count()
+    if state is not None:
+        ranking.write_next(spark, path, (epoch, batch_id), state, figures)
     finished = datetime.datetime.now(datetime.timezone.utc)
-    totals = counted.get
-    entry = spark.range(1, numPartitions=1).select(
-        F.lit(totals["rows"]).cast("bigint").alias("rows"),
-        F.lit(totals["rejected"]).cast("bigint").alias("rejected"),
-        F.lit(started).alias("started_at"),
-        F.lit(finished).alias("finished_at"),
-    )
-    entry.write.mode("overwrite").parquet(f"{path}/journal/{folder}")
+    entry = {**figures, "stores": stores, "started_at": started, "finished_at": finished}
+    journal.write_entry(spark, path, (epoch, batch_id), entry)
+    if state is not None:
+        ranking.remove_old(spark, path, {(epoch, batch_id), state.newest})
+
+
+def _moment(micros: int | None) -> datetime.datetime | None:
+    if micros is None:
+        return None
+    start = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
+    return start + datetime.timedelta(microseconds=micros)
 
 
-def batch_writer(path: str, epoch: int) -> Callable[[DataFrame, int], None]:
+def batch_writer(path: str, epoch: int, ranked: bool = False) -> Callable[[DataFrame, int], None]:
     """The `foreachBatch` callback. It lets every error stop the query: a batch that was
     not written must not count as done.
 
     A batch that the journal already lists is left alone: it was finished just before a
     stop, and only the checkpoint did not hear of it. The journal is looked at once per
-    start, since later batches cannot be in it.
+    start, since later batches cannot be in it; a ranked table asks it for every batch.
     """
     finished: int | None = None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         nonlocal finished
-        if finished is None:
-            journal = read_journal(batch.sparkSession, path)
-            newest, last = journal.agg(
-                F.max("epoch"), F.max(F.when(F.col("epoch") == epoch, F.col("batch_id")))
-            ).first()
-            if newest is not None and newest > epoch:
-                raise ValueError(f"the table is in epoch {newest} already, not in {epoch}")
-            finished = -1 if last is None else last
+        state = None
+        if finished is None or ranked:
+            state = journal.read_state(batch.sparkSession, path)
+            newest = state.newest
+            if newest is not None and newest[0] > epoch:
+                raise ValueError(f"the table is in epoch {newest[0]} already, not in {epoch}")
+            finished = newest[1] if newest is not None and newest[0] == epoch else -1
         if batch_id > finished:
-            _write_batch(batch, path, epoch, batch_id)
+            _write_batch(batch, path, epoch, batch_id, *([state] if ranked else []))
 
     return write
 
@@ -120,64 +135,19 @@ def start_ingest(
     epoch: int,
     trigger: Mapping[str, object] | None = None,
     zone: str | None = None,
+    ranked: bool = False,
 ) -> StreamingQuery:
     """Run a wire stream into the log at `path`; the caller awaits or stops the query.
 
     `trigger` takes the arguments of `DataStreamWriter.trigger`. Rows are written by the
-    executors; large batches are divided between tasks, small salts share one.
+    executors; large batches are divided between tasks, small salts share one. `ranked` keeps the
+    exact store ranking of the current rows, see `ranking`.
     """
     create_table(stream.sparkSession, path)
     return (
         log_rows(stream, zone)
-        .writeStream.foreachBatch(batch_writer(path, epoch))
+        .writeStream.foreachBatch(batch_writer(path, epoch, ranked))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": fixed.TRIGGER_INTERVAL}))
         .start()
     )
-
-
-def read_journal(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.JOURNAL).parquet(f"{path}/journal")
-
-
-def _up_to_last(finished: DataFrame) -> Column:
-    """A partition filter that holds for the listed batches.
-
-    Batches of an epoch finish in order, so one last number per epoch is enough; there are
-    as many epochs as there were new starts.
-    """
-    last = finished.groupBy("epoch").agg(F.max("batch_id").alias("last"))
-    kept = F.lit(False)
-    for row in last.collect():
-        kept = kept | ((F.col("epoch") == row["epoch"]) & (F.col("batch_id") <= row["last"]))
-    return kept
-
-
-def after_batches(covered: Mapping[int, int]) -> Column:
-    """True for batches that come after the covered one of their epoch."""
-    kept = F.lit(True)
-    for epoch, batch_id in covered.items():
-        kept = kept & ((F.col("epoch") != epoch) | (F.col("batch_id") > batch_id))
-    return kept
-
-
-def read_log(
-    spark: SparkSession, path: str, status: str = OK, covered: Mapping[int, int] | None = None
-) -> DataFrame:
-    """Log rows of finished batches, without those up to the `covered` batch of an epoch.
-
-    A moderate number of batches is read by folder name, so that the cost of listing files
-    follows the new batches and not the age of the table.
-    """
-    later = after_batches(covered or {})
-    finished = read_journal(spark, path).filter(later).select("epoch", "batch_id")
-    listed = finished.limit(_NAMED_FOLDERS + 1).collect()
-    reader = spark.read.schema(schemas.LOG).option("basePath", f"{path}/log")
-    if not listed:
-        return spark.createDataFrame([], schemas.LOG)
-    if len(listed) <= _NAMED_FOLDERS:
-        folders = [f"{path}/log/epoch={r['epoch']}/batch_id={r['batch_id']}" for r in listed]
-        log = reader.parquet(*folders)
-    else:
-        log = reader.parquet(f"{path}/log").filter(_up_to_last(finished) & later)
-    return log.filter(F.col("status") == status)

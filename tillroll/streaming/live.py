@@ -10,6 +10,7 @@ from tillroll import fixed
 from tillroll.operators.events import decode_events
 from tillroll.operators.row_keys import with_key_stream
 from tillroll.plans.sales import store_leaderboard
+from tillroll.sources.shared import matching
 
 
 def live_leaderboard(
@@ -20,9 +21,9 @@ def live_leaderboard(
     Repeats of a row key count once while they arrive within `watermark` of the first; later ones
     count again, which keeps the state bounded. The watermark follows the time of arrival, which
     Spark fixes for each batch, so an event counts however old it is. The first write of a
-    key counts, so a corrected amount does not show here: rank the current view for that. A key is
-    first reduced within `spread` groups of source tasks, so a key that fills a large part of
-    a batch does not go to one task whole.
+    key counts, so a corrected amount does not show here: `ranking` keeps the exact ranking of an
+    ingested table. A key is first reduced within `spread` groups of source tasks, so a key that
+    fills a large part of a batch does not go to one task whole.
     """
     good, _ = decode_events(stream, zone)
     keyed = (
@@ -65,13 +66,6 @@ def start_live_leaderboard(
     )
 
 
-def _matching(spark: SparkSession, pattern: str) -> list[str]:
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(path)
-    return [status.getPath().toString() for status in found or ()]
-
-
 def _newest_first(folders: list[str]) -> list[str]:
     return sorted(folders, key=lambda x: int(x.rpartition("=")[2]), reverse=True)
 
@@ -79,9 +73,9 @@ def _newest_first(folders: list[str]) -> list[str]:
 def newest_ranking(spark: SparkSession, path: str) -> DataFrame:
     """The latest finished refresh of the highest epoch that has one, in rank order. Folders
     are listed by name; only that of the refresh is opened."""
-    for epoch in _newest_first(_matching(spark, f"{path}/epoch=*")):
-        for refresh in _newest_first(_matching(spark, f"{epoch}/refresh=*")):
-            if _matching(spark, f"{refresh}/*.parquet"):
+    for epoch in _newest_first(matching(spark, f"{path}/epoch=*")):
+        for refresh in _newest_first(matching(spark, f"{epoch}/refresh=*")):
+            if matching(spark, f"{refresh}/*.parquet"):
                 ranking = spark.read.parquet(refresh)
                 return ranking.orderBy(F.col(fixed.RANK_REVENUE).desc(), "store_id")
     raise ValueError(f"no finished refresh in {path}")

@@ -3,8 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.amounts import exact_amount
-from tillroll.streaming.ingest import read_journal, read_log
+from tillroll.streaming.journal import read_journal
 
 _BATCH = ["epoch", "batch_id"]
 
@@ -19,32 +18,16 @@ def _rate(rows: Column, seconds: Column) -> Column:
 
 
 def ingest_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Per finished batch: rows, rejects, stores, amount, event times, seconds, rows/s.
-
-    Grouped by store first, so that counting stores needs no distinct aggregate and a
-    large batch is merged in the map tasks.
-    """
-    log = read_log(spark, path)
-    by_store = log.groupBy(*_BATCH, "store_id").agg(
-        F.sum(exact_amount(log, "total_amount")).alias("amount"),
-        F.min("event_time").alias("first_event"),
-        F.max("event_time").alias("last_event"),
-    )
-    batches = by_store.groupBy(*_BATCH).agg(
-        F.count("store_id").alias("stores"),
-        F.sum("amount").alias("amount"),
-        F.min("first_event").alias("first_event"),
-        F.max("last_event").alias("last_event"),
-    )
+    """Per finished batch: rows, rejects, stores, amount, event times, seconds, rows/s. The journal
+    has them all, also of batches whose rows were removed."""
     seconds = _seconds(F.col("started_at"), F.col("finished_at"))
     return (
         read_journal(spark, path)
-        .join(batches, _BATCH, "left")
         .select(
             *_BATCH,
             "rows",
             "rejected",
-            F.coalesce("stores", F.lit(0)).alias("stores"),
+            "stores",
             "amount",
             "first_event",
             "last_event",

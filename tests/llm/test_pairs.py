@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SMALL
@@ -149,7 +151,7 @@ def test_repeats(llm, monkeypatch, rows):
 
 def test_copies_are_compared_once(llm, monkeypatch):
     seen, windows = [], repeats._windows
-    monkeypatch.setattr(repeats, "_windows", lambda rows, n: seen.append(rows.count()) or windows(rows, n))
+    monkeypatch.setattr(repeats, "_windows", lambda rows, *n: seen.append(rows.count()) or windows(rows, *n))
     dice = random.Random(9)
     p = "".join(dice.choice("abcdé ") for _ in range(900))
     texts = [p] * 60 + [p[:500] + "w" + p[501:]]
@@ -171,14 +173,86 @@ def test_passages_of_51_words(llm):
     ]
     docs = llm.createDataFrame(list(enumerate(texts)), "n_chars int, text string").repartition(3)
     left = {r["n_chars"]: r["text"] for r in corpus_pipeline.repeats.without_repeats(
-        docs, length=corpus_pipeline.PASSAGE_BYTES, words=corpus_pipeline.PASSAGE_WORDS).collect()}
+        docs, length=corpus_pipeline.PASSAGE_WORDS, unit="words").collect()}
     staged = corpus_pipeline.repeated_passages(llm, docs, SMALL)
     assert sorted(r["text"] for r in staged.collect()) == sorted(left.values())
     for i, passage in enumerate((short, wide, few, [solid])):
         for n in (2 * i, 2 * i + 1):
             gone = len(texts[n].split()) - len(left[n].split())
-            assert gone >= len(passage) - 1 if passage is not few else left[n] == texts[n], (i, n)
-            assert all(x in left[n].split() for x in texts[n].split()[:19])
+            assert gone == (51 if len(passage) == 51 else 0), (i, n)
+            assert all(x in left[n].split() for x in [*texts[n].split()[:20], *texts[n].split()[-20:]])
+
+
+def test_chained_passages_stay(llm):
+    """Two of 30 words, each of another document, are no passage of 51."""
+    dice = random.Random(2)
+    word = lambda: "".join(dice.choice("abcdefghijkl") for _ in range(6))
+    first, second = ([word() for _ in range(60)] for _ in range(2))
+    both = [*(word() for _ in range(40)), *first[10:40], *second[10:40], *(word() for _ in range(40))]
+    texts = [" ".join(first), "\n".join(second), " ".join(both)]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r["doc_id"]: r["text"] for r in repeats.without_repeats(docs, length=51, unit="words").collect()}
+    assert left == dict(enumerate(texts))
+
+
+def marked_words(texts, size):
+    """For each text which words a window of `size` words covers that starts elsewhere too."""
+    words = [re.findall(rb"[^\x20\x09-\x0D]+", t) for t in texts]
+    starts = {}
+    for n, held in enumerate(words):
+        for at in range(len(held) - size + 1):
+            starts.setdefault(tuple(held[at : at + size]), []).append((n, at))
+    marks = [bytearray(len(held)) for held in words]
+    for places in starts.values():
+        for n, at in places if len(places) > 1 else ():
+            marks[n][at : at + size] = b"\1" * size
+    return marks
+
+
+def without_words(text, marks):
+    """`text` without the runs of marked words and the blanks within them."""
+    out, at = b"", 0
+    spans = [x.span() for x in re.finditer(rb"[^\x20\x09-\x0D]+", text)]
+    for gone, run in itertools.groupby(range(len(spans)), key=lambda i: marks[i]):
+        run = list(run)
+        if gone:
+            out += text[at : spans[run[0]][0]]
+            at = spans[run[-1]][1]
+    return out + text[at:]
+
+
+@pytest.mark.parametrize("rows,size", [(2_000, 4), (3, 9), (2_000, 51)])
+def test_repeated_words(llm, monkeypatch, rows, size):
+    monkeypatch.setattr(repeats, "GROUP_ROWS", rows)
+    dice = random.Random(3)
+    blanks = [" ", "  ", "\n", "\t ", "\x0b"]
+    text = lambda words: "".join(w + dice.choice(blanks) for w in words)
+    pool = [dice.choice(["a", "bé", "日本", "x\x1cy", "w\xa0"]) + str(dice.randrange(900)) for _ in range(300)]
+    texts = [text(pool[a : a + dice.randrange(160)]) for a in (dice.randrange(250) for _ in range(60))]
+    texts += [text(["to"] * 130), text(["to", "be"] * 100 + ["x"]), "", None, "  ", text(pool), text(pool[:50])]
+    texts += [texts[0], texts[0], text(["k"] * 50), text(pool[::-1] + pool[7:80]), "one", "one"]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    data = [(t or "").encode() for t in texts]
+    want = {i: without_words(t, m) for i, (t, m) in enumerate(zip(data, marked_words(data, size), strict=True))}
+    got = {r["doc_id"]: bytes(r["kept"]) for r in repeats.remove_repeats(docs, size, unit="words").collect()}
+    assert got == want
+
+
+CLASHING = ["text_hash", "_Unnamed", "_id", "_hash", "doc", "SIZE", "row", "kept", "_null", "_name", "_salt", "_group", "_d",
+            "_x0", "_m0", "_l00", "_quality_kept", "n_words", "base_failed", "num", "node", "root", "unnamed", "a.b", "hash"]
+
+
+def test_stages_touch_no_other_column(llm):
+    given = llm.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    named = given.select("*", *(F.concat(F.lit(f"{c} "), "doc_id").alias(c) for c in CLASHING))
+    for name in ("quality rules", "near duplicates", "repeated passages"):
+        stage = dict(corpus_pipeline.STAGES)[name]
+        found = stage(llm, named, SMALL)
+        assert found.columns == named.columns, name
+        rows = found.collect()
+        plain = {r["doc_id"]: r["text"] for r in stage(llm, given, SMALL).collect()}
+        assert {r["doc_id"]: r["text"] for r in rows} == plain and plain, name
+        assert all(r[c] == f"{c} {r['doc_id']}" for r in rows for c in CLASHING), name
 
 
 def test_odd_repeats(odd):
@@ -234,17 +308,6 @@ def one_of_each(rows):
     return list(groups.values())
 
 
-def plain_passages(text, others):
-    """`text` without runs of 51 words or 400 bytes that windows of 101 bytes cover."""
-    out, at = b"", 0
-    for gone, run in itertools.groupby(range(len(text)), key=lambda i: others[i]):
-        run = list(run)
-        piece = text[run[0] : run[-1] + 1]
-        if not gone or len(piece) < 400 and len(piece.decode("utf-8", "ignore").split()) < 51:
-            out += piece
-    return out.decode("utf-8", "ignore")
-
-
 def test_stages_against_plain_versions(llm, tmp_path):
     given = llm.read.parquet(f"{SMALL}/documents.parquet")
     rows = [r.asDict() for r in given.filter("n_chars > 900").orderBy("doc_id").limit(60).collect()]
@@ -278,15 +341,8 @@ def test_stages_against_plain_versions(llm, tmp_path):
         assert {r["doc_id"] for r in stays} == {min(ids) if ids else None}
 
     texts = [(r["text"] or "").encode() for r in left]
-    marks = [bytearray(len(x)) for x in texts]
-    starts = {}
-    for n, text in enumerate(texts):
-        for at in range(len(text) - 100):
-            starts.setdefault(text[at : at + 101], []).append((n, at))
-    for places in starts.values():
-        for n, at in places if len(places) > 1 else ():
-            marks[n][at : at + 101] = b"\1" * 101
-    want = {key(r)[0]: plain_passages(x, m) for r, x, m in zip(left, texts, marks, strict=True)}
+    marks = marked_words(texts, 51)
+    want = {key(r)[0]: without_words(x, m).decode() for r, x, m in zip(left, texts, marks, strict=True)}
     docs, cut = after("repeated passages", docs)
     assert sorted((str(r["doc_id"]), r["text"]) for r in cut if r["doc_id"] is not None) == sorted(
         (i, x) for i, x in want.items() if i != "None"

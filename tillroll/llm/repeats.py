@@ -10,10 +10,14 @@ New batches get a suffix array, in the order of the grams' hashes, which is scan
 levels for grams that occur again; equal-sized levels merge. What is found are
 candidates. The exact check follows: stretches of windows are compared whole by a hash of
 their text, and window by window where the stretches of one gram differ.
+
+Units are bytes, or words: then a text is the sequence of its words' hashes, passages are equal
+whatever blanks stand between their words, and all lengths and places count words.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,14 +25,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.sources.shared import discard, new_folder, staged
 
 from .slices import list_array, map_text, slices
 
 LENGTH = 400
+BYTES, WORDS = "bytes", "words"
 #: Batches that a table is taken in by; batch sizes double as levels merge.
 BATCHES = 4
 #: Rows of one gram that a task compares; those of more frequent grams are dealt out by window.
@@ -37,13 +43,23 @@ _OFFSETS = 64
 _PLACE_BITS = 20
 _BLOCK = 1 << 19
 _SEED = 3
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def gram_of(length: int) -> int:
-    """Bytes of the grams for passages of `length` bytes: 128 for 400, 32 for 101."""
+    """Units of the grams for passages of `length` units: 128 for 400, 16 for 51."""
     return length * 8 // 25
 
 
+def _coded(text: bytes, unit: str) -> tuple[bytes, int]:
+    """What windows are cut from and hashed, and its bytes per unit."""
+    if unit == BYTES:
+        return text, 1
+    # `split` of bytes cuts at the six blanks of ASCII.
+    hashes = [xxhash.xxh3_64_intdigest(word) for word in text.split()]
+    return np.array(hashes, np.uint64).tobytes(), 8
+
+
 @lru_cache(maxsize=1)
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Random numbers for bytes, and powers of an odd number with their inverses."""
@@ -57,11 +73,12 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _anchored(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Stretches of windows with one anchor: its hash, its place, the first window, how many."""
-    values, powers, inverses = _tables()
+    """Stretches of windows with one anchor: its hash, its place, the first window, how many.
+    `data` has a 64-bit number for each unit."""
+    _, powers, inverses = _tables()
     gram = gram_of(length)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * powers[: len(data)], dtype=np.uint64, out=total[1:])
+    np.cumsum(data * powers[: len(data)], dtype=np.uint64, out=total[1:])
     h = (total[gram:] - total[:-gram]) * inverses[: len(data) - gram + 1]
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
@@ -79,14 +96,18 @@ def _anchored(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     return (found >> np.uint64(_PLACE_BITS)).astype(np.int64), place, first, count
 
 
-def suffixes(text: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int, int, int]]:
+def suffixes(
+    text: bytes, length: int = LENGTH, unit: str = BYTES
+) -> Iterator[tuple[int, int, int, int, int]]:
     """(gram, content, anchor, first, count) of all stretches of windows; `content` is a
     hash of the text that they cover. Texts of any length, in blocks."""
-    for start in range(0, max(0, len(text) - length + 1), _BLOCK):
-        block = text[start : start + _BLOCK + length - 1]
-        columns = _anchored(np.frombuffer(block, np.uint8), length)
+    data, step = _coded(text, unit)
+    for start in range(0, max(0, len(data) // step - length + 1), _BLOCK):
+        block = data[start * step : (start + _BLOCK + length - 1) * step]
+        numbers = np.frombuffer(block, np.uint64) if step == 8 else _tables()[0][np.frombuffer(block, np.uint8)]
+        columns = _anchored(numbers, length)
         for gram, anchor, first, count in zip(*(x.tolist() for x in columns), strict=True):
-            content = xxhash.xxh3_64_intdigest(block[first : first + count - 1 + length])
+            content = xxhash.xxh3_64_intdigest(block[first * step : (first + count - 1 + length) * step])
             yield gram, content - (1 << 63), start + anchor, start + first, count
 
 
@@ -94,7 +115,7 @@ _ENTRY = "gram long, content long, doc long, size int, anchor int, first int, co
 _NAMES = ["gram", "content", "doc", "size", "anchor", "first", "count", "copies"]
 
 
-def _suffix_rows(texts: DataFrame, length: int) -> DataFrame:
+def _suffix_rows(texts: DataFrame, length: int, unit: str) -> DataFrame:
     """Suffixes of all texts. Stretches with equal content within one text are one row with
     `copies`, and the other places are rows of no gram."""
 
@@ -107,7 +128,7 @@ def _suffix_rows(texts: DataFrame, length: int) -> DataFrame:
                     if size < length:
                         continue
                     seen: dict[tuple, int] = {}
-                    found = list(suffixes(text.as_buffer().to_pybytes(), length))
+                    found = list(suffixes(text.as_buffer().to_pybytes(), length, unit))
                     for item in found:
                         seen[item[:2]] = seen.get(item[:2], 0) + 1
                     for gram, content, anchor, first, count in found:
@@ -163,7 +184,7 @@ class IndexFamily:
         return shown
 
 
-def _windows(rows: DataFrame, length: int) -> DataFrame:
+def _windows(rows: DataFrame, length: int, unit: str = BYTES) -> DataFrame:
     """Hashes of the windows of each stretch, by their offset to the anchor, in parts."""
 
     schema = (
@@ -178,7 +199,7 @@ def _windows(rows: DataFrame, length: int) -> DataFrame:
             ends: list[int] = []
             keys = [part.column(c).to_pylist() for c in ("doc", "size", "stretches")]
             for doc, size, stretches, text in zip(*keys, part.column("text"), strict=True):
-                data = text.as_buffer().to_pybytes()
+                data, step = _coded(text.as_buffer().to_pybytes(), unit)
                 for x in stretches:
                     top = x["anchor"] - x["first"]
                     low = top - x["count"] + 1
@@ -187,7 +208,8 @@ def _windows(rows: DataFrame, length: int) -> DataFrame:
                         hi = min(top, piece * _OFFSETS + _OFFSETS - 1)
                         for offset in range(lo, hi + 1):
                             at = x["anchor"] - offset
-                            hashes.append(xxhash.xxh3_64_intdigest(data[at : at + length]))
+                            window = data[at * step : (at + length) * step]
+                            hashes.append(xxhash.xxh3_64_intdigest(window))
                         ends.append(len(hashes))
                         made.append(
                             (x["gram"], piece, doc, size, x["anchor"], lo, x["open"], x["kinds"])
@@ -292,12 +314,14 @@ def _frequent_windows(rows: DataFrame, length: int) -> DataFrame:
     return found.select("doc", "size", first.alias("low"), (first + length).cast("int").alias("high"))
 
 
-def _spans(texts: DataFrame, length: int, batches: int) -> tuple[DataFrame, list[DataFrame]]:
-    """(doc, size, low, high): intervals that hold all bytes to be removed. And the written
+def _spans(
+    texts: DataFrame, length: int, batches: int, unit: str
+) -> tuple[DataFrame, list[DataFrame]]:
+    """(doc, size, low, high): intervals that hold all units to be removed. And the written
     tables that they are read from."""
     path = new_folder(texts.sparkSession, "suffixes")
     batch = F.pmod(F.xxhash64("doc"), F.lit(batches))
-    _suffix_rows(texts, length).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
+    _suffix_rows(texts, length, unit).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
     kept = texts.sparkSession.read.schema(_ENTRY + ", batch int").parquet(path)
     index, parts = IndexFamily(), []
     for number in range(batches):
@@ -335,7 +359,7 @@ def _spans(texts: DataFrame, length: int, batches: int) -> tuple[DataFrame, list
     # drop theirs before texts are moved.
     once = texts.filter(F.col("size") >= length).select("doc", "size", "text")
     holding = once.dropDuplicates(["doc", "size"]).join(holders, ["doc", "size"])
-    rows = _windows(holding, length)
+    rows = _windows(holding, length, unit)
     crowded = not grams.filter(F.col("kinds") > GROUP_ROWS).isEmpty()
     # Windows are the widest table; only if they are read twice are they written.
     rows = staged(rows, "windows") if crowded else rows
@@ -349,32 +373,41 @@ def _spans(texts: DataFrame, length: int, batches: int) -> tuple[DataFrame, list
     return out, [kept, found, classes, *([rows] if crowded else [])]
 
 
+def _byte_runs(data: bytes, runs: list[list[int]], unit: str) -> list[list[int]]:
+    """Runs of units as runs of bytes, from the first byte of the first to the last of the last."""
+    if unit == BYTES or not runs:
+        return runs
+    words = [x.span() for x in _WORD.finditer(data)]
+    return [[words[low][0], words[high - 1][1]] for low, high in runs]
+
+
 def remove_repeats(
     docs: DataFrame,
     length: int = LENGTH,
     batches: int = BATCHES,
     id_col: str = "doc_id",
     text_col: str = "text",
-    carry: tuple[str, ...] = (),
-    words: int = 0,
+    unit: str = BYTES,
 ) -> DataFrame:
     """(doc_id, spans, kept): the maximal runs of bytes, as (low, high), that windows of
-    `length` bytes cover which start anywhere else too, and the other bytes; with the columns
-    `carry` as the struct `row`.
+    `length` units cover which start anywhere else too, and the other bytes.
 
     Judged on the input: all places of a passage go, also within one document, also in exact
     copies. One row per row of `docs`, repeated rows included, which are copies of each other;
     other columns are not read. Null texts are empty; texts shorter than `length` stay whole.
     No rows in, no rows out. `length` is 4 to 800.
 
-    `words`: runs of fewer words stay, unless they have LENGTH bytes. A run holds every passage
-    that its windows make up, so none of `words` words and `length` bytes is missed.
+    In words, blanks within a run go with it, those around it stay.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    row = F.struct(F.lit(0).alias("_"), *(F.col(c) for c in carry))
-    texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), row.alias("row"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.lit(0).alias("row"), text.alias("text"))
+    return _removed(texts, length, batches, unit).drop("row")
+
+
+def _removed(texts: DataFrame, length: int, batches: int, unit: str) -> DataFrame:
+    """(doc_id, row, spans, kept) of (doc_id, row, text), where no text is null."""
     texts = texts.withColumns({"doc": F.xxhash64("text"), "size": F.octet_length("text")})
-    spans, read = _spans(texts, length, batches)
+    spans, read = _spans(texts, length, batches, unit)
     spans = staged(spans, "spans")
     discard(*read)
     spans = spans.groupBy("doc", "size").agg(F.collect_set(F.struct("low", "high")).alias("found"))
@@ -384,7 +417,6 @@ def remove_repeats(
     joined = texts.join(known, ["doc", "size"], "left").select(
         "doc_id", "row", "text", F.coalesce("copied", F.lit(False)).alias("copied"), "found"
     )
-    kinds = {c: texts.schema[c].dataType.simpleString() for c in ("doc_id", "row")}
 
     def prepare():
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -393,21 +425,16 @@ def remove_repeats(
             for text, copied, found in zip(*columns, strict=True):
                 data = text.as_buffer().to_pybytes()
                 merged: list[list[int]] = []
-                parts = [(0, len(data))] if copied.as_py() else [
-                    (x["low"], x["high"]) for x in found.as_py() or ()
-                ]
+                parts = [(x["low"], x["high"]) for x in found.as_py() or ()]
+                if copied.as_py():
+                    units = len(data) if unit == BYTES else len(data.split())
+                    parts = [(0, units)] if units >= length else []
                 for low, high in sorted(parts):
                     if merged and low <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], high)
                     else:
                         merged.append([low, high])
-                if words:
-                    merged = [
-                        [low, high]
-                        for low, high in merged
-                        if high - low >= LENGTH
-                        or len(data[low:high].decode("utf-8", "ignore").split()) >= words
-                    ]
+                merged = _byte_runs(data, merged, unit)
                 runs.append([{"low": low, "high": high} for low, high in merged])
                 edges = [0, *(x for run in merged for x in run), len(data)]
                 rest.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
@@ -418,33 +445,46 @@ def remove_repeats(
 
         return work
 
-    schema = f"doc_id {kinds['doc_id']}, row {kinds['row']}, spans array<struct<low:long,high:long>>"
-    found = map_text(joined, f"{schema}, kept binary", prepare)
-    return found if carry else found.drop("row")
+    span = T.StructType([T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])
+    schema = T.StructType(
+        [
+            *(T.StructField(name, texts.schema[name].dataType) for name in ("doc_id", "row")),
+            T.StructField("spans", T.ArrayType(span)),
+            T.StructField("kept", T.BinaryType()),
+        ]
+    )
+    return map_text(joined, schema, prepare)
+
+
+@F.pandas_udf(T.StringType())
+def _readable(kept: pd.Series) -> pd.Series:
+    return kept.map(lambda data: data.decode("utf-8", "ignore"), na_action="ignore")
 
 
 def without_repeats(
-    docs: DataFrame, text_col: str = "text", length: int = LENGTH, words: int = 0
+    docs: DataFrame, text_col: str = "text", length: int = LENGTH, unit: str = BYTES
 ) -> DataFrame:
     """`docs` with the kept bytes as text; what a cut leaves of a character goes with it. Null
-    texts stay null, all other columns stay as they are. `length` and `words` as above."""
+    texts stay null, all other columns stay as they are, whatever their names. `length` and
+    `unit` as above."""
+    others = [c for c in docs.columns if c != text_col]
+    # Inside a struct no name of the user's meets one of ours.
+    row = F.struct(F.col(text_col).isNull().alias("null"), F.struct(*map(_quoted, others)).alias("of"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = docs.select(F.lit(0).alias("doc_id"), row.alias("row"), text.alias("text"))
+    found = _removed(texts, length, BATCHES, unit)
+    text = F.when(~F.col("row.null"), _readable("kept"))
+    columns = {c: F.col("row.of")[c] for c in others} | {text_col: text}
+    return found.select(*(columns[c].alias(c) for c in docs.columns))
 
-    @F.pandas_udf("string")
-    def readable(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda data: data.decode("utf-8", "ignore"), na_action="ignore")
 
-    others = tuple(c for c in docs.columns if c != text_col)
-    marked = docs.withColumn("_null", F.col(text_col).isNull()).withColumn("_id", F.lit(0))
-    found = remove_repeats(
-        marked, length, id_col="_id", text_col=text_col, carry=(*others, "_null"), words=words
-    )
-    text = F.when(~F.col("row._null"), readable("kept"))
-    found = found.select(*(F.col("row")[c].alias(c) for c in others), text.alias(text_col))
-    return found.select(*docs.columns)
+def _quoted(name: str) -> Column:
+    return F.col(f"`{name}`")
 
 
 def repeats_digest(docs: DataFrame) -> DataFrame:
-    """The registered query: sizes, and a digest of what is kept."""
+    """The registered query: sizes, a digest of what is kept, and that as text, without what a
+    cut leaves of a character."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["high"] - x["low"])
     return remove_repeats(docs).select(
         "doc_id",
@@ -452,4 +492,5 @@ def repeats_digest(docs: DataFrame) -> DataFrame:
         removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        _readable("kept").alias("kept_text"),
     )

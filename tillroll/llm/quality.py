@@ -274,7 +274,12 @@ _MARK = "_quality_"
 def keep_good(docs: DataFrame) -> DataFrame:
     """`docs` without the rows that the rules reject, all columns as they are. The statistics
     are computed again for the verdict, which costs less than writing all texts beside them."""
-    brief = statistics(docs.select("lang", "source", "text"), prefix=_MARK).drop("text")
+    read = ["lang", "source", "text"]
+    brief = statistics(docs.select(*read), prefix=_MARK).drop("text")
     fitted = fit_outliers(staged(brief, "statistics"), prefix=_MARK)
-    judged = judge_outliers(statistics(docs, prefix=_MARK), *fitted, prefix=_MARK)
-    return judged.filter(F.col(f"{_MARK}kept")).select(*docs.columns)
+    # Inside a struct no name of the user's meets one of ours.
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(*read, row)
+    judged = judge_outliers(statistics(rows, prefix=_MARK), *fitted, prefix=_MARK)
+    kept = judged.filter(F.col(f"{_MARK}kept"))
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))

@@ -526,15 +526,16 @@ def first_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100
     first = F.min(F.struct("unnamed", "doc_id", "text_hash")).alias("first")
     first = named.groupBy("root").agg(first).select("first.*")
     # An id and a text can stand in several rows, so they are made one before the join, in
-    # map tasks first.
-    key = ["_unnamed", "_id", "_hash"]
+    # map tasks first. Inside a struct no name of the user's meets one of ours.
+    key = ["unnamed", "id", "hash"]
     first = first.select(*_row_key("text_hash", key))
     worded = F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
     hashed = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    once = docs.filter(worded).withColumn("text_hash", hashed)
-    once = once.select(*docs.columns, *_row_key("text_hash", key)).dropDuplicates(key)
-    kept = once.join(first, key, "left_semi").select(*docs.columns)
-    return kept.unionByName(docs.filter(~worded))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    once = docs.filter(worded).select(row, "doc_id", hashed.alias("hashed"))
+    once = once.select("row", *_row_key("hashed", key)).dropDuplicates(key)
+    kept = once.join(first, key, "left_semi")
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns)).union(docs.filter(~worded))
 
 
 def _row_key(hashed: str, names: list[str]) -> list[Column]:

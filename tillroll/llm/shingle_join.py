@@ -411,24 +411,23 @@ def _linked(
 ) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_hash, node, size, ...) of each row, and (num, node, unnamed, doc_id, text_hash,
     root) of each class of equal sets: its first row, and the class that names its component."""
-    rows = staged(_prefixes(texts, words, num, den, shingle_sketch(texts, words)), "shingles")
+    rows = _prefixes(texts, words, num, den, shingle_sketch(texts, words))
+    # Numbers of a written table: short names for digests that stay what they are.
+    rows = staged(rows.withColumn("num", F.monotonically_increasing_id()), "shingles")
+    # Prefixes and counts stay where they are; the class only says which row has its own.
     classes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min(
-            F.struct(
-                F.col("doc_id").isNull().alias("unnamed"),
-                *("doc_id", "text_hash", "size", "prefix", "counts"),
-            )
+            F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "num")
         ).alias("least")
     )
-    # Numbers of a written table: short names for digests that stay what they are.
-    classes = classes.select(F.monotonically_increasing_id().alias("num"), "node", "least.*")
-    classes = staged(classes, "classes")
+    classes = staged(classes.select("node", "least.*"), "classes")
+    wide = rows.select("num", "size", "prefix").join(classes.select("num"), "num", "left_semi")
 
     # Level 0: the regions of rare shingles, in rings of size.
     ring = lambda size: F.floor(F.log(size) / RING).cast("int")
     rings = F.sequence(ring(F.col("size")), ring(F.col("size") * den / num * (1 + 1e-9)))
-    wide = F.col("size").cast("int").alias("size")
-    places = classes.select("num", wide, F.explode("prefix").alias("at"), rings.alias("rings"))
+    short = F.col("size").cast("int").alias("size")
+    places = wide.select("num", short, F.explode("prefix").alias("at"), rings.alias("rings"))
     places = places.select("num", "size", "at", F.explode("rings").alias("ring"))
     places = places.select("num", "size", F.xxhash64("at", "ring").alias("region"))
     # Counted in map tasks first, so that no task gets all members of a region. Nearly all
@@ -446,7 +445,7 @@ def _linked(
     places = staged(places.select("region", "num").join(shared, "region"), "places")
     discard(shared)
     few = places.filter(F.col("members") <= region_rows).select("region", "num")
-    few = few.join(classes.select("num", "size", "counts"), "num")
+    few = few.join(rows.select("num", "size", "counts"), "num")
     few = few.repartition("region").sortWithinPartitions("region", "num")
     many = places.filter(F.col("members") > region_rows).select("num", "pivot")
     pairs = _groups(few, num, den).union(many.filter(F.col("num") != F.col("pivot"))).distinct()

@@ -421,7 +421,9 @@ def _linked(
         ).alias("least")
     )
     classes = staged(classes.select("node", "least.*"), "classes")
-    wide = rows.select("num", "size", "prefix").join(classes.select("num"), "num", "left_semi")
+    # Joined alike at every size: a table of all classes has no bound to be broadcast by.
+    chosen = classes.select("num").hint("merge")
+    wide = rows.select("num", "size", "prefix").join(chosen, "num", "left_semi")
 
     # Level 0: the regions of rare shingles, in rings of size.
     ring = lambda size: F.floor(F.log(size) / RING).cast("int")

@@ -95,6 +95,54 @@ def test_main_text():
         assert main_text.main_text(broken) == ""
 
 
+PROSE = "This is a sentence of the article with quite a few words in it, and it goes on to its end. " * 2
+
+
+def test_wrappers_keep_the_article():
+    menu = "<nav><a href=/>Home</a></nav>"
+    for opened, closed in (
+        ('<div class="wrap has-sidebar"><article>', "</article></div>"),
+        ('<div class="entry-content no-comments">', "</div>"),
+        ('<div class="post tag-search">', "</div>"),
+        ('<main data-title="The hidden truth">', "</main>"),
+        ('<div data-id="comment-system">', "</div>"),
+        ('<article aria-label="A hidden gem">', "</article>"),
+        ('<form id="aspnetForm" action="/">', "</form>"),
+        ('<div class="layout-sidebar-right"><main>', "</main></div>"),
+        ('<div id="ad-cookie-wrap"><main>', "</main></div>"),
+        ('<div class="header-layout"><div>', "</div></div>"),
+        ('<head><meta charset="utf-8"><body><div>', "</div>"),
+    ):
+        page = f"{menu}{opened}<p>{PROSE}</p><p>{PROSE}</p>{closed}<footer>somebody</footer>"
+        assert main_text.main_text(page) == f"{PROSE.strip()}\n\n{PROSE.strip()}", opened
+
+
+def test_parts_that_are_no_article():
+    article = f"<article><p>{PROSE}</p></article>"
+    for other in (
+        f'<div id="comments"><article class="c"><p>{PROSE * 3}</p></article></div>',
+        f'<div class="cookie-consent"><p>{PROSE}</p></div>',
+        f'<div class="sponsored"><p>{PROSE}</p></div>',
+        f"<aside><article><p>{PROSE * 2}</p></article></aside>",
+        '<div class="related"><article><a href=/x>Another article that is worth a read</a></article></div>',
+        f'<div style="display: none"><p>{PROSE}</p></div>',
+        f"<div hidden><p>{PROSE}</p></div>",
+        '<form><label>Name</label><input name="a"><button>Send</button></form>',
+        '<div class="siteHeader"><p>The name of the site</p></div>',
+    ):
+        for page in (article + other, other + article):
+            assert main_text.main_text(page) == PROSE.strip(), other
+    comments = f'<div class="comments"><p>{PROSE * 5}</p></div>'
+    assert main_text.main_text(f"<div><p>{PROSE}</p></div>{comments}") == PROSE.strip()
+
+
+def test_close_tags_are_linear():
+    for page in ("<div>" * 60_000 + "</section>" * 60_000, "<b x=" * 60_000, "<p a='" * 60_000):
+        began = time.process_time()
+        main_text.main_text(page)
+        assert time.process_time() - began < 5, page[:10]
+
+
 def test_long_tags():
     value = "x" * 5_000 + " a > b <i>zz</i> "
     many = " ".join(f"a{i}='{i} > <b>'" for i in range(100))

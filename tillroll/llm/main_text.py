@@ -9,9 +9,12 @@ the stronger the closer they stand in the document tree. The cheapest cut labels
 from __future__ import annotations
 
 import html
+import math
 import re
-from collections import deque
+from collections import Counter, deque
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,16 +35,24 @@ _CLOSED_BY_PEER = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
     "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
 }
-_BOILER_TAGS = frozenset("nav footer aside form dialog menu button select fieldset head".split())
+_HEAD_TAGS = frozenset("base link meta title style script noscript template".split())
+_BOILER_TAGS = frozenset("nav footer aside dialog menu button select head".split())
+_LAYOUT_TAGS = frozenset("form fieldset header".split())
+#: What is never the article, however long it is.
 _BOILER_WORDS = frozenset(
-    "ad ads advert advertisement advertising adsense banner breadcrumb breadcrumbs comment"
-    " comments commentlist consent cookie cookies copyright disqus footer form gdpr header login"
-    " masthead menu modal nav navbar navigation newsletter notice notification pager pagination"
-    " popup promo promoted promotion related reply replies respond search share sharing sidebar"
-    " signup social sponsor sponsored subscribe subscription tags teaser toolbar warning"
-    " widget".split()
+    "ad ads advert advertisement advertising adsense comment comments commentlist consent cookie"
+    " cookies copyright disqus gdpr notice notification popup promoted replies reply respond"
+    " sponsor sponsored warning".split()
+)
+#: Parts of a page's layout, which also stand in the names of wrappers around everything.
+_LAYOUT_WORDS = frozenset(
+    "banner breadcrumb breadcrumbs footer form header login masthead menu modal nav navbar"
+    " navigation newsletter pager pagination promo related search share sharing sidebar signup"
+    " social subscribe subscription tags teaser toolbar widget".split()
 )
 _CONTENT_WORDS = frozenset("article content entry main post story text".split())
+#: Words before what an element has or has not, or what its text is about.
+_ABOUT = frozenset("about category format has hide is no not show tag topic with without".split())
 
 _RAW = "|".join(_SKIPPED)
 _QUOTED = r"""\s*+(?:"[^"]*+"|'[^']*+')"""
@@ -58,18 +69,28 @@ _MARKUP = re.compile(
     re.I | re.S,
 )
 _ATTRIBUTE = re.compile(
-    r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I
+    r"""([^\s"'<>/=]++)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>]++))?""",
 )
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 @dataclass
 class Element:
+    """What an element says about its text: `hidden` and `named` text is not the article,
+    `layout` text may be, if the element stands around the article or holds long prose."""
+
     tag: str
     depth: int
     parent: Element | None
-    boiler: bool = False
+    hidden: bool = False
+    named: bool = False
+    layout: bool = False
     content: bool = False
+    prose: int = 0
+
+    @property
+    def boiler(self) -> bool:
+        return self.hidden or self.named or self.layout
 
 
 @dataclass
@@ -78,36 +99,97 @@ class Block:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
-    @property
+    @cached_property
     def text(self) -> str:
         return " ".join(html.unescape("".join(self.parts)).split())
 
 
-def _element(tag: str, attrs: str, parent: Element | None) -> Element:
-    """An element knows what it and its ancestors say about their text."""
-    boiler, content = tag in _BOILER_TAGS, tag in ("article", "main")
-    if tag == "header" and not (parent and parent.content):
-        boiler = True
+def _words(value: str) -> set[str]:
+    """The words of class names, each up to a word such as `has` or `no`."""
+    found = set()
+    for name in value.split():
+        for word in _NAME_PART.findall(name):
+            if word.lower() in _ABOUT:
+                break
+            found.add(word.lower())
+    return found
+
+
+def _element(tag: str, attrs: str, parent: Element) -> Element:
+    """An element with what its own tag and attributes say."""
+    made = Element(tag, parent.depth + 1, parent, tag in _BOILER_TAGS, layout=tag in _LAYOUT_TAGS)
+    made.content = tag in ("article", "main")
     for name, value in _ATTRIBUTE.findall(attrs) if attrs else ():
         name, value = name.lower(), value.strip("\"'")
         if name in ("hidden", "aria-hidden"):
-            boiler |= value.lower() != "false"
+            made.hidden |= value.lower() != "false"
         elif name == "style":
-            boiler |= "display:none" in value.replace(" ", "").lower()
-        else:
-            words = {x.lower() for x in _NAME_PART.findall(value)}
-            if words & _BOILER_WORDS and tag not in ("body", "html", "article", "main"):
-                boiler = True
-            content |= bool(words & _CONTENT_WORDS)
-    if parent:
-        boiler, content = boiler or parent.boiler, content or parent.content
-    return Element(tag, parent.depth + 1 if parent else 0, parent, boiler, content)
+            made.hidden |= "display:none" in value.replace(" ", "").lower()
+        elif name in ("class", "id", "role"):
+            words = _words(value)
+            if tag not in ("body", "html"):
+                made.named |= bool(words & _BOILER_WORDS)
+                made.layout |= bool(words & _LAYOUT_WORDS) and tag not in ("article", "main")
+            made.content |= bool(words & _CONTENT_WORDS)
+    return made
+
+
+def _sum_prose(elements: list[Element], found: list[Block], counted: Callable) -> None:
+    """Characters of sentences without links, for each element with all that it holds."""
+    for element in elements:
+        element.prose = 0
+    for block in found:
+        if block.text.count(" ") >= 7 and counted(block.element):
+            block.element.prose += max(0, len(block.text) - block.linked)
+    for element in reversed(elements):
+        if element.parent:
+            element.parent.prose += element.prose
+
+
+def judge(elements: list[Element], found: list[Block]) -> None:
+    """Make each element know what it and those around it say. `elements` are in page order.
+
+    The article's wrappers are never boilerplate by their names, nor are forms and headers around
+    it. The article is the `article` or `main` with the most prose, those inside something like
+    comments only if they hold most of the page's; on a page without one, the innermost element
+    with more than half of the prose, and then only layout words of its wrappers are overruled.
+    """
+    inside = {id(elements[0]): (False, False)}
+    for element in elements[1:]:
+        hidden, named = inside[id(element.parent)]
+        inside[id(element)] = hidden or element.hidden, named or element.named
+    _sum_prose(elements, found, lambda x: not inside[id(x)][0])
+    candidates = [
+        x for x in elements if x.tag in ("article", "main") and x.prose and not inside[id(x)][0]
+    ]
+    article = max(candidates, key=lambda x: (not inside[id(x)][1], x.prose), default=None)
+    if article and inside[id(article)][1] and 2 * article.prose <= elements[0].prose:
+        article = None
+    kept_words = article is None
+    if article is None:
+        _sum_prose(elements, found, lambda x: not any(inside[id(x)]))
+        most = [x for x in elements if 2 * x.prose > elements[0].prose]
+        article = max(most, key=lambda x: x.depth, default=None)
+    around = article
+    while around:
+        around.layout = False
+        around.named &= kept_words
+        around = around.parent
+    for element in elements[1:]:
+        above = element.parent
+        if element.tag == "header" and above.content:
+            element.layout = False
+        element.hidden |= above.hidden
+        element.named |= above.named
+        element.layout |= above.layout
+        element.content |= above.content
 
 
 def blocks(page: str) -> list[Block]:
     """Stretches of text between block-level tags, in page order, with their elements."""
     root = Element("html", 0, None)
     stack, found, links, at = [root], [], 0, 0
+    elements, opened = [root], Counter()
     current: Block | None = None
 
     def add(text: str) -> None:
@@ -117,13 +199,17 @@ def blocks(page: str) -> list[Block]:
         if current is None:
             if text.isspace():
                 return
-            holder = next(x for x in reversed(stack) if x.tag not in _INLINE)
-            current = Block(holder)
+            current = Block(stack[-1])
             found.append(current)
         current.parts.append(text)
         if links:
             current.linked += len(text.strip())
 
+    def close() -> str:
+        tag = stack.pop().tag
+        opened[tag] -= 1
+        return tag
+
     for mark in _MARKUP.finditer(page):
         add(page[at : mark.start()])
         at = mark.end()
@@ -138,18 +224,26 @@ def blocks(page: str) -> list[Block]:
             continue
         current, links = None, 0
         if mark["close"]:
-            if any(x.tag == tag for x in stack[1:]):
-                while stack.pop().tag != tag:
+            if opened[tag]:
+                while close() != tag:
                     pass
             continue
         closes = _CLOSED_BY_PEER.get(tag, ())
         if stack[-1].tag in ("p", *closes) and len(stack) > 1:
-            stack.pop()
+            close()
+        if stack[-1].tag == "head" and tag not in _HEAD_TAGS:
+            close()
+        if tag in _VOID:
+            continue
         element = _element(tag, mark["attrs"], stack[-1])
-        if tag not in _VOID and not mark["attrs"].endswith("/"):
+        elements.append(element)
+        if not mark["attrs"].endswith("/"):
             stack.append(element)
+            opened[tag] += 1
     add(page[at:])
-    return [block for block in found if block.text]
+    found = [block for block in found if block.text]
+    judge(elements, found)
+    return found
 
 
 def leaning(block: Block) -> float:
@@ -163,8 +257,12 @@ def leaning(block: Block) -> float:
     score += 1.0 * (element.tag in ("p", "blockquote", "pre"))
     score += 0.5 * (element.tag in ("h1", "h2", "h3", "li", "td", "dd", "figcaption"))
     score += 2.5 * element.content
-    score -= 7.0 * element.boiler
-    return score
+    if element.hidden or element.named:
+        return score - 7.0
+    # Long prose without links outweighs a name of the layout.
+    if words > 25 and not block.linked:
+        score += min(2.5, 0.6 * math.log2(words / 25))
+    return score - 4.5 * element.layout
 
 
 def distance(a: Element, b: Element) -> int:

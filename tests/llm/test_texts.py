@@ -45,6 +45,19 @@ def test_disguises():
         ("call plus one four one five five five five two six seven one", [("phone", 5, 60, False)]),
         ("192 dot 168 dot 1 dot 20", [("ip", 0, 24, False)]),
         ("meet at one and two", []),
+        ("plus 49 one seven zero five five five zero one two", [("phone", 0, 50, False)]),
+        ("+1 eight hundred double five five oh one two three", [("phone", 0, 50, False)]),
+        ("tel plus vier neun eins sieben null fünf fünf fünf eins zwei drei", [("phone", 4, 65, False)]),
+        ("plus trois trois un deux trois quatre cinq six sept huit", [("phone", 0, 56, False)]),
+        ("más tres cuatro nueve uno dos tres cuatro cinco seis siete", [("phone", 0, 58, False)]),
+        ("juan arroba ejemplo punto es", [("email", 0, 28, False)]),
+        ("jean (arobase) exemple (point) fr", [("email", 0, 33, False)]),
+        ("hans at beispiel punkt de", [("email", 0, 25, False)]),
+        ("192 punto 168 punto 1 punto 20", [("ip", 0, 30, False)]),
+        ("Table 2019|2020|2021|2022", []),
+        ("4111|1111|1111|1111 and 41|11|1111111111|11", []),
+        ("un point important, deux points de plus et trois autres", []),
+        ("one nİne two three", []),
     ):
         assert pii.all_spans(text) == want, text
 
@@ -56,7 +69,7 @@ def test_all_disguises_are_searched():
     assert pii.all_spans("+1 4L5 555 0123 9") == [("phone", 0, 17, False)]
     dice = random.Random(2)
     parts = [
-        "one", "SEVEN", "ſix", "dot", "Dot", "at", "AT", "@", "plus", "(", ")", "[", "<", ".", ",", "-", " ",
+        "one", "SEVEN", "ſix", "nİne", "neun", "un", "hundred", "double", "doppel", "más", "punkt", "arroba", "dot", "Dot", "at", "AT", "@", "plus", "(", ")", "[", "<", ".", ",", "-", " ",
         " ", " ", "  ", "\t", "1", "22", "55555", "O", "L", "i", "|", "a", "ı", "é", "ª", "\xa0", "com",
     ]
     changed = 0

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -97,13 +97,32 @@ _LOOKALIKES = dict(
     zip(
         "АВСЕНІЈКМОРЅТХУаеорсухіјѕһԁԛԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧαορνυι․∙﹒。‐‑‒–−﹣＋﹢",
         "ABCEHIJKMOPSTXYaeopcyxijshdqwABEZHIKMNOPTYXaopvui....------++",
-        strict=False,
+        strict=True,
     )
 )
-_DIGIT_WORDS = {
-    "zero": "0", "one": "1", "two": "2", "three": "3", "four": "4",
-    "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
+# How numbers and addresses are spelled, by language.
+_SPELLED = {
+    "en": {"digits": "zero one two three four five six seven eight nine", "more": {"oh": "0", "hundred": "00", "thousand": "000"},
+           "twice": "double", "at": "at", "dot": "dot", "plus": "plus"},
+    "de": {"digits": "null eins zwei drei vier fünf sechs sieben acht neun", "more": {"zwo": "2", "fuenf": "5"},
+           "twice": "doppel", "at": "at ät", "dot": "punkt", "plus": "plus"},
+    "fr": {"digits": "zéro un deux trois quatre cinq six sept huit neuf", "more": {},
+           "twice": "double", "at": "arobase arrobase", "dot": "point", "plus": "plus"},
+    "es": {"digits": "cero uno dos tres cuatro cinco seis siete ocho nueve", "more": {},
+           "twice": "doble", "at": "arroba", "dot": "punto", "plus": "más mas"},
 }
+_DIGIT_WORDS = {
+    word: figures
+    for said in _SPELLED.values()
+    for word, figures in [*zip(said["digits"].split(), "0123456789", strict=True), *said["more"].items()]
+}
+
+
+def _any_of(words: Iterable[str]) -> str:
+    """A pattern of these words, longer ones first."""
+    return "|".join(sorted(set(words), key=lambda x: (-len(x), x)))
+
+
 _INVISIBLE = "\u00ad\u200b-\u200f\u2060\ufeff"
 
 
@@ -122,31 +141,37 @@ class _Fold(dict):
 
 
 _FOLD = _Fold()
-_WORDS = "|".join(_DIGIT_WORDS)
+_WORDS = _any_of(_DIGIT_WORDS)
+_AT, _DOT, _PLUS, _TWICE = (
+    _any_of(word for said in _SPELLED.values() for word in said[part].split())
+    for part in ("at", "dot", "plus", "twice")
+)
 _CHANGED = "".join(c for c in map(chr, range(0x250)) if _FOLD[ord(c)] != ord(c))
 _FOREIGN = re.compile(f"[^\x00-ɏ]|[{_INVISIBLE}{_CHANGED}]")
+_GAP = r"[\s,-]{1,3}"
+_SAID = rf"(?:(?:{_TWICE})[\s-]{{1,3}})?(?:{_WORDS})"
 _REWRITE = re.compile(
     rf"(?P<hidden>[{_INVISIBLE}])"
-    r"|(?P<at>\s{0,3}[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]\s{0,3})"
-    r"|(?P<dot>\s{0,3}[\[({<]\s{0,3}(?:dot|\.)\s{0,3}[\])}>]\s{0,3})"
-    r"|(?P<bare_at>(?<=[a-z0-9])\s{1,3}at\s{1,3}"
-    r"(?=[a-z0-9-]{1,63}(?:\s{1,3}dot\s|\s{0,3}[\[({<]\s{0,3}(?:dot|\.))))"
-    r"|(?P<bare_dot>(?<=[a-z0-9])\s{1,3}dot\s{1,3}(?=[a-z0-9]))"
-    rf"|(?P<spelled>\b(?:plus[\s,-]{{1,3}})?(?:{_WORDS})"
-    rf"(?:[\s,-]{{1,3}}(?:{_WORDS}|dot|[0-9]{{1,4}}(?![0-9]))){{2,}}\b)"
-    r"|(?P<letter>(?<=[0-9])[OolI|](?=[0-9]))",
+    rf"|(?P<at>\s{{0,3}}[\[({{<]\s{{0,3}}(?:{_AT}|@)\s{{0,3}}[\])}}>]\s{{0,3}})"
+    rf"|(?P<dot>\s{{0,3}}[\[({{<]\s{{0,3}}(?:{_DOT}|\.)\s{{0,3}}[\])}}>]\s{{0,3}})"
+    rf"|(?P<bare_at>(?<=[a-z0-9])\s{{1,3}}(?:{_AT})\s{{1,3}}"
+    rf"(?=[a-z0-9-]{{1,63}}(?:\s{{1,3}}(?:{_DOT})\s|\s{{0,3}}[\[({{<]\s{{0,3}}(?:{_DOT}|\.))))"
+    rf"|(?P<bare_dot>(?<=[a-z0-9])\s{{1,3}}(?:{_DOT})\s{{1,3}}(?=[a-z0-9]))"
+    rf"|(?P<spelled>\b(?:{_SAID}|(?:{_PLUS}){_GAP}(?:{_SAID}|[0-9]{{1,4}}(?![0-9])))"
+    rf"(?:{_GAP}(?:{_SAID}|{_DOT}|[0-9]{{1,4}}(?![0-9]))){{2,}}\b)"
+    r"|(?P<letter>(?<=[0-9])[OolI](?=[0-9]))",
     re.I,
 )
 #: What each alternative of _REWRITE begins with or holds, under the same flag: an opened bracket
 #: (at, dot, bare_at), a dot between spaces (bare_at, bare_dot), two parts of a spelled number, a
 #: letter in a number. Invisible characters are foreign.
 _GATE = re.compile(
-    r"[\[({<]\s{0,3}(?:at|@|dot|\.)|\sdot\s"
-    rf"|\b(?:{_WORDS})[\s,-]{{1,3}}(?:{_WORDS}|dot|[0-9])"
-    r"|[0-9][OolI|][0-9]",
+    rf"[\[({{<]\s{{0,3}}(?:{_AT}|@|{_DOT}|\.)|\s(?:{_DOT})\s"
+    rf"|\b(?:{_WORDS}|(?:{_PLUS}){_GAP}[0-9]{{1,4}}){_GAP}(?:{_WORDS}|{_TWICE}|{_DOT}|[0-9])"
+    r"|[0-9][OolI][0-9]",
     re.I,
 )
-_SPOKEN = re.compile(rf"(?i){_WORDS}|dot|plus|[0-9]")
+_SPOKEN = re.compile(rf"(?i)(?P<twice>{_TWICE})|(?P<dot>{_DOT})|(?P<plus>{_PLUS})|{_WORDS}|[0-9]")
 
 
 def disguised(text: str) -> bool:
@@ -165,10 +190,10 @@ def normalised(text: str) -> tuple[str, np.ndarray, np.ndarray]:
         starts.append(np.arange(lo, hi))
         ends.append(np.arange(lo + 1, hi + 1))
 
-    def put(char: str, lo: int, hi: int) -> None:
-        out.append(char)
-        starts.append(np.array([lo]))
-        ends.append(np.array([hi]))
+    def put(chars: str, lo: int, hi: int) -> None:
+        out.append(chars)
+        starts.append(np.full(len(chars), lo))
+        ends.append(np.full(len(chars), hi))
 
     for token in _REWRITE.finditer(folded):
         keep(at, token.start())
@@ -181,10 +206,16 @@ def normalised(text: str) -> tuple[str, np.ndarray, np.ndarray]:
         elif kind == "letter":
             put("0" if token.group() in "Oo" else "1", token.start(), at)
         elif kind == "spelled":
+            begin, times = None, 1
             for word in _SPOKEN.finditer(folded, token.start(), at):
+                begin = word.start() if begin is None else begin
+                if word["twice"]:
+                    times = 2
+                    continue
                 said = word.group().lower()
-                char = _DIGIT_WORDS.get(said) or {"dot": ".", "plus": "+"}.get(said, said)
-                put(char, word.start(), word.end())
+                chars = "." if word["dot"] else "+" if word["plus"] else _DIGIT_WORDS.get(said, said)
+                put(chars * times, begin, word.end())
+                begin, times = None, 1
     keep(at, len(folded))
     return "".join(out), np.concatenate(starts), np.concatenate(ends)
 

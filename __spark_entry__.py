@@ -24,7 +24,7 @@ from tillroll.functions import keys  # noqa: E402
 from tillroll.operators import balance, events, row_keys, standardize, validity  # noqa: E402
 from tillroll.operators.pos_mapping import map_sales_to_pos  # noqa: E402
 from tillroll.operators.ranking import deduplicate_latest  # noqa: E402
-from tillroll.plans import feed, history, sales  # noqa: E402
+from tillroll.plans import by_store, feed, history, sales  # noqa: E402
 from tillroll.plans.cleaning import clean_transactions  # noqa: E402
 from tillroll.sources.csv import read_sales_csv, read_transactions_csv  # noqa: E402
 from tillroll.sources.events import read_event_stream, send_events  # noqa: E402
@@ -320,6 +320,19 @@ def recent_by_store(spark, sf_dir):
     return sales.recent_by_store(_clean(spark, sf_dir), 5)
 
 
+def recent_by_store_layout(spark, sf_dir):
+    """From rows laid out by store and time, of which only the days in reach are read."""
+    path = new_folder(spark, "by-store")
+    by_store.save_by_store(_clean(spark, sf_dir), path)
+    return by_store.newest_by_store(spark, path, 5)
+
+
+def recent_of_store(spark, sf_dir):
+    path = new_folder(spark, "by-store")
+    by_store.save_by_store(_clean(spark, sf_dir), path)
+    return by_store.newest_of_store(spark, path, oracles.STORE, 20)
+
+
 # --- streams --------------------------------------------------------------------------
 
 
@@ -496,6 +509,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "leaderboard_sql": leaderboard_sql,
         "leaderboard_top": leaderboard_top,
         "recent_by_store": recent_by_store,
+        "recent_by_store_layout": recent_by_store_layout,
+        "recent_of_store": recent_of_store,
         "stream_view": stream_view,
         "stream_view_compacted": stream_view_compacted,
         "stream_leaderboard": stream_leaderboard,

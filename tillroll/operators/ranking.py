@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 _LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 _RANK = "__rank"
 _SLICE = "__slice"
+#: Slices of a key that one task merges.
+FAN_IN = 32
 
 
 def orderable(df: DataFrame) -> list[T.StructField]:
@@ -35,8 +37,9 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     """The first `n` rows of every key.
 
     Up to the session's group-limit threshold, Spark cuts each key to `n` rows inside every
-    map task, so a hot key never travels whole. Beyond it the key is cut in slices first;
-    the last window then sees at most `n` rows per slice of a key.
+    map task, so a hot key never travels whole. Beyond it the key is cut in slices first, and
+    these are merged in a tree: no task gets more than `n` rows from each of `FAN_IN` slices of a
+    key, however many shuffle partitions there are.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -46,8 +49,11 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
         return _keep(df, columns, order, n)
     # By input partition, not by content: copies of one row spread like any other rows.
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sliced = df.withColumn(_SLICE, F.spark_partition_id() % slices)
-    cut = _keep(sliced, [*columns, F.col(_SLICE)], order, n)
+    cut = df.withColumn(_SLICE, F.spark_partition_id() % slices)
+    while slices > 1:
+        cut = _keep(cut, [*columns, F.col(_SLICE)], order, n)
+        slices = -(-slices // FAN_IN)
+        cut = cut.withColumn(_SLICE, F.floor(F.col(_SLICE) / FAN_IN).cast("int"))
     return _keep(cut, columns, order, n).drop(_SLICE)
 
 

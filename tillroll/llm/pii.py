@@ -162,21 +162,24 @@ _REWRITE = re.compile(
     r"|(?P<letter>(?<=[0-9])[OolI](?=[0-9]))",
     re.I,
 )
-#: What each alternative of _REWRITE begins with or holds, under the same flag: an opened bracket
-#: (at, dot, bare_at), a dot between spaces (bare_at, bare_dot), two parts of a spelled number, a
-#: letter in a number. Invisible characters are foreign.
+#: What each alternative of _REWRITE begins with or holds, in lower case, which is searched much
+#: faster: an opened bracket (at, dot, bare_at), a dot between spaces (bare_at, bare_dot), two parts
+#: of a spelled number, a letter in a number. Invisible characters are foreign.
 _GATE = re.compile(
     rf"[\[({{<]\s{{0,3}}(?:{_AT}|@|{_DOT}|\.)|\s(?:{_DOT})\s"
     rf"|\b(?:{_WORDS}|(?:{_PLUS}){_GAP}[0-9]{{1,4}}){_GAP}(?:{_WORDS}|{_TWICE}|{_DOT}|[0-9])"
-    r"|[0-9][OolI][0-9]",
-    re.I,
+    r"|[0-9][oli][0-9]"
 )
+_TURKISH = str.maketrans("ıİ", "ii")
 _SPOKEN = re.compile(rf"(?i)(?P<twice>{_TWICE})|(?P<dot>{_DOT})|(?P<plus>{_PLUS})|{_WORDS}|[0-9]")
 
 
 def disguised(text: str) -> bool:
     """Whether anything in the text could be a disguise; cheap, and true too often only."""
-    return bool(_FOREIGN.search(text) or _GATE.search(text))
+    if _FOREIGN.search(text):
+        return True
+    # Where case is ignored, the Turkish letters count as i too.
+    return bool(_GATE.search(text.translate(_TURKISH).lower() if not text.isascii() else text.lower()))
 
 
 def normalised(text: str) -> tuple[str, np.ndarray, np.ndarray]:

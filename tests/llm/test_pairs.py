@@ -129,6 +129,24 @@ def without(texts, size):
     return [bytes(c for c, g in zip(t, x, strict=True) if not g) for t, x in zip(texts, gone, strict=True)]
 
 
+def test_components_of_hot_centres(llm):
+    """Centres with most of the edges, beside chains and pairs; ids may be numbers or bytes."""
+    edges = [(5_000, i) for i in range(0, 3_000, 2)] + [(7, i) for i in range(1, 2_000, 2)]
+    edges += [(9_000 + i, 9_001 + i) for i in range(60)] + [(20_000 + i, 30_000 + i) for i in range(200)]
+    edges += [(7, 7), (40_000, 40_000), (7, 1)]
+    table = llm.createDataFrame(edges, "a long, b long")
+    root = {}
+    for group in (range(0, 3_000, 2), [5_000], range(1, 2_000, 2)):
+        root |= {i: group[0] if group[0] in (0, 1) else 0 for i in group}
+    root |= {9_000 + i: 9_000 for i in range(61)}
+    root |= {30_000 + i: 20_000 + i for i in range(200)} | {20_000 + i: 20_000 + i for i in range(200)}
+    want = {i: r for i, r in root.items() if i != r}
+    assert {row["id"]: row["root"] for row in components(table).collect()} == want
+    raw = table.select(F.encode(F.lpad("a", 9, "0"), "UTF-8").alias("a"), F.encode(F.lpad("b", 9, "0"), "UTF-8").alias("b"))
+    got = {int(bytes(row["id"])): int(bytes(row["root"])) for row in components(raw).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("rows", [2_000, 3])
 def test_repeats(llm, monkeypatch, rows):
     monkeypatch.setattr(repeats, "GROUP_ROWS", rows)
@@ -284,6 +302,37 @@ def test_vectors(llm):
     assert vectors.link_vectors(llm.createDataFrame([], schema)).count() == 0
 
 
+def test_vector_components(llm):
+    """Links, components and the kept row against all pairs, with clusters, copies and chains."""
+    dice = np.random.default_rng(8)
+    rows = []
+    for _ in range(6):
+        at, step = dice.normal(size=24), dice.normal(size=24) * 0.02
+        near = [at + dice.normal(size=24) * 0.01 for _ in range(25)]
+        rows += near + near[:3] + [at + 40 + step * i for i in range(12)]
+    rows += list(dice.normal(size=(60, 24)))
+    order = dice.permutation(len(rows))
+    given = [(int(i), [float(x) for x in rows[at]], int(at) % 2) for i, at in enumerate(order)]
+    found = vectors.link_vectors(llm.createDataFrame(given, "vec_id long, embedding array<double>, label int").repartition(4))
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v, _ in given}
+    label = {i: kind for i, _, kind in given}
+
+    def linked(a, b):
+        return label[a] == label[b] and float(unit[a] @ unit[b]) >= vectors.COSINE
+
+    links = {a: sum(linked(a, b) for b in unit if b != a) for a in unit}
+    root = named_components(list(unit), linked)
+    got = {row["vec_id"]: row for row in found.collect()}
+    assert sum(links.values()) > 2_000
+    # Searched by buckets: nothing false, and all but a few of the links.
+    assert all(got[i]["n_links"] <= links[i] for i in links)
+    assert sum(row["n_links"] for row in got.values()) >= 0.95 * sum(links.values())
+    for i, row in got.items():
+        assert root[row["component_id"]] == root[i] and row["kept"] == (row["component_id"] == i)
+    agree = sum(row["component_id"] == root[i] for i, row in got.items())
+    assert agree >= 0.95 * len(got)
+
+
 def test_pipeline(llm, odd):
     docs = llm.read.parquet(f"{SMALL}/documents.parquet")
     columns, rows = docs.columns, docs.count()

@@ -8,20 +8,48 @@ from pyspark.sql import functions as F
 from tillroll.sources.shared import discard, staged
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: A centre with over this share of the edges is joined by broadcast: at most 1,024 of them, as
+#: a round has two rows an edge.
+_HOT_SHARE = 512
+_PLACES = 1 << 20
+
+
+def _with_root(ties: DataFrame, total: int) -> DataFrame:
+    """(a, b, root) for each tie (a, b): the smallest of a and all its b.
+
+    Hot centres get their root from a broadcast; their ties then pass the join of the others on
+    places of their own, spread over all tasks.
+    """
+    least = ties.groupBy("a").agg(
+        F.least(F.col("a"), F.min("b")).alias("root"), F.count(F.lit(1)).alias("n")
+    )
+    hot = least.filter(F.col("n") * _HOT_SHARE > total).select("a", F.col("root").alias("hot_root"))
+    spread = 1 + F.pmod(F.xxhash64("b"), F.lit(_PLACES))
+    marked = ties.join(F.broadcast(hot), "a", "left").withColumn(
+        "place", F.when(F.col("hot_root").isNotNull(), spread).otherwise(F.lit(0).cast("long"))
+    )
+    others = least.select("a", F.lit(0).cast("long").alias("place"), "root")
+    joined = marked.join(others, ["a", "place"], "left")
+    return joined.select("a", "b", F.coalesce("hot_root", "root").alias("root"))
+
+
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest of its neighbourhood."""
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root"))
-    return both.join(least, "a").filter(F.col("b") > F.col("a")).select("b", "root").toDF("a", "b")
+    rooted = _with_root(both, total).filter(F.col("b") > F.col("a"))
+    return rooted.select("b", "root").toDF("a", "b")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("root"))
-    below = down.join(least, "a").filter(F.col("b") > F.col("root"))
-    ties = below.select("b", "root").union(least.select("a", "root"))
-    return ties.toDF("a", "b").distinct()
+    rooted = _with_root(down, total)
+    # The tie of a centre to its root is the one that holds the root.
+    ties = rooted.select(
+        F.when(F.col("b") > F.col("root"), F.col("b")).otherwise(F.col("a")).alias("a"),
+        F.col("root").alias("b"),
+    )
+    return ties.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -40,5 +68,5 @@ def components(edges: DataFrame) -> DataFrame:
         if mark[0] == 0 or mark == before:
             return state.select(F.col("a").alias("id"), F.col("b").alias("root"))
         before, old = mark, state
-        state = staged(_small_star(_large_star(old)), "edges")
+        state = staged(_small_star(_large_star(old, mark[0]), mark[0]), "edges")
         discard(old)

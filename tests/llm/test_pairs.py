@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.conftest import SMALL
 from tillroll.llm import repeats, shingle_join, vectors
-from tillroll.llm.components import components
+from tillroll.llm.components import _with_root, components
 
 
 def shingles(text, k):
@@ -142,6 +142,8 @@ def test_components_of_hot_centres(llm):
     root |= {30_000 + i: 20_000 + i for i in range(200)} | {20_000 + i: 20_000 + i for i in range(200)}
     want = {i: r for i, r in root.items() if i != r}
     assert {row["id"]: row["root"] for row in components(table).collect()} == want
+    text = _with_root(table, len(edges))._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"place#\d+L = place#\d+L", text)
     raw = table.select(F.encode(F.lpad("a", 9, "0"), "UTF-8").alias("a"), F.encode(F.lpad("b", 9, "0"), "UTF-8").alias("b"))
     got = {int(bytes(row["id"])): int(bytes(row["root"])) for row in components(raw).collect()}
     assert got == want

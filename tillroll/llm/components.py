@@ -28,7 +28,9 @@ def _with_root(ties: DataFrame, total: int) -> DataFrame:
     marked = ties.join(F.broadcast(hot), "a", "left").withColumn(
         "place", F.when(F.col("hot_root").isNotNull(), spread).otherwise(F.lit(0).cast("long"))
     )
-    others = least.select("a", F.lit(0).cast("long").alias("place"), "root")
+    # Always 0, but no literal: Spark would take one out of the keys of the join.
+    nowhere = F.least(F.col("n"), F.lit(0).cast("long"))
+    others = least.select("a", nowhere.alias("place"), "root")
     joined = marked.join(others, ["a", "place"], "left")
     return joined.select("a", "b", F.coalesce("hot_root", "root").alias("root"))
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 import warnings
 from collections.abc import Callable
 
@@ -29,7 +30,7 @@ from tillroll.plans.cleaning import clean_transactions  # noqa: E402
 from tillroll.sources.csv import read_sales_csv, read_transactions_csv  # noqa: E402
 from tillroll.sources.events import read_event_stream, send_events  # noqa: E402
 from tillroll.sources.shared import new_folder, staged  # noqa: E402
-from tillroll.streaming import enriched, ingest, live, metrics, ranking, view  # noqa: E402
+from tillroll.streaming import enriched, ingest, live, metrics, ranking, tables, view  # noqa: E402
 
 ALL_AT_ONCE = {"availableNow": True}
 
@@ -377,6 +378,15 @@ def stream_view_compacted(spark, sf_dir):
     return view.current_view(spark, path).select("rowkey", *fixed.EVENT_FIELDS)
 
 
+def stream_view_named(spark, sf_dir):
+    """The base by its name in the catalog, after the last compaction."""
+    path = _ingested(spark, sf_dir, "month")
+    name = f"pos_{uuid.uuid4().hex}"
+    tables.create_tables(spark, path, name)
+    columns = ", ".join(f"`{c}`" for c in ("rowkey", *fixed.EVENT_FIELDS))
+    return spark.sql(f"SELECT {columns} FROM {name}_base")
+
+
 def stream_leaderboard(spark, sf_dir):
     path = _ingested(spark, sf_dir)
     return sales.store_leaderboard(view.serving_text(view.current_view(spark, path)))
@@ -513,6 +523,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recent_of_store": recent_of_store,
         "stream_view": stream_view,
         "stream_view_compacted": stream_view_compacted,
+        "stream_view_named": stream_view_named,
         "stream_leaderboard": stream_leaderboard,
         "stream_enriched": stream_enriched,
         "stream_enriched_latest": stream_enriched_latest,

@@ -22,7 +22,7 @@ from tillroll.plans import feed, history, sales  # noqa: E402
 from tillroll.plans.cleaning import clean_transactions  # noqa: E402
 from tillroll.sources.csv import read_transactions_csv  # noqa: E402
 from tillroll.sources.events import read_event_stream  # noqa: E402
-from tillroll.streaming import enriched, ingest, live, metrics, progress, ranking, view  # noqa: E402
+from tillroll.streaming import enriched, ingest, live, metrics, progress, ranking, tables, view  # noqa: E402
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -137,6 +137,17 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     print(f"version {view.compact(spark, args.table, args.grain)}")
 
 
+def create(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.history:
+        tables.create_history(spark, args.table, args.name, args.grain)
+    else:
+        tables.create_tables(spark, args.table, args.name)
+
+
+def drop(spark: SparkSession, args: argparse.Namespace) -> None:
+    tables.drop_tables(spark, args.table, args.name, args.purge, args.force)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tillroll")
     jobs = top.add_subparsers(required=True)
@@ -215,6 +226,18 @@ def parser() -> argparse.ArgumentParser:
     sub = job("compact", compact, "merge the log into the base")
     sub.add_argument("table")
     sub.add_argument("--grain", default="day", choices=list(view.GRAINS))
+
+    sub = job("create", create, "enter a table in the catalog, or bring its partitions up to date")
+    sub.add_argument("table")
+    sub.add_argument("name", help="in the catalog; log and base follow it as _log and _base")
+    sub.add_argument("--history", action="store_true", help="the folder is a history table")
+    sub.add_argument("--grain", default="day", choices=list(history.GRAINS), help="of a history table")
+
+    sub = job("drop", drop, "take an ingested table out of the catalog")
+    sub.add_argument("table")
+    sub.add_argument("name")
+    sub.add_argument("--purge", action="store_true", help="remove its rows as well")
+    sub.add_argument("--force", action="store_true", help="though a batch was left unfinished")
     return top
 
 

@@ -103,3 +103,20 @@ RANKING = T.StructType(
         T.StructField(fixed.RANK_REVENUE, T.DecimalType(38, 10)),
     ]
 )
+
+
+def history(grain: str = "day") -> T.StructType:
+    """The history table: the day is a column of the files where months are the folders."""
+    day = T.StructField("transaction_date", T.DateType())
+    return T.StructType(
+        [
+            T.StructField("rowkey", T.StringType()),
+            T.StructField("store_id", T.StringType()),
+            T.StructField("amount", T.DoubleType()),
+            T.StructField("payment", T.StringType()),
+            T.StructField("customer_id", T.StringType()),
+            T.StructField("timestamp", T.TimestampType()),
+            day,
+            *([T.StructField("transaction_month", T.StringType())] if grain == "month" else []),
+        ]
+    )

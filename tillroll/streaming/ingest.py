@@ -20,6 +20,7 @@ from tillroll.functions.amounts import EXACT
 from tillroll.functions.keys import stream_salt
 from tillroll.operators.events import REASON, annotate_events
 from tillroll.operators.row_keys import with_key_stream
+from tillroll.sources.shared import matching
 from tillroll.streaming import journal, ranking
 from tillroll.streaming.log import OK, REJECTED, read_batches, read_log  # noqa: F401
 
@@ -110,12 +111,15 @@ def batch_writer(path: str, epoch: int, ranked: bool = False) -> Callable[[DataF
     A batch that the journal already lists is left alone: it was finished just before a
     stop, and only the checkpoint did not hear of it. The journal is looked at once per
     start, since later batches cannot be in it; a ranked table asks it for every batch.
+    A table that was removed since the first batch is not made again: the query stops.
     """
     finished: int | None = None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         nonlocal finished
         state = None
+        if finished is not None and not matching(batch.sparkSession, f"{path}/journal"):
+            raise ValueError(f"the table {path} was removed")
         if finished is None or ranked:
             state = journal.read_state(batch.sparkSession, path)
             newest = state.newest
@@ -128,6 +132,11 @@ def batch_writer(path: str, epoch: int, ranked: bool = False) -> Callable[[DataF
     return write
 
 
+def query_name(path: str) -> str:
+    """The name of the query that writes the table; Spark runs no two of one name in a session."""
+    return f"ingest {path.rstrip('/')}"
+
+
 def start_ingest(
     stream: DataFrame,
     path: str,
@@ -146,7 +155,8 @@ def start_ingest(
     create_table(stream.sparkSession, path)
     return (
         log_rows(stream, zone)
-        .writeStream.foreachBatch(batch_writer(path, epoch, ranked))
+        .writeStream.queryName(query_name(path))
+        .foreachBatch(batch_writer(path, epoch, ranked))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": fixed.TRIGGER_INTERVAL}))
         .start()

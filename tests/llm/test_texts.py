@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import collections
+import math
 import random
 import re
 import time
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from tests.conftest import SMALL
 from tillroll.llm import language, main_text, pii, quality
 
@@ -259,3 +263,92 @@ def test_quality(llm, odd):
     assert judged.filter("quality = 0 AND kept").count() <= 3
     assert quality.keep_good(odd).columns == odd.columns
     assert quality.keep_good(odd.limit(0)).count() == 0
+
+
+def spread_statistics(llm, n=600, far=0.2):
+    """Statistics of one group, words and their length correlated, a fifth of the rows elsewhere."""
+    random = np.random.default_rng(5)
+    words = np.exp(random.normal(6, 0.6, n)).astype(int) + 20
+    chars = (words * np.exp(1.5 + 0.1 * random.normal(0, 1, n) + 0.2 * (np.log(words) - 6))).astype(int)
+    symbols, lines = random.poisson(words * 0.02), np.full(n, 40)
+    dup, repeat = random.poisson(0.5, n), random.poisson(words * 0.01)
+    odd = random.random(n) < far
+    symbols[odd] = words[odd] * 6
+    chars[odd] = words[odd] * 40
+    rows = zip(range(n), words, symbols, chars, dup, lines, repeat, odd, strict=True)
+    rows = [tuple(x.item() if hasattr(x, "item") else x for x in row) for row in rows]
+    names = "id long, n_words long, n_symbols long, word_chars long, n_dup_lines long, n_lines long, n_repeat_words long, odd boolean"
+    return llm.createDataFrame(rows, names).selectExpr("*", "'en' AS lang", "'web' AS source")
+
+
+def vectors_of(rows):
+    out = []
+    for r in rows:
+        some = max(r["n_words"], 1)
+        share = lambda part, whole: math.log1p(100 * part / whole)
+        out.append([
+            math.log1p(r["n_words"]), math.log(max(r["word_chars"], 1) / some), share(r["n_symbols"], some),
+            share(r["n_dup_lines"], max(r["n_lines"], 1)), share(r["n_repeat_words"], some),
+        ])
+    return np.array(out)
+
+
+def plain_estimate(x, center, cov):
+    """One concentration step in numpy: mean, floored covariance and its log determinant."""
+    rest = x - center
+    d = np.einsum("ij,ij->i", rest @ np.linalg.inv(cov), rest)
+    inside = x[d <= np.sort(d)[math.ceil(quality.SUPPORT * len(x)) - 1]]
+    cov = quality.CONSISTENCY * np.cov(inside.T, bias=True) + np.diag(np.square(quality.FLOOR))
+    return inside.mean(axis=0), cov, np.linalg.slogdet(cov)[1]
+
+
+def estimate_of(row):
+    center = np.array([row[f"_m{i}"] for i in range(5)])
+    lower = np.array([[row[f"_l{i}{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
+    return center, lower @ lower.T
+
+
+def test_least_determinant(llm, tmp_path):
+    spread_statistics(llm).write.parquet(str(tmp_path / "rows"))
+    measured = llm.read.parquet(str(tmp_path / "rows"))
+    groups, estimates = quality.fit_outliers(measured)
+    (row,) = estimates.collect()
+    center, cov = estimate_of(row)
+    rows = measured.orderBy("id").collect()
+    x, odd = vectors_of(rows), np.array([r["odd"] for r in rows])
+    assert abs(np.linalg.slogdet(cov)[1] - row["_det"]) < 1e-6
+    # It fell as far as it does: a plain step from here changes nothing, and random starts end no lower.
+    assert plain_estimate(x, center, cov)[2] > row["_det"] - quality.TOLERANCE
+    random = np.random.default_rng(1)
+    for _ in range(20):
+        some = x[random.choice(len(x), 12, replace=False)]
+        state = some.mean(axis=0), np.cov(some.T) + np.diag(np.square(quality.FLOOR)), 0.0
+        for _ in range(30):
+            state = plain_estimate(x, *state[:2])
+        assert row["_det"] <= state[2] + 0.05
+    assert np.abs(center - x[~odd].mean(axis=0)).max() < 0.1
+    # The verdict is the distance to that estimate and nothing else.
+    rest = x - center
+    d = np.einsum("ij,ij->i", rest @ np.linalg.inv(cov), rest)
+    judged = quality.judge_outliers(measured, groups, estimates).orderBy("id").collect()
+    assert [r["kept"] for r in judged] == [not r["base_failed"] and near for r, near in zip(judged, d <= quality.CUTOFF, strict=True)]
+    assert not any(r["kept"] for r in judged if r["odd"])
+    assert all(r["kept"] or r["base_failed"] for r in judged if not r["odd"])
+
+
+def test_small_and_equal_groups(llm, tmp_path):
+    """Groups under MIN_GROUP rows share an estimate; a group of equal rows has one, too."""
+    rows = spread_statistics(llm, 120, 0.0).withColumn(
+        "source", F.expr("CASE WHEN id < 30 THEN 'a' WHEN id < 60 THEN NULL ELSE 'same' END")
+    )
+    for name in quality.BASE + ("n_lines",):
+        rows = rows.withColumn(name, F.when(F.col("source") == "same", 100).otherwise(F.col(name)).cast("long"))
+    rows = rows.withColumn("n_repeat_words", F.lit(0).cast("long"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    measured = llm.read.parquet(str(tmp_path / "rows"))
+    groups, estimates = quality.fit_outliers(measured)
+    assert groups.filter("_group = 'small'").count() == 2 and estimates.count() == 2
+    judged = quality.judge_outliers(measured, groups, estimates)
+    assert judged.filter("kept").count() == 120
+    empty = quality.fit_outliers(measured.limit(0))
+    assert [x.count() for x in empty] == [0, 0]

@@ -7,6 +7,7 @@ shuffled; the estimates work on the small table of statistics.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
@@ -21,11 +22,13 @@ WINDOW_WORDS = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 
-#: Share of a group that the estimates rest on, concentration steps, and rejection beyond this
-#: squared distance: for five normal statistics one row in ten million is farther out.
+#: Share of a group that the estimates rest on, and rejection beyond this squared distance: for
+#: five normal statistics one row in ten million is farther out.
 SUPPORT = 0.75
-STEPS = 3
 CUTOFF = 42.0
+#: Concentration steps from every start; the best goes on until its log determinant falls by less.
+TRIAL_STEPS = 2
+TOLERANCE = 0.01
 #: Standard deviations that every estimate has at least: statistics that are zero in most
 #: texts of a group would reject the others.
 FLOOR = (0.5, 0.12, 0.5, 1.0, 1.0)
@@ -139,17 +142,20 @@ _X = [f"_x{i}" for i in range(_SIZE)]
 _PAIRS = [(j, i) for i, j in combinations_with_replacement(range(_SIZE), 2)]
 
 
-def _beside(rows: DataFrame, small: DataFrame) -> DataFrame:
+_SHAPE = [f"_m{i}" for i in range(_SIZE)] + [f"_l{i}{j}" for i in range(_SIZE) for j in range(i + 1)]
+
+
+def _beside(rows: DataFrame, small: DataFrame, key: str = "_group", how: str = "left") -> DataFrame:
     """`rows` with what `small` has for their group, null if nothing. Large groups are dealt
     out by a salt, so that a join by shuffling doesn't bring one to a single task."""
     salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
     copies = small.withColumn("_salt", F.explode(salt))
-    return rows.join(copies, ["_group", "_salt"], "left")
+    return rows.join(copies, [key, "_salt"], how)
 
 
-def _distances(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+def _distances(rows: DataFrame, estimates: DataFrame, how: str = "left") -> DataFrame:
     """`rows` with the squared Mahalanobis distance `_d` to their group's estimate."""
-    out, z = _beside(rows, estimates), []
+    out, z = _beside(rows, estimates.select("_group", *_SHAPE), how=how), []
     for i, x in enumerate(_X):
         rest = F.col(x) - F.col(f"_m{i}")
         for k in range(i):
@@ -157,7 +163,7 @@ def _distances(rows: DataFrame, estimates: DataFrame) -> DataFrame:
         z.append(f"_z{i}")
         out = out.withColumn(z[i], rest / F.col(f"_l{i}{i}"))
     squared = sum((F.col(name) * F.col(name) for name in z[1:]), F.col(z[0]) * F.col(z[0]))
-    return out.withColumn("_d", squared).drop(*z, *(c for c in estimates.columns if c not in ("_group", "_salt")))
+    return out.withColumn("_d", squared).drop(*z, *_SHAPE)
 
 
 def _central(rows: DataFrame) -> DataFrame:
@@ -166,17 +172,15 @@ def _central(rows: DataFrame) -> DataFrame:
     return _beside(rows, bound).filter(F.col("_d") <= F.col("_bound"))
 
 
-def _estimates(subset: DataFrame) -> DataFrame:
-    """Mean and covariance of each group, the latter as its Cholesky triangle."""
-    moments = [F.avg(x).alias(f"_m{i}") for i, x in enumerate(_X)]
-    moments += [F.covar_pop(_X[i], _X[j]).alias(f"_c{i}{j}") for i, j in _PAIRS]
-    found = subset.groupBy("_group").agg(*moments)
+def _triangles(found: DataFrame) -> DataFrame:
+    """Covariances `_c..` of each group as their Cholesky triangle `_l..`, the floor added, with the
+    logarithm of the determinant as `_det`."""
 
     def cov(i: int, j: int) -> Column:
         floor = FLOOR[i] ** 2 if i == j else 0.0
         return CONSISTENCY * F.coalesce(F.col(f"_c{i}{j}"), F.lit(0.0)) + floor
 
-    # Cholesky row by row, so that no expression repeats those before it.
+    # Row by row, so that no expression repeats those before it.
     for i in range(_SIZE):
         for j in range(i + 1):
             rest = cov(i, j)
@@ -184,7 +188,73 @@ def _estimates(subset: DataFrame) -> DataFrame:
                 rest = rest - F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}")
             value = F.sqrt(rest) if i == j else rest / F.col(f"_l{j}{j}")
             found = found.withColumn(f"_l{i}{j}", value)
-    return found.drop(*(f"_c{i}{j}" for i, j in _PAIRS))
+    logs = sum((F.log(F.col(f"_l{i}{i}")) for i in range(1, _SIZE)), F.log("_l00"))
+    return found.select("_group", *_SHAPE, (2 * logs).alias("_det"))
+
+
+def _estimates(subset: DataFrame) -> DataFrame:
+    """Mean and covariance of each group."""
+    moments = [F.avg(x).alias(f"_m{i}") for i, x in enumerate(_X)]
+    moments += [F.covar_pop(_X[i], _X[j]).alias(f"_c{i}{j}") for i, j in _PAIRS]
+    return _triangles(subset.groupBy("_group").agg(*moments))
+
+
+def _concentrated(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """One concentration step: the estimates from the rows nearest to `estimates`, for the groups in
+    there. It does not raise the determinant, but for the approximate percentile and the floor."""
+    return _estimates(_central(_distances(rows, estimates, "inner")))
+
+
+def _lowest(estimates: DataFrame) -> DataFrame:
+    """Of the estimates of a group that of the least determinant."""
+    shape = F.struct("_det", *_SHAPE)
+    return estimates.groupBy("_group").agg(F.min(shape).alias("_best")).select("_group", "_best.*")
+
+
+def _starts(rows: DataFrame) -> list[DataFrame]:
+    """Three robust estimates of each group: its medians with absolute deviations and correlations of
+    nothing, of hyperbolic tangents, and of spatial signs."""
+    middle = rows.groupBy("_group").agg(
+        *(F.percentile_approx(x, 0.5, 1_000).alias(f"_m{i}") for i, x in enumerate(_X))
+    )
+    deviations = [F.abs(F.col(x) - F.col(f"_m{i}")) for i, x in enumerate(_X)]
+    spread = _beside(rows, middle).groupBy("_group").agg(
+        *(F.first(f"_m{i}").alias(f"_m{i}") for i in range(_SIZE)),
+        *(
+            F.greatest(1.4826 * F.percentile_approx(x, 0.5, 1_000), F.lit(FLOOR[i])).alias(f"_s{i}")
+            for i, x in enumerate(deviations)
+        ),
+    )
+    spread = staged(spread, "medians")
+    scaled = _beside(rows, spread).withColumns(
+        {f"_z{i}": (F.col(x) - F.col(f"_m{i}")) / F.col(f"_s{i}") for i, x in enumerate(_X)}
+    )
+    z = [F.col(f"_z{i}") for i in range(_SIZE)]
+    length = F.sqrt(sum((x * x for x in z[1:]), z[0] * z[0]))
+    signs = [F.coalesce(F.try_divide(x, length), F.lit(0.0)) for x in z]
+    kinds = {"t": [F.tanh(x) for x in z], "k": signs}
+    products = [
+        F.covar_pop(values[i], values[j]).alias(f"_{kind}{i}{j}")
+        for kind, values in kinds.items()
+        for i, j in _PAIRS
+    ]
+    moments = spread.join(scaled.groupBy("_group").agg(*products), "_group")
+
+    def start(correlation: Callable[[int, int], Column]) -> DataFrame:
+        covariances = {
+            f"_c{i}{j}": F.col(f"_s{i}") * F.col(f"_s{j}") * (F.lit(1.0) if i == j else correlation(i, j))
+            for i, j in _PAIRS
+        }
+        return _triangles(moments.withColumns(covariances))
+
+    def correlated(kind: str) -> Callable[[int, int], Column]:
+        def of(i: int, j: int) -> Column:
+            size = F.sqrt(F.col(f"_{kind}{i}{i}") * F.col(f"_{kind}{j}{j}"))
+            return F.coalesce(F.try_divide(F.col(f"_{kind}{i}{j}"), size), F.lit(0.0))
+
+        return of
+
+    return [start(lambda i, j: F.lit(0.0)), start(correlated("t")), start(correlated("k"))]
 
 
 def _named(measured: DataFrame, lang_col: str, source_col: str, prefix: str) -> DataFrame:
@@ -204,12 +274,14 @@ def fit_outliers(
     """The group of each language and source, and the estimate of each group, as small tables.
 
     `measured` (see `statistics`) is a table, for it is read several times. Minimum covariance
-    determinant: from the rows nearest to the group's medians, concentration steps take the mean
-    and covariance of the central rows and the rows nearest to that estimate, which never
-    raises the determinant. Groups are any values, null included; groups under MIN_GROUP rows
-    share an estimate. Rows that fail the base rules are not estimated from. All steps are
-    grouped sums with partial aggregation, so that a group with a third of all rows is no
-    heavier than others; estimates are one row per group. Repeated rows count each.
+    determinant: concentration steps take the mean and covariance of the central rows and then the
+    rows nearest to that estimate. Each of three robust starts gets TRIAL_STEPS of them, and each
+    group goes on from its best until the determinant falls no more; the least one is its estimate.
+    The floor bounds determinants from below, so this ends. Groups are any values, null included;
+    groups under MIN_GROUP rows share an estimate. Rows that fail the base rules are not
+    estimated from. All steps are grouped sums with partial aggregation, so that a group with a
+    third of all rows is no heavier than others; estimates are one row per group, of which the
+    driver learns only whether one fell. Repeated rows count each.
     """
     named = _named(measured, lang_col, source_col, prefix)
     passing = named.filter(~F.col(f"{prefix}base_failed"))
@@ -217,30 +289,27 @@ def fit_outliers(
     large = F.when(F.col("_rows") >= MIN_GROUP, F.col("_name")).otherwise("small")
     groups = staged(groups.select("_name", large.alias("_group")), "groups")
 
-    rows = passing.select("_name", "_salt", *_X).join(groups, "_name").drop("_name")
-    middle = rows.groupBy("_group").agg(
-        *(F.percentile_approx(x, 0.5, 1_000).alias(f"_m{i}") for i, x in enumerate(_X))
-    )
-    spread = _beside(rows, middle).groupBy("_group").agg(
-        *(F.first(f"_m{i}").alias(f"_m{i}") for i in range(_SIZE)),
-        *(
-            F.percentile_approx(F.abs(F.col(x) - F.col(f"_m{i}")), 0.5, 1_000).alias(f"_s{i}")
-            for i, x in enumerate(_X)
-        ),
-    )
-    # Medians and scaled absolute deviations, as an estimate without correlations.
-    start = spread.select(
-        "_group",
-        *(f"_m{i}" for i in range(_SIZE)),
-        *(
-            (F.lit(0.0) if i != j else F.greatest(1.4826 * F.col(f"_s{i}"), F.lit(FLOOR[i]))).alias(f"_l{i}{j}")
-            for i, j in _PAIRS
-        ),
-    )
-    estimates = staged(start, "estimates")
-    for _ in range(STEPS):
-        estimates = staged(_estimates(_central(_distances(rows, estimates))), "estimates")
-    return groups, estimates
+    rows = _beside(passing.select("_name", "_salt", *_X), groups, "_name").drop("_name")
+    starts = _starts(rows)
+    numbered = [
+        x.withColumn("_group", F.concat(F.lit(f"{n}:"), F.col("_group"))) for n, x in enumerate(starts)
+    ]
+    number = F.explode(F.array(*(F.lit(f"{n}:") for n in range(len(starts)))))
+    tried = rows.withColumn("_start", number).withColumn("_group", F.concat("_start", "_group")).drop("_start")
+    trial = staged(reduce(DataFrame.union, numbered), "estimates")
+    for _ in range(TRIAL_STEPS):
+        trial = staged(_concentrated(tried, trial), "estimates")
+    best = _lowest(trial.withColumn("_group", F.expr("substring(_group, 3)")))
+    falling = staged(best, "estimates")
+    found = [falling]
+    while True:
+        before = falling.select("_group", F.col("_det").alias("_before"))
+        lower = _concentrated(rows, falling).join(before, "_group")
+        lower = lower.filter(F.col("_det") < F.col("_before") - TOLERANCE).drop("_before")
+        falling = staged(lower, "estimates")
+        if falling.isEmpty():
+            return groups, staged(_lowest(reduce(DataFrame.unionByName, found)), "estimates")
+        found.append(falling)
 
 
 def judge_outliers(
@@ -254,7 +323,7 @@ def judge_outliers(
     """`measured` with `base_failed` and `kept`, both under `prefix`: rows that fail the base
     rules or lie beyond CUTOFF are rejected. Rows of a group without estimate stay."""
     named = _named(measured, lang_col, source_col, prefix)
-    judged = _distances(named.join(groups, "_name", "left"), estimates)
+    judged = _distances(_beside(named, groups, "_name"), estimates)
     near = F.coalesce(F.col("_d") <= CUTOFF, F.lit(True))
     judged = judged.withColumn(f"{prefix}kept", ~F.col(f"{prefix}base_failed") & near)
     return judged.drop("_name", "_group", "_salt", "_d", *_X)

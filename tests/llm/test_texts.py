@@ -235,6 +235,64 @@ def test_small_samples_gain_nothing(llm):
     assert {(row["lang_pred"], row["score"]) for row in only} == {("und", 0.0)}
 
 
+def plain_bits(text, words):
+    """Bits of a text by trying all lengths: (matches, foreign characters)."""
+    parts = {(" " + w)[i:j] for w in words for i in range(len(w) + 1) for j in range(i + 1, len(w) + 2)}
+    matches = foreign = 0
+    for word in re.findall(r"[^\W\d_]+", text.lower()):
+        rest = " " + word
+        while rest:
+            size = max([n for n in range(1, len(rest) + 1) if rest[:n] in parts], default=0)
+            matches, foreign, rest = matches + bool(size), foreign + (not size), rest[max(size, 1):]
+    return matches, foreign
+
+
+def test_prediction_is_the_plain_one(llm, odd):
+    given = llm.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang").limit(40)
+    sample = {
+        "en": "the whole of it was there and when she came in he left",
+        "fr": "elle est venue et nous avons été contents de la voir",
+        "es": "ella no ha venido porque está en su casa con los niños",
+        "none": "12",
+    }
+    words = {k: language.words_of(v) for k, v in sample.items() if language.words_of(v)}
+    weight = {k: math.log2(language.SuffixAutomaton(v).states) + language.LENGTH_BITS for k, v in words.items()}
+    docs = given.select("doc_id", "text").unionByName(odd.selectExpr("doc_id + 1000000 AS doc_id", "text"))
+    docs = docs.filter("length(text) < 5000 OR text IS NULL")
+    got = language.predict_language(docs, sample).join(docs, "doc_id").collect()
+    assert len(got) >= 40
+    for row in got:
+        text = row["text"] or ""
+        if not language.words_of(text):
+            assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+            continue
+        cost = {}
+        for name, known in words.items():
+            matches, foreign = plain_bits(text, known)
+            cost[name] = matches * weight[name] + foreign * max(weight.values())
+        order = sorted(cost, key=lambda k: (cost[k], k))
+        assert abs(cost[row["lang_pred"]] - cost[order[0]]) < 1e-3 * cost[order[0]]
+        assert abs(row["score"] - (1 - cost[order[0]] / cost[order[1]])) < 1e-4
+
+
+def test_a_small_sample_loses_nothing(llm):
+    """A language with 500 characters of labelled text is found like the others."""
+    docs = llm.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang").filter("lang IS NOT NULL")
+    fit, rest = docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 = 1")
+    sample = language.training_sample(fit)
+    for name in sample:
+        small = sample | {name: sample[name][:500]}
+        rows = language.predict_language(rest, small).join(rest.select("doc_id", "lang"), "doc_id").collect()
+        assert sum(r["lang_pred"] == r["lang"] for r in rows) >= 0.97 * len(rows)
+
+
+def test_many_languages_share_the_sample(llm, monkeypatch):
+    monkeypatch.setattr(language, "TOTAL_CHARS", 1_000)
+    rows = [(i, f"l{i % 50}", "word " * 30) for i in range(200)]
+    sample = language.training_sample(llm.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert len(sample) == 50 and {len(text) for text in sample.values()} == {20}
+
+
 def counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]

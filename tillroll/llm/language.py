@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -16,8 +17,10 @@ SAMPLE_ROWS = 200
 SAMPLE_CHARS = 60_000
 #: Characters of all languages together; many languages get less each.
 TOTAL_CHARS = 2_000_000
-#: Distinct words a task remembers.
-TABLE_ROWS = 500_000
+#: Distinct words a task remembers, and their costs in all languages together.
+TABLE_ROWS, TABLE_CELLS = 500_000, 8_000_000
+#: Bits for the length of a phrase.
+LENGTH_BITS = 4
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -70,16 +73,25 @@ class SuffixAutomaton:
             at = link[at]
         return copy
 
-    def phrases(self, word: str) -> int:
-        """Longest matches, one behind the other, that make up the marked word. A character
-        that the sample doesn't have is a phrase."""
-        step, count, state = self.next, 1, 0
+    def parse(self, word: str) -> tuple[int, int]:
+        """Longest matches, one behind the other, that make up the marked word, and characters
+        between them that the sample doesn't have."""
+        step, matches, foreign, state = self.next, 0, 0, 0
         for char in " " + word:
-            state = step[state].get(char, -1)
-            if state < 0:
-                count += 1
-                state = step[0].get(char, 0)
-        return count
+            onward = step[state].get(char)
+            if onward is None or not state:
+                onward = step[0].get(char)
+                if onward is None:
+                    foreign += 1
+                    state = 0
+                    continue
+                matches += 1
+            state = onward
+        return matches, foreign
+
+    def phrases(self, word: str) -> int:
+        """Phrases of the marked word: its matches and its foreign characters."""
+        return sum(self.parse(word))
 
 
 def training_sample(
@@ -87,7 +99,10 @@ def training_sample(
 ) -> dict[str, str]:
     """Text per language: up to `rows` rows in order of a hash of their content, cut at `chars`
     characters. The limit is applied in every map task before rows are shuffled, so a language
-    with a third of all rows sends no more than the others."""
+    with a third of all rows sends no more than the others. All languages together send
+    TOTAL_CHARS at most: the more there are, the less of each."""
+    languages = labelled.select("lang").distinct().count()
+    chars = min(chars, TOTAL_CHARS // max(1, languages))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
     ranked = labelled.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= rows)
     before = F.sum(F.char_length("text") + 1).over(order) - F.char_length("text") - 1
@@ -99,43 +114,58 @@ def training_sample(
     texts: dict[str, list[tuple[int, str]]] = {}
     for row in sample.collect():
         texts.setdefault(row["lang"], []).append((row["before"], row["text"]))
-    share = min(chars, TOTAL_CHARS // max(1, len(texts)))
     return {
-        lang: "\n".join(text for _, text in sorted(parts))[:share]
+        lang: "\n".join(text for _, text in sorted(parts))[:chars]
         for lang, parts in sorted(texts.items())
     }
 
 
 class PhraseTable:
-    """Phrases of distinct words in every language whose sample has a letter.
+    """Normalised phrases of distinct words in every language whose sample has a letter.
 
-    All phrases cost the same: if one cost the log of its sample's size, a small sample would
-    gain by being small."""
+    A phrase costs what it takes to point at it: the log of its sample's size, and its length. So
+    a large sample doesn't gain by longer phrases alone, nor lose by having more places. A character
+    that a sample doesn't have costs as much as a phrase of the largest one, in all
+    languages: a small sample doesn't gain by knowing nothing."""
 
     def __init__(self, sample: dict[str, str], limit: int = TABLE_ROWS):
         words = {lang: found for lang, text in sample.items() if (found := words_of(text))}
-        self.languages, self.limit = list(words), limit
+        self.languages = list(words)
+        self.limit = min(limit, TABLE_CELLS // max(1, len(words)))
         self.automata = [SuffixAutomaton(found) for found in words.values()]
+        self.weights = [math.log2(x.states) + LENGTH_BITS for x in self.automata]
+        self.foreign = max(self.weights, default=0.0)
         self._reset()
 
     def _reset(self) -> None:
         self.row: dict[str, int] = {}
-        self.counts: list[np.ndarray] = [np.zeros((0, len(self.automata)), np.float32)]
+        self.known = np.zeros((1024, len(self.automata)), np.float32)
+
+    def cost(self, word: str) -> list[float]:
+        """The word in each language, in bits."""
+        parsed = (x.parse(word) for x in self.automata)
+        return [
+            matches * weight + foreign * self.foreign
+            for (matches, foreign), weight in zip(parsed, self.weights, strict=True)
+        ]
 
     def costs(self, documents: list[list[str]]) -> np.ndarray:
-        """Phrases of each document in each language."""
+        """Each document in each language, in bits."""
         if len(self.row) > self.limit:
             self._reset()
         flat = [word for words in documents for word in words]
         new = list(set(flat) - self.row.keys())
-        first = len(self.row)
-        self.row.update(zip(new, range(first, first + len(new)), strict=True))
-        made = [[x.phrases(word) for x in self.automata] for word in new]
-        if made:
-            self.counts = [np.vstack([*self.counts, np.array(made, np.float32)])]
+        first, last = len(self.row), len(self.row) + len(new)
+        if last > len(self.known):
+            grown = np.zeros((max(last, 2 * len(self.known)), len(self.automata)), np.float32)
+            grown[:first] = self.known[:first]
+            self.known = grown
+        self.row.update(zip(new, range(first, last), strict=True))
+        if new:
+            self.known[first:last] = [self.cost(word) for word in new]
         rows = np.fromiter(map(self.row.__getitem__, flat), np.int64, len(flat))
         total = np.zeros((len(flat) + 1, len(self.automata)))
-        np.cumsum(self.counts[0][rows], axis=0, dtype=np.float64, out=total[1:])
+        np.cumsum(self.known[rows], axis=0, dtype=np.float64, out=total[1:])
         ends = np.cumsum([len(words) for words in documents], dtype=np.int64)
         starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
         return total[ends] - total[starts]
@@ -145,7 +175,8 @@ def predict_language(
     docs: DataFrame, sample: dict[str, str], id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, lang_pred, score): the language whose sample needs the fewest phrases for the
-    whole text; ties go to the first name. Languages whose sample has no letter are left out.
+    whole text, normalised as in `PhraseTable`; ties go to the first name. Phrases end with
+    their word. Languages whose sample has no letter are left out.
 
     `score`: by what share it needs less than the next language, 1 if there is no other.
     A null text, one without a letter, and every text if no sample has a letter: `und`, 0. One

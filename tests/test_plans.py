@@ -138,3 +138,20 @@ def test_a_capped_send_reads_the_first_files(spark, tmp_path):
     told = {r["transaction_id"] for r in good.collect()}
     assert told == {f"c{i // 100}_{i % 100}_{i}" for i in range(250)}
     assert len(read_sales_csv(spark, first_sales_files(spark, str(folder), 250)).inputFiles()) == 4
+
+
+def test_sales_are_sorted_before_texts_are_made(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "_LEAST_RANGE_BYTES", 10_000)
+    rows = fixtures.sales_rows(spark, SMALL, ordered=True)
+    assert "md5(" not in plan(rows).split("rangepartitioning")[1]
+    want = fixtures.sales_rows(spark, SMALL).orderBy(*fixtures.SALES_ORDER)
+    order = list(fixtures.SALES_ORDER)
+    assert rows.select(order).collect() == want.select(order).collect()
+    assert rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
+
+
+def test_large_tables_are_sorted_in_more_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "_RANGE_BYTES", 1_000)
+    text = plan(fixtures.sales_rows(spark, SMALL, ordered=True))
+    ranges = int(text.split(", REPARTITION_BY_NUM")[0].rpartition(" ")[2].strip(")"))
+    assert ranges > 3 * spark.sparkContext.defaultParallelism

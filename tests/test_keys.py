@@ -144,3 +144,10 @@ def test_collisions(spark):
     assert [tuple(r) for r in balance.key_collisions(rows, "rowkey").collect()] == [("k", 4, 3, 2)]
     assert tuple(balance.collision_summary(rows, "rowkey").first()) == (7, 3, 1, 2)
     assert tuple(balance.collision_summary(rows.limit(0), "rowkey").first()) == (0, 0, 0, 0)
+
+
+def test_padding_is_as_formatting(spark):
+    rows = spark.createDataFrame([(n,) for n in (None, -1_000, -5, 0, 7, 99, 100, 999, 1_000, 2**62)], "n long")
+    for digits in (2, 3, 13):
+        got = rows.select(keys.padded(F.col("n"), digits), F.format_string(f"%0{digits}d", "n")).collect()
+        assert all(padded == formatted for padded, formatted in got)

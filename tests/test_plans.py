@@ -7,6 +7,7 @@ import __spark_entry__ as registered
 import fixtures
 import oracles
 from tillroll.operators import events
+from tillroll.operators.pos_mapping import map_sales_to_pos
 from tillroll.operators.row_keys import (
     with_key_batch,
     with_key_salted,
@@ -155,3 +156,9 @@ def test_large_tables_are_sorted_in_more_ranges(spark, monkeypatch):
     text = plan(fixtures.sales_rows(spark, SMALL, ordered=True))
     ranges = int(text.split(", REPARTITION_BY_NUM")[0].rpartition(" ")[2].strip(")"))
     assert ranges > 3 * spark.sparkContext.defaultParallelism
+
+
+def test_amounts_of_sales_are_computed_once(spark):
+    good, rejects = map_sales_to_pos(fixtures.sales_rows(spark, SMALL).withColumn("row_index", F.lit(1)))
+    for rows in (good, rejects):
+        assert plan(rows).count("decimal(38,20)") == 1

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import fixed
-from tillroll.functions.keys import joined
+from tillroll.functions.keys import joined, padded
 from tillroll.operators.dense_index import INDEX, dense_index
 
 REASON = "reject_reason"
 _PRICE = "decimal(38,20)"
 _AMOUNT = "decimal(20,2)"
+_MAPPED = "__amount"
 # Whole numbers as Python's int() reads them: blanks around, a sign, single underscores.
 _WHOLE_NUMBER = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 
@@ -30,9 +31,10 @@ def _store_number(article: Column, index: Column) -> Column:
 
 
 def _event_text(day: Column, index: Column) -> Column:
-    hour = index % fixed.OPEN_HOURS + fixed.OPENING_HOUR
-    sixtieth = index % 60
-    return F.format_string("%s %02d:%02d:%02d", F.coalesce(day, F.lit("")), hour, sixtieth, sixtieth)
+    hour = padded(index % fixed.OPEN_HOURS + fixed.OPENING_HOUR, 2)
+    sixtieth = padded(index % 60, 2)
+    colon = F.lit(":")
+    return F.concat(F.coalesce(day, F.lit("")), F.lit(" "), hour, colon, sixtieth, colon, sixtieth)
 
 
 def _amount(price: Column) -> Column:
@@ -59,15 +61,17 @@ def map_sales_to_pos(
     index = F.col(INDEX)
     if limit is not None:
         rows = rows.filter(index < limit)
-    amount = _amount(F.col("price"))
+    # `inline` makes the amount a column of a row: the filters use it and do not compute it again.
+    amount = F.struct(_amount(F.col("price")).alias(_MAPPED))
+    rows = rows.select("*", F.inline(F.array(amount)))
+    amount = F.col(_MAPPED)
     customer = F.coalesce(F.substring("customer_id", 1, fixed.CUSTOMER_CHARS), F.lit(""))
+    store = _store_number(F.col("article_id"), index)
     events = rows.filter(amount.isNotNull()).select(
         joined(customer, index.cast("string")).alias("transaction_id"),
-        F.format_string(
-            fixed.STORE_FORMAT, _store_number(F.col("article_id"), index) + 1
-        ).alias("store_id"),
+        F.concat(F.lit(fixed.STORE_PREFIX), padded(store + 1, fixed.STORE_DIGITS)).alias("store_id"),
         _event_text(F.col("t_dat"), index).alias("timestamp"),
         amount.alias("total_amount"),
     )
-    rejects = rows.filter(amount.isNull()).withColumn(REASON, F.lit("price_not_a_number"))
+    rejects = rows.filter(amount.isNull()).drop(_MAPPED).withColumn(REASON, F.lit("price_not_a_number"))
     return events, rejects

@@ -162,3 +162,20 @@ def test_amounts_of_sales_are_computed_once(spark):
     good, rejects = map_sales_to_pos(fixtures.sales_rows(spark, SMALL).withColumn("row_index", F.lit(1)))
     for rows in (good, rejects):
         assert plan(rows).count("decimal(38,20)") == 1
+
+
+def test_refreshed_daily_sales_clean_the_rows_once(spark, monkeypatch):
+    read, raw = spark.sparkContext.accumulator(0), fixtures.raw_transactions
+
+    def counted(session, sf_dir):
+        def work(parts):
+            for part in parts:
+                read.add(part.num_rows)
+                yield part
+
+        rows = raw(session, sf_dir)
+        return rows.mapInArrow(work, rows.schema)
+
+    monkeypatch.setattr(fixtures, "raw_transactions", counted)
+    assert registered.daily_sales_refreshed(spark, SMALL).count() > 0
+    assert read.value == raw(spark, SMALL).count()

@@ -151,3 +151,9 @@ def test_padding_is_as_formatting(spark):
     for digits in (2, 3, 13):
         got = rows.select(keys.padded(F.col("n"), digits), F.format_string(f"%0{digits}d", "n")).collect()
         assert all(padded == formatted for padded, formatted in got)
+
+
+def test_salts_of_three_digits(spark):
+    got = key(row_keys.with_key_salted(one(spark, "t", "s9", MORNING), salts=1_000))
+    salt = spark.range(1).select(keys.store_salt(F.lit("s9"), 1_000)).first()[0]
+    assert salt > 99 and got.startswith(f"{salt}_s9_")

@@ -179,3 +179,8 @@ def test_refreshed_daily_sales_clean_the_rows_once(spark, monkeypatch):
     monkeypatch.setattr(fixtures, "raw_transactions", counted)
     assert registered.daily_sales_refreshed(spark, SMALL).count() > 0
     assert read.value == raw(spark, SMALL).count()
+
+
+def test_amounts_are_computed_once_before_cleaning(spark):
+    text = plan(clean_transactions(fixtures.raw_transactions(spark, SMALL)))
+    assert text.count("cast(l_discount") == 1

@@ -410,3 +410,20 @@ def test_small_and_equal_groups(llm, tmp_path):
     assert judged.filter("kept").count() == 120
     empty = quality.fit_outliers(measured.limit(0))
     assert [x.count() for x in empty] == [0, 0]
+
+
+def test_starts_compile(llm, capsys):
+    """Starts as plans that compile, in generated code of bounded size: the driver holds that code."""
+    measured = spread_statistics(llm, 120, 0.0).withColumn("base_failed", F.lit(False))
+    rows = quality._named(measured, "lang", "source", "").withColumn("_group", F.lit("all"))
+    llm.conf.set("spark.sql.adaptive.enabled", "false")  # else nothing is generated before the run
+    try:
+        for start in quality._starts(rows):
+            capsys.readouterr()
+            start.explain("codegen")
+            code = capsys.readouterr().out
+            assert "maxMethodCodeSize" in code and "maxMethodCodeSize:-1" not in code
+            assert len(code) < 100_000
+            assert start.count() == 1
+    finally:
+        llm.conf.unset("spark.sql.adaptive.enabled")

@@ -180,16 +180,34 @@ def _triangles(found: DataFrame) -> DataFrame:
         floor = FLOOR[i] ** 2 if i == j else 0.0
         return CONSISTENCY * F.coalesce(F.col(f"_c{i}{j}"), F.lit(0.0)) + floor
 
-    # Row by row, so that no expression repeats those before it.
-    for i in range(_SIZE):
-        for j in range(i + 1):
-            rest = cov(i, j)
-            for k in range(j):
-                rest = rest - F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}")
-            value = F.sqrt(rest) if i == j else rest / F.col(f"_l{j}{j}")
-            found = found.withColumn(f"_l{i}{j}", value)
-    logs = sum((F.log(F.col(f"_l{i}{i}")) for i in range(1, _SIZE)), F.log("_l00"))
-    return found.select("_group", *_SHAPE, (2 * logs).alias("_det"))
+    def appended(done: Column, x: Column) -> Column:
+        row, column = (F.slice(done, x[name], x["before"]) for name in ("row", "column"))
+        products = F.zip_with(row, column, lambda a, b: a * b)
+        rest = F.aggregate(products, x["covariance"], lambda total, product: total - product)
+        diagonal = F.get(done, x["column"] + x["before"] - 1)
+        return F.array_append(done, F.when(x["row"] == x["column"], F.sqrt(rest)).otherwise(rest / diagonal))
+
+    # Row by row in one array. As columns, the entries would be generated code of many thousand
+    # lines, beyond what a method may have, and all of that in the driver's memory.
+    places = [(i, j) for i in range(_SIZE) for j in range(i + 1)]
+    start = lambda i: F.lit(i * (i + 1) // 2 + 1)
+    entries = F.array(
+        *(
+            F.struct(
+                cov(i, j).alias("covariance"),
+                start(i).alias("row"),
+                start(j).alias("column"),
+                F.lit(j).alias("before"),
+            )
+            for i, j in places
+        )
+    )
+    found = found.withColumn("_l", F.aggregate(entries, F.array().cast("array<double>"), appended))
+    triangle = {f"_l{i}{j}": F.get("_l", F.lit(n)) for n, (i, j) in enumerate(places)}
+    logs = sum((F.log(triangle[f"_l{i}{i}"]) for i in range(1, _SIZE)), F.log(triangle["_l00"]))
+    means = [f"_m{i}" for i in range(_SIZE)]
+    shape = [column.alias(name) for name, column in triangle.items()]
+    return found.select("_group", *means, *shape, (2 * logs).alias("_det"))
 
 
 def _estimates(subset: DataFrame) -> DataFrame:
@@ -233,12 +251,14 @@ def _starts(rows: DataFrame) -> list[DataFrame]:
     length = F.sqrt(sum((x * x for x in z[1:]), z[0] * z[0]))
     signs = [F.coalesce(F.try_divide(x, length), F.lit(0.0)) for x in z]
     kinds = {"t": [F.tanh(x) for x in z], "k": signs}
+    scaled = scaled.select(
+        "_group", *(x.alias(f"_{kind}{i}") for kind, values in kinds.items() for i, x in enumerate(values))
+    )
     products = [
-        F.covar_pop(values[i], values[j]).alias(f"_{kind}{i}{j}")
-        for kind, values in kinds.items()
-        for i, j in _PAIRS
+        F.covar_pop(f"_{kind}{i}", f"_{kind}{j}").alias(f"_{kind}{i}{j}") for kind in kinds for i, j in _PAIRS
     ]
-    moments = spread.join(scaled.groupBy("_group").agg(*products), "_group")
+    # Written, for three starts read it.
+    moments = staged(spread.join(scaled.groupBy("_group").agg(*products), "_group"), "moments")
 
     def start(correlation: Callable[[int, int], Column]) -> DataFrame:
         covariances = {
@@ -289,7 +309,9 @@ def fit_outliers(
     large = F.when(F.col("_rows") >= MIN_GROUP, F.col("_name")).otherwise("small")
     groups = staged(groups.select("_name", large.alias("_group")), "groups")
 
+    # Written, for every step reads it twice, and plans stay small.
     rows = _beside(passing.select("_name", "_salt", *_X), groups, "_name").drop("_name")
+    rows = staged(rows, "vectors")
     starts = _starts(rows)
     numbered = [
         x.withColumn("_group", F.concat(F.lit(f"{n}:"), F.col("_group"))) for n, x in enumerate(starts)

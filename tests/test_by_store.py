@@ -26,7 +26,9 @@ def scanned(df):
 
 @pytest.fixture(scope="module")
 def clean(spark):
-    return clean_transactions(fixtures.raw_transactions(spark, SMALL)).cache()
+    cached = clean_transactions(fixtures.raw_transactions(spark, SMALL)).cache()
+    yield cached
+    cached.unpersist()  # else plans of later tests read it
 
 
 @pytest.fixture(scope="module")

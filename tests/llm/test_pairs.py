@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import os
 import random
 import re
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -15,6 +18,7 @@ import corpus_pipeline
 from tests.conftest import SMALL
 from tillroll.llm import repeats, shingle_join, vectors
 from tillroll.llm.components import _with_root, components
+from tillroll.sources.shared import is_empty, shared_folder, staged
 
 
 def shingles(text, k):
@@ -81,6 +85,90 @@ def test_regions_are_counted_in_map_tasks(copies, monkeypatch):
     assert "partial_count" in plans["shared"]
 
 
+def shuffle_files(spark):
+    """Spark's, not those of a test."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {x for top in manager.localDirsString() for x in Path(top).rglob("shuffle_*") if x.is_file()}
+
+
+def test_written_tables_leave_no_shuffle_files(llm):
+    rows = lambda: llm.range(9_000).groupBy((F.col("id") % 70).alias("k")).count().repartition(3, "k")
+    before = shuffle_files(llm)
+    table = staged(rows(), "counts")
+    assert not is_empty(rows()) and is_empty(rows().filter("k < 0"))
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert llm.conf.get(name, None) is None
+    for _ in range(50):  # they go in the background
+        left = shuffle_files(llm) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert table.count() == 70
+    # A setting of the caller's stays.
+    llm.conf.set(name, "false")
+    try:
+        staged(rows(), "counts")
+        assert llm.conf.get(name) == "false"
+    finally:
+        llm.conf.unset(name)
+
+
+def test_unlike_texts_are_not_taken_apart(llm, monkeypatch):
+    """Long texts that share a passage where no shingle is known to be rare: 64 parts leave them
+    together, 256 do not."""
+    dice, made, whole = random.Random(5), [], shingle_join._whole_sets
+    word = lambda: "".join(dice.choice("abcdefgh") for _ in range(5))
+    passages = [[word() for _ in range(400)] for _ in range(2)]
+    long = [[word() for _ in range(2_600)] + x for x in passages for _ in range(3)]
+    near = [*long[0][:-40], "x", *long[0][-39:]]
+    rows = [(i, " ".join(x)) for i, x in enumerate([*long, near])]
+
+    def recorded(docs, words):
+        made.append(sorted(r["doc_id"] for r in docs.select("doc_id").collect()))
+        return whole(docs, words)
+
+    monkeypatch.setattr(shingle_join, "_whole_sets", recorded)
+    alike = np.zeros(1 << shingle_join.SKETCH_BITS, np.uint32)
+    monkeypatch.setattr(shingle_join, "shingle_sketch", lambda docs, words: alike)
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["component_id"] for r in shingle_join.link_shingles(docs, 5, 80, 100).collect()}
+    assert found == {**{i: i for i in range(6)}, 6: 0}
+    assert made == [[0, 6]]
+
+
+def test_groups_of_many_are_not_divided(llm):
+    """Groups beyond the bound stay as they are, however far apart their members."""
+    fine = [bytes([9 * (i == j) for j in range(256)]) for i in range(6)]
+    rows = llm.createDataFrame([(i, 9, x) for i, x in enumerate(fine)], "num long, size int, fine binary")
+    pairs = llm.createDataFrame([(1, 0), (2, 0), (3, 0), (5, 4)], "num long, pivot long")
+    pairs_of = lambda most: sorted(map(tuple, shingle_join._divided(pairs, rows, 80, 100, most).collect()))
+    assert pairs_of(3) == [(1, 0), (2, 0), (3, 0)]
+    assert pairs_of(4) == []
+
+
+def test_tables_of_a_stage_go(llm):
+    folder = shared_folder(llm).removeprefix("file:")
+    text = " ".join(f"w{i}" for i in range(200))
+    rows = [(i, f"{text} {i % 3}") for i in range(12)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    before = set(os.listdir(folder))
+    assert shingle_join.first_of_each(docs).count() == 1
+    left = {x.rpartition("-")[0] for x in set(os.listdir(folder)) - before if any(Path(folder, x).glob("*.parquet"))}
+    assert "shingles" not in left and "pairs" not in left
+
+
+def test_the_pipeline_keeps_one_table(llm):
+    """Documents of a stage go once the next has written its own; the given ones stay."""
+    folder = shared_folder(llm).removeprefix("file:")
+    given, before = llm.read.parquet(f"{SMALL}/documents.parquet").count(), set(os.listdir(folder))
+    assert corpus_pipeline.run(llm, SMALL).count()
+    left = {x for x in set(os.listdir(folder)) - before if any(Path(folder, x).glob("*.parquet"))}
+    names = {name.replace(" ", "-") for name, _ in corpus_pipeline.STAGES}
+    assert {x.rpartition("-")[0] for x in left} & names == {"personal-data"}
+    assert llm.read.parquet(f"{SMALL}/documents.parquet").count() == given
+
+
 def test_odd_texts_join(odd):
     rows = shingle_join.link_shingles(odd).collect()
     assert len(rows) == odd.count()

@@ -13,7 +13,8 @@ have distance one from nearly all documents of a corpus and would divide nothing
 there takes rare shingles first, by a counting sketch of all documents. Its regions are cut into
 rings of size, with documents at a border in both, and into groups that the triangle inequality
 leaves together: the universe has 64 parts, and sets are at least as far apart as their counts
-in the parts differ.
+in the parts differ. Those groups are divided once more by 256 parts, as 64 tell sets of over
+1,600 shingles no longer apart; whole sets are made only of what is left together.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.sources.shared import discard, staged
+from tillroll.sources.shared import discard, is_empty, shuffles_removed, staged
 
 from .components import components
 from .slices import list_array, map_text, slices
@@ -43,6 +44,8 @@ REGION_ROWS = 2_000
 REGION_ITEMS = 1_000_000
 #: Parts of the universe whose counts bound how far two sets are apart.
 PARTS = 64
+#: The same for the groups that those leave, a byte each.
+FINE_PARTS = 256
 #: Width of the rings around the empty set, as a logarithm of the size.
 RING = 0.7
 _TABLE_ROWS = 150_000
@@ -151,20 +154,21 @@ def shingle_sketch(docs: DataFrame, words: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays(arrays, ["block", "slot", "counts"])
 
     made = docs.select("text").mapInArrow(run, "block int, slot int, counts binary")
-    once = made.repartition("block", "slot").sortWithinPartitions("block", "slot")
-    once = _added_up(once, "u1").withColumn("slot", F.lit(0).cast("int"))
-    twice = _added_up(once.repartition("block").sortWithinPartitions("block"), "<u4")
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-    for row in twice.collect():
+    with shuffles_removed(docs.sparkSession):
+        once = made.repartition("block", "slot").sortWithinPartitions("block", "slot")
+        once = _added_up(once, "u1").withColumn("slot", F.lit(0).cast("int"))
+        twice = _added_up(once.repartition("block").sortWithinPartitions("block"), "<u4").collect()
+    for row in twice:
         at = row["block"] * _SKETCH_BLOCK
         sketch[at : at + _SKETCH_BLOCK] = np.frombuffer(row["counts"], "<u4")
     return sketch
 
 
 def _prefixes(docs: DataFrame, words: int, num: int, den: int, sketch: np.ndarray) -> DataFrame:
-    """(doc_id, text_hash, node, size, prefix, counts): a digest of each set, of its elements,
+    """(doc_id, text_hash, node, size, prefix, counts, fine): a digest of each set, of its elements,
     rarest first, as many as must include one that a linked set has too, and how many are
-    in each part of the universe, up to 65,535."""
+    in each part of the universe, up to 65,535, and in each of its finer parts, up to 255."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def prepare():
@@ -172,13 +176,15 @@ def _prefixes(docs: DataFrame, words: int, num: int, den: int, sketch: np.ndarra
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             sets = shingle_sets(part.column("text").to_pylist(), words, table)
-            nodes, fronts, parts = [], [], []
+            nodes, fronts, parts, fine = [], [], [], []
             for one in sets:
                 nodes.append(xxhash.xxh3_128_digest(one.tobytes()) if len(one) else None)
                 order = np.argsort(rarity[_cell(one)], kind="stable")
                 fronts.append(one[order[: len(one) + (-num * len(one)) // den + 1]])
                 inside = np.bincount((one >> 12) & (PARTS - 1), minlength=PARTS)
                 parts.append(np.minimum(inside, 65535).astype("<u2").tobytes())
+                inside = np.bincount((one >> 12) & (FINE_PARTS - 1), minlength=FINE_PARTS)
+                fine.append(np.minimum(inside, 255).astype("u1").tobytes())
             fronts = [x if len(one) else one for x, one in zip(fronts, sets, strict=True)]
             ends = np.cumsum([len(x) for x in fronts])
             return pa.RecordBatch.from_arrays(
@@ -189,8 +195,9 @@ def _prefixes(docs: DataFrame, words: int, num: int, den: int, sketch: np.ndarra
                     pa.array([len(x) for x in sets], pa.int64()),
                     list_array(np.concatenate(fronts).astype(np.int64), ends),
                     pa.array(parts, pa.binary()),
+                    pa.array(fine, pa.binary()),
                 ],
-                ["doc_id", "text_hash", "node", "size", "prefix", "counts"],
+                ["doc_id", "text_hash", "node", "size", "prefix", "counts", "fine"],
             )
 
         return work
@@ -198,16 +205,17 @@ def _prefixes(docs: DataFrame, words: int, num: int, den: int, sketch: np.ndarra
     rows = docs.withColumn("text_hash", F.xxhash64("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_hash long, node binary, size long, prefix array<long>"
-    return map_text(rows, schema + ", counts binary", prepare)
+    return map_text(rows, schema + ", counts binary, fine binary", prepare)
 
 
-def _groups(rows: DataFrame, num: int, den: int) -> DataFrame:
+def _groups(rows: DataFrame, num: int, den: int, kind: str = "<u2") -> DataFrame:
     """(num, pivot) for members of a region that may have a link in it; members follow each
-    other. Those whose counts are near enough, directly or through others, share a pivot."""
+    other. Those whose counts are near enough, directly or through others, share a pivot.
+    `kind`: of the numbers in `counts`."""
 
     def grouped(held: list[tuple]) -> Iterator[tuple]:
         sizes = np.array([x[1] for x in held])
-        counts = np.array([np.frombuffer(x[2], "<u2") for x in held], np.int32)
+        counts = np.array([np.frombuffer(x[2], kind) for x in held], np.int32)
         root = list(range(len(held)))
 
         def top(i: int) -> int:
@@ -256,6 +264,21 @@ def _groups(rows: DataFrame, num: int, den: int) -> DataFrame:
     return rows.mapInArrow(run, "num long, pivot long")
 
 
+def _divided(
+    pairs: DataFrame, rows: DataFrame, num: int, den: int, region_rows: int
+) -> DataFrame:
+    """`pairs` (num, pivot) where groups of up to `region_rows` are divided by their finer counts:
+    those that these keep apart have no link."""
+    groups = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"))
+    small = F.col("members") < region_rows  # and the pivot
+    placed = pairs.join(groups, "pivot")
+    pivots = groups.filter(small).select(F.col("pivot").alias("region"), F.col("pivot").alias("num"))
+    few = placed.filter(small).select(F.col("pivot").alias("region"), "num").union(pivots)
+    few = few.join(rows.select("num", "size", F.col("fine").alias("counts")), "num")
+    few = few.repartition("region").sortWithinPartitions("region", "num")
+    return _groups(few, num, den, "u1").union(placed.filter(~small).select("num", "pivot")).distinct()
+
+
 def _whole_sets(docs: DataFrame, words: int) -> DataFrame:
     """(node, size, items): sets of the given texts, each once."""
 
@@ -409,8 +432,8 @@ def link_shingles(
 def _linked(
     texts: DataFrame, words: int, num: int, den: int, region_rows: int = REGION_ROWS
 ) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text_hash, node, size, ...) of each row, and (num, node, unnamed, doc_id, text_hash,
-    root) of each class of equal sets: its first row, and the class that names its component."""
+    """(doc_id, node, size) of each row, and (num, node, unnamed, doc_id, text_hash, root) of each
+    class of equal sets: its first row, and the class that names its component."""
     rows = _prefixes(texts, words, num, den, shingle_sketch(texts, words))
     # Numbers of a written table: short names for digests that stay what they are.
     rows = staged(rows.withColumn("num", F.monotonically_increasing_id()), "shingles")
@@ -451,8 +474,12 @@ def _linked(
     few = few.repartition("region").sortWithinPartitions("region", "num")
     many = places.filter(F.col("members") > region_rows).select("num", "pivot")
     pairs = _groups(few, num, den).union(many.filter(F.col("num") != F.col("pivot"))).distinct()
-    pairs = staged(pairs, "pairs")
+    coarse = staged(pairs, "pairs")
     discard(places)
+    pairs = staged(_divided(coarse, rows, num, den, region_rows), "pairs")
+    # Prefixes and counts have done their part, and are a large share of all that is written.
+    wide, rows = rows, staged(rows.select("doc_id", "node", "size"), "sizes")
+    discard(coarse, wide)
     needed = pairs.select("num").union(pairs.select("pivot")).distinct()
     needed = staged(classes.join(needed, "num", "left_semi").select("num", "node", "doc_id", "text_hash"), "needed")
     chosen = texts.withColumn("text_hash", F.xxhash64("text")).alias("t").join(
@@ -486,7 +513,7 @@ def _linked(
 
     weighed = tested.withColumn("weight", F.size("apart"))
     many = settled(tested.join(_unsettled(weighed), "region"))
-    while not many.isEmpty():
+    while not is_empty(many):
         members = staged(_subregions(many, num, den), "regions")
         many = settled(members)
         # The member nearest to the last pivot is the next one.

@@ -638,6 +638,46 @@ def test_live_ranking_counts_repeats_once(spark, tmp_path, spread):
     assert refreshes >= 3
 
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ON_HEAP = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+def state_settings(checkpoint):
+    newest = max((checkpoint / "offsets").glob("[0-9]*"), key=lambda x: int(x.name))
+    return json.loads(newest.read_text().splitlines()[1])["conf"]
+
+
+def test_live_state_is_on_disk(spark, tmp_path):
+    """State of another store, named by the session or by its checkpoint, goes on where it is."""
+    lines, before = some_events(60), spark.conf.get(PROVIDER)
+    given = {k: v for k, v in spark.conf.getAll.items() if "stateStore" in k}
+
+    def life(name, number, part):
+        put(tmp_path / f"in-{name}", f"{number}.txt", part)
+        stream = read_event_stream(spark, "files", path=str(tmp_path / f"in-{name}"))
+        live.start_live_leaderboard(
+            live.live_leaderboard(stream), str(tmp_path / name), str(tmp_path / f"ck-{name}"), 1, ALL_AT_ONCE
+        ).awaitTermination()
+        rows = live.newest_ranking(spark, str(tmp_path / name)).collect()
+        return rows, state_settings(tmp_path / f"ck-{name}")[PROVIDER]
+
+    first, disk = life("disk", 0, lines[:40])
+    assert disk.endswith("RocksDBStateStoreProvider")
+    assert spark.conf.get(PROVIDER) == before
+    assert {k: v for k, v in spark.conf.getAll.items() if "stateStore" in k} == given
+    spark.conf.set(PROVIDER, ON_HEAP)
+    try:
+        assert life("heap", 0, lines[:40]) == (first, ON_HEAP)
+    finally:
+        spark.conf.unset(PROVIDER)
+    assert life("heap", 1, lines[20:])[1] == ON_HEAP
+    assert life("disk", 1, lines[20:])[1] == disk
+    take_in(spark, tmp_path / "in-disk", tmp_path / "table")
+    want = sales.store_leaderboard(view.current_view(spark, str(tmp_path / "table"))).collect()
+    for name in ("disk", "heap"):
+        assert live.newest_ranking(spark, str(tmp_path / name)).collect() == want
+
+
 def test_a_new_checkpoint_gives_the_new_ranking(spark, tmp_path):
     path, lines = str(tmp_path / "ranking"), some_events(60)
     # The first life has more refreshes, so its highest number is the higher one.
